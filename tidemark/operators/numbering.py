@@ -26,7 +26,7 @@ def number_rows(
     order: list[str],
     number: str = "rn",
     size: str = "n",
-    group_rows: int = GROUP_ROWS,
+    group_rows: int | None = None,
 ) -> DataFrame:
     """Add each row's number in its group (by ``order``) and the group's size.
 
@@ -38,7 +38,7 @@ def number_rows(
     The input is read more than once: pass a table, not a costly plan.
     """
     total = df.count()
-    limit = max(group_rows, total // MAX_SPLIT_GROUPS)
+    limit = max(group_rows or GROUP_ROWS, total // MAX_SPLIT_GROUPS)
     splits = _slice_bounds(df, keys, order, total, limit) if total > limit else None
     if splits is None:
         group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(1))

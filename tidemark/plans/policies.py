@@ -57,6 +57,8 @@ DEFINITION = (
 
 # Up to this many values, a user's policies become literals pushed to the scan.
 LITERAL_VALUES = 10_000
+# Up to this many dataset names do, too.
+LITERAL_DATASETS = 10_000
 
 
 # -- inputs ------------------------------------------------------------------------
@@ -144,9 +146,7 @@ def policy_wide_desired(desired: DataFrame) -> DataFrame:
 
 def current_ids(records: DataFrame) -> DataFrame:
     """Stored id of each policy name; a name with two ids in a dataset is an error."""
-    ids = F.when(
-        F.min("id") == F.max("id"), F.max("id")
-    ).otherwise(F.raise_error(F.concat(F.lit("two policies are named "), F.col("name"))).cast("bigint"))
+    ids = F.when(F.min("id") != F.max("id"), _two_ids(F.col("name"))).otherwise(F.max("id"))
     return (
         filter_excluded(records, "name")
         .groupBy("dataset_id", "name")
@@ -155,6 +155,10 @@ def current_ids(records: DataFrame) -> DataFrame:
     )
 
 
+def _two_ids(name: Column) -> Column:
+    return F.raise_error(F.concat(F.lit("two policies are named "), name)).cast("bigint")
+
+
 def policy_desired_long(records: DataFrame, desired: DataFrame) -> DataFrame:
     """Desired rows with the stored policy's id, found by name, and a marker."""
     joined = join_left(desired_rows(desired), current_ids(records), ["dataset_id", "policy_name"])
@@ -165,8 +169,17 @@ def policy_desired_long(records: DataFrame, desired: DataFrame) -> DataFrame:
 
 
 def _in_scope(records: DataFrame, desired: DataFrame) -> DataFrame:
-    """Stored policies of the datasets that the desired table names."""
+    """Stored policies of the datasets that the desired table names.
+
+    Up to ``LITERAL_DATASETS`` names become a filter that the scan can use to
+    skip files; more of them are joined. No name at all is an error.
+    """
     named = filter_present(desired, "dataset_id", required=False)
+    names = [row[0] for row in named.limit(LITERAL_DATASETS + 1).collect()]
+    if not names:
+        raise ValueError("the desired table names no dataset")
+    if len(names) <= LITERAL_DATASETS:
+        return records.where(F.col("dataset_id").isin(names))
     return join_semi(records, named, ["dataset_id"])
 
 
@@ -189,62 +202,92 @@ def policy_deletes(records: DataFrame, desired: DataFrame) -> DataFrame:
     return join_anti(stored, desired_rows(desired), POLICY)
 
 
-def _compare(records: DataFrame, desired: DataFrame) -> DataFrame:
-    """Per policy and column: stored id, in which state it is, and whether the
-    states differ. One pass over both inputs."""
-    current = current_records(_in_scope(records, desired))
-    head = ["dataset_id", "policy_name"]
+def _stored_items(records: DataFrame) -> DataFrame:
+    """One row per user and per value of each stored policy and column."""
     names = F.array_distinct(F.transform("filters", lambda f: f["column"]))
-    no_pairs = F.lit(0).cast("bigint").alias("pairs")
-    stored_users = (
-        current.select(*head, "policy_id", "users", F.explode(names).alias("policy_column"))
-        .select(*POLICY, "policy_id", F.lit("user").alias("part"), F.explode("users").alias("item"), no_pairs)
-    )
-    stored_values = (
-        current.select(*head, "policy_id", F.explode("filters").alias("f"))
-        .select(*head, F.col("f.column").alias("policy_column"), "policy_id", F.lit("value").alias("part"),
-                F.explode("f.values").alias("item"), no_pairs)
-    )
-    items = F.array(
-        F.struct(F.lit("user").alias("part"), F.col("user_id").alias("item"), F.lit(1).cast("bigint").alias("pairs")),
-        F.struct(F.lit("value").alias("part"), F.col("policy_value").alias("item"), F.lit(0).cast("bigint").alias("pairs")),
-    )
-    wanted = desired_rows(desired).distinct().select(
-        *POLICY, F.lit(None).cast("bigint").alias("policy_id"), F.inline(items)
+
+    def item(column: Column, part: str, value: Column) -> Column:
+        return F.struct(column.alias("policy_column"), F.lit(part).alias("part"), value.alias("item"))
+
+    users = F.transform(names, lambda n: F.transform("users", lambda u: item(n, "user", u)))
+    values = F.transform("filters", lambda f: F.transform(f["values"], lambda v: item(f["column"], "value", v)))
+    return current_records(records).select(
+        "dataset_id", "policy_name", "policy_id", F.inline(F.concat(F.flatten(users), F.flatten(values)))
     )
-    elements = (
-        mark_constant(stored_users.unionByName(stored_values), "stored").withColumn("wanted", F.lit(0))
-        .unionByName(mark_constant(wanted, "wanted").withColumn("stored", F.lit(0)))
+
+
+def _wanted_items(desired: DataFrame) -> DataFrame:
+    """Two rows, user and value, per distinct desired row. ``pairs`` counts the
+    rows once; ``first`` is what decides where the item is listed."""
+    first = F.struct(F.col("user_id").isNull(), "user_id").alias("first")
+    items = [
+        F.struct(F.lit(part).alias("part"), F.col(name).alias("item"), F.lit(pairs).cast("bigint").alias("pairs"), first)
+        for part, name, pairs in (("user", "user_id", 1), ("value", "policy_value", 0))
+    ]
+    return desired_rows(desired).distinct().select(*POLICY, F.inline(F.array(*items)))
+
+
+def _compare(records: DataFrame, desired: DataFrame, lists: bool) -> DataFrame:
+    """Per policy and column: stored id, on which sides it is, whether the sides
+    differ, and with ``lists`` the desired users and values joined by ``|``.
+
+    One pass over both inputs. Rows meet per item first, which spreads one
+    large policy over all tasks; only distinct items then meet per policy.
+    """
+    head = ["dataset_id", "policy_name"]
+    stored = mark_constant(_stored_items(_in_scope(records, desired)), "stored")
+    wanted = mark_constant(_wanted_items(desired), "wanted")
+    if not lists:
+        wanted = wanted.drop("first")
+    items = (
+        stored.unionByName(wanted, allowMissingColumns=True)
         .groupBy(*POLICY, "part", "item")
         .agg(
-            F.max("stored").alias("stored"), F.max("wanted").alias("wanted"), F.sum("pairs").alias("pairs"),
+            F.count("stored").alias("stored"), F.count("wanted").alias("wanted"), F.sum("pairs").alias("pairs"),
             F.min("policy_id").alias("low_id"), F.max("policy_id").alias("policy_id"),
+            *([F.min("first").alias("first")] if lists else []),
         )
     )
-    user, value = F.col("part") == "user", F.col("part") == "value"
-    columns = elements.groupBy(*POLICY).agg(
-        (F.max("stored") == 1).alias("stored"),
-        (F.max("wanted") == 1).alias("wanted"),
-        F.max((F.col("stored") != F.col("wanted")).cast("int")).alias("one_sided"),
-        F.sum("pairs").alias("pairs"),
-        (F.sum((user & (F.col("stored") == 1)).cast("bigint")) * F.sum((value & (F.col("stored") == 1)).cast("bigint"))).alias("product"),
+    in_stored, in_wanted = F.col("stored") > 0, F.col("wanted") > 0
+    listed = []
+    if lists:
+        # Placed once for both the grouping and the window below.
+        items = items.repartition(*head)
+        place = F.struct("first", F.col("item").isNull(), F.coalesce("item", F.lit("NA")).alias("text"))
+        for part, name in (("user", "user_id"), ("value", "policy_value")):
+            some = F.collect_list(F.when((F.col("part") == part) & in_wanted, place))
+            listed.append(F.array_join(F.transform(F.array_sort(some), lambda p: p["text"]), "|").alias(name))
+    stored_count = [F.count_if((F.col("part") == part) & in_stored) for part in ("user", "value")]
+    columns = items.groupBy(*POLICY).agg(
+        F.bool_or(in_stored).alias("stored"),
+        F.bool_or(in_wanted).alias("wanted"),
+        F.bool_or(in_stored != in_wanted).alias("one_sided"),
+        F.coalesce(F.sum("pairs"), F.lit(0)).alias("pairs"),
+        (stored_count[0] * stored_count[1]).alias("product"),
         F.min("low_id").alias("low_id"),
         F.max("policy_id").alias("policy_id"),
+        *listed,
     )
     # A policy has few columns, so its rows are few here however large it is.
     policy = Window.partitionBy(*head)
-    one_id = F.min("low_id").over(policy) == F.max("policy_id").over(policy)
-    too_many = F.raise_error(F.concat(F.lit("two policies are named "), F.col("policy_name"))).cast("bigint")
+    low, high = F.min("low_id").over(policy), F.max("policy_id").over(policy)
     return columns.select(
         *POLICY, "stored", "wanted",
-        F.when(one_id | F.max("policy_id").over(policy).isNull(), F.max("policy_id").over(policy))
-        .otherwise(too_many).alias("policy_id"),
-        ((F.col("one_sided") == 1) | (F.col("pairs") != F.col("product"))).alias("differs"),
-        (F.max((F.col("stored") & ~F.col("wanted")).cast("int")).over(policy) == 1).alias("doomed"),
+        F.when(low != high, _two_ids(F.col("policy_name"))).otherwise(high).alias("policy_id"),
+        (F.col("one_sided") | (F.col("pairs") != F.col("product"))).alias("differs"),
+        F.bool_or(F.col("stored") & ~F.col("wanted")).over(policy).alias("doomed"),
+        *(["user_id", "policy_value"] if lists else []),
     )
 
 
-def _actions(compared: DataFrame) -> DataFrame:
+def policy_changes(records: DataFrame, desired: DataFrame, lists: bool = False) -> DataFrame:
+    """All adds, deletes and updates: action, dataset, id, name, column, and with
+    ``lists`` the desired users and values joined by ``|``.
+
+    An existing policy with a column that only the desired table has gives an
+    add and an update, and one that is deleted but still has a desired column
+    an update too; neither happens while policies have one column.
+    """
     stored, wanted = F.col("stored"), F.col("wanted")
     changed = ~stored | F.col("doomed") | F.col("differs")
     actions = F.array_compact(F.array(
@@ -252,23 +295,21 @@ def _actions(compared: DataFrame) -> DataFrame:
         F.when(stored & ~wanted, F.lit("delete")),
         F.when(wanted & F.col("policy_id").isNotNull() & changed, F.lit("update")),
     ))
-    return compared.select(F.explode(actions).alias("action"), *POLICY, "policy_id").select(
+    compared = _compare(records, desired, lists)
+    items = ["user_id", "policy_value"] if lists else []
+    return compared.select(F.explode(actions).alias("action"), *POLICY, "policy_id", *items).select(
         "action", "dataset_id",
         F.when(F.col("action") != "add", F.col("policy_id")).alias("policy_id"),
         "policy_name", "policy_column",
+        *[F.when(F.col("action") != "delete", F.col(c)).alias(c) for c in items],
     )
 
 
-def policy_changes(records: DataFrame, desired: DataFrame) -> DataFrame:
-    """All adds, deletes and updates: action, dataset, id, name, column."""
-    return _actions(_compare(records, desired))
-
-
 def policy_updates(records: DataFrame, desired: DataFrame) -> DataFrame:
     """Stored policies whose users and values are not the desired ones, with
     the desired users and values joined by ``|``."""
-    changed = policy_changes(records, desired).where(F.col("action") == "update").drop("action")
-    return join_left(changed, policy_wide_desired(desired), POLICY)
+    changes = policy_changes(records, desired, lists=True)
+    return changes.where(F.col("action") == "update").drop("action")
 
 
 def policy_definitions(wide: DataFrame) -> DataFrame:
@@ -296,15 +337,8 @@ def policy_plan(records: DataFrame, desired: DataFrame) -> DataFrame:
 
     A desired table that names no dataset at all is an error.
     """
-    filter_present(desired, "dataset_id")
-    changes = policy_changes(records, desired)
-    wide = policy_wide_desired(desired)
-    planned = policy_definitions(join_left(changes, wide, POLICY))
-    keep = F.col("action") != "delete"
-    return planned.select(
-        "action", "dataset_id", "policy_id", "policy_name", "policy_column", "user_id", "policy_value",
-        F.when(keep, F.col("definition")).alias("definition"),
-    )
+    planned = policy_definitions(policy_changes(records, desired, lists=True))
+    return planned.withColumn("definition", F.when(F.col("action") != "delete", F.col("definition")))
 
 
 # -- apply and enforce ---------------------------------------------------------------

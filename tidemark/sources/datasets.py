@@ -9,43 +9,54 @@ from tidemark.operators.relational import page_rows
 from tidemark.operators.schema import cast_typed, inferred_columns
 from tidemark.sources import storage
 
-# How missing text, quotes and blanks are written in dataset CSV.
+# How quotes, blanks and missing values are written in dataset CSV.
 CSV_FORMAT = {
-    "nullValue": "\\N",
-    "emptyValue": "",
     "quote": '"',
     "escape": '"',
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
 }
+MISSING = "\\N"
+
+
+def write_options(header: bool = False) -> dict[str, object]:
+    """Options that make Spark write CSV the way datasets keep it."""
+    return {**CSV_FORMAT, "nullValue": MISSING, "emptyValue": '""', "header": header}
 
 
 def scan_csv(
     spark: SparkSession,
     path: str,
-    schema: T.StructType | str | None = None,
+    schema: T.StructType | None = None,
     header: bool = True,
     friendly: bool = False,
     multi_line: bool = True,
 ) -> DataFrame:
-    """A dataset kept as CSV, ``\\N`` for missing values.
+    """A dataset kept as CSV, ``\\N`` for missing values; empty text stays text.
 
     Without ``schema`` names come from the header and types from one pass over
-    all values. ``multi_line`` is needed when texts hold line breaks; a file is
-    then read by one task. Turn it off for large files without such texts.
+    all values; with it, values that do not fit their type become null.
+    ``multi_line`` is needed when texts hold line breaks; a file is then read by
+    one task. Turn it off for large files without such texts.
     """
     reader = spark.read.options(**CSV_FORMAT).option("multiLine", multi_line)
     if schema is not None:
-        df = reader.option("header", header).schema(schema).csv(path)
-        return df.toDF(*friendly_names(df.columns)) if friendly else df
-    first = reader.option("header", False).csv(path).first()
-    if first is None:
-        raise ValueError(f"no header in {path}")
-    names = [n or "" for n in first] if header else [f"column_{i}" for i in range(1, len(first) + 1)]
+        names = schema.names
+    else:
+        first = reader.option("header", False).csv(path).first()
+        if first is None:
+            raise ValueError(f"no header in {path}")
+        names = [n or "" for n in first] if header else [f"column_{i}" for i in range(1, len(first) + 1)]
     places = [f"c{i}" for i in range(len(names))]
-    texts = T.StructType([T.StructField(p, T.StringType()) for p in places])
-    df = reader.option("header", header).schema(texts).csv(path)
-    typed = cast_typed(df, dict(inferred_columns(df, numbers=True)), any_format=True)
+    cells = reader.option("header", header).schema(", ".join(f"{p} string" for p in places)).csv(path)
+    # The reader gives null for a cell without any character, which is empty text.
+    texts = cells.select(
+        *[F.when(F.col(p).isNull(), "").when(F.col(p) != MISSING, F.col(p)).alias(p) for p in places]
+    )
+    if schema is not None:
+        typed = texts.select(*[F.col(p).try_cast(f.dataType).alias(p) for p, f in zip(places, schema.fields)])
+    else:
+        typed = cast_typed(texts, dict(inferred_columns(texts, numbers=True)), any_format=True)
     return typed.toDF(*(friendly_names(names) if friendly else names))
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from tidemark.operators.changes import latest_per_key, upsert_rows
 from tidemark.operators.schema import columns_of, schema_changes
 from tidemark.sources import storage
-from tidemark.sources.datasets import CSV_FORMAT
+from tidemark.sources.datasets import write_options
 
 BUCKET = "_bucket"
 DEFAULT_BUCKETS = 64
@@ -82,8 +82,7 @@ def write_csv_parts(
     if rows_per_part is None:
         rows_per_part = estimate_part_rows(df, sample_fraction=sample_fraction)
     (
-        df.write.options(**CSV_FORMAT)
-        .option("header", False)
+        df.write.options(**write_options())
         .option("compression", "gzip")
         .option("maxRecordsPerFile", rows_per_part)
         .csv(path)

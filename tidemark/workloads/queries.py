@@ -37,7 +37,7 @@ def registered(query: Query) -> Query:
 @registered
 def scan_dataset_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "csv")
-    fx.table(spark, sf_dir, "orders").write.options(**datasets.CSV_FORMAT).option("header", True).csv(path)
+    fx.table(spark, sf_dir, "orders").write.options(**datasets.write_options(header=True)).csv(path)
     return datasets.scan_csv(spark, path)
 
 
