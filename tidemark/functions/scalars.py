@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from tidemark.functions.servicetypes import parse_whole
+
 
 def lower_text(text: Column) -> Column:
     return F.lower(text)
@@ -24,7 +26,7 @@ def to_text(value: Column) -> Column:
 
 def to_whole_number(text: Column) -> Column:
     """Whole number in the text, null when there is none."""
-    return text.try_cast("bigint")
+    return parse_whole(text)
 
 
 def either(condition: Column, yes: Column, no: Column) -> Column:

@@ -20,6 +20,8 @@ SERVICE_DATETIME = r"^\s*(\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2})"
 SERVICE_DATE = r"^\s*(\d{4}-\d{1,2}-\d{1,2})"
 ANY_DATETIME = r"^\s*(\d{4}-\d{1,2}-\d{1,2}[T ]\d{1,2}:\d{1,2}:\d{1,2}(?:\.\d{1,6})?)"
 ANY_DATE = r"^\s*(\d{4}[-/]\d{1,2}[-/]\d{1,2})"
+LONG_TEXT = r"^\s*[+-]?\d{1,19}\s*$"
+DOUBLE_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d{1,5})?\s*$|^\s*[+-]?(?i:nan|inf|infinity)\s*$"
 USER_TIME = r"^(\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(?:\.\d{1,6})?)\d*Z"
 
 
@@ -60,15 +62,25 @@ def parse_date(text: Column, any_format: bool = False) -> Column:
     return F.translate(found, "/", "-").try_cast(T.DateType())
 
 
+def parse_double(text: Column) -> Column:
+    """Number, or null. The pattern comes first because a failed cast is slow."""
+    return F.when(text.rlike(DOUBLE_TEXT), text.try_cast("double"))
+
+
+def parse_whole(text: Column) -> Column:
+    """64-bit integer written without a fraction, or null."""
+    return F.when(text.rlike(LONG_TEXT), text.try_cast("bigint"))
+
+
 def parse_long(text: Column) -> Column:
     """64-bit integer; a fraction is cut off, other text gives null."""
-    return F.coalesce(text.try_cast("bigint"), text.try_cast("double").try_cast("bigint"))
+    return F.coalesce(parse_whole(text), parse_double(text).try_cast("bigint"))
 
 
 def parse_as(text: Column, kind: str, any_format: bool = False) -> Column:
     """Text read as one of the service types; unreadable values become null."""
     if kind == "DOUBLE":
-        return text.try_cast("double")
+        return parse_double(text)
     if kind == "LONG":
         return parse_long(text)
     if kind == "DATE":

@@ -97,7 +97,7 @@ def _slice_bounds(
         _join_small(df.sample(fraction, seed=7), sizes, keys)
         .where(F.col("_size").isNotNull())
         .groupBy(*keys, "_size")
-        .agg(F.array_sort(F.collect_list(order_value(order))).alias("_sorted"))
+        .agg(F.sort_array(F.collect_list(order_value(order))).alias("_sorted"))
     )
     slices = F.ceil(F.col("_size") / limit).cast("int")
     step = F.size("_sorted") / slices

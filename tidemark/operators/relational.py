@@ -179,18 +179,27 @@ def ordered_distinct_concat(
     seen, spread over all values, so only what is printed meets in one group.
     A missing value prints as ``NA``.
     """
-    place = F.struct(*[f for c in order for f in (F.col(c).isNull(), F.col(c))])
-    cells = F.array(*[F.struct(F.lit(i).alias("_i"), F.col(c).cast("string").alias("_v")) for i, c in enumerate(columns)])
+    if len(order) == 1:
+        place = F.col(order[0])
+    else:
+        place = F.struct(*[f for c in order for f in (F.col(c).isNull(), F.col(c))])
+    cells = [
+        # Values of the leading order column are in order by themselves.
+        F.struct(
+            F.lit(i).cast("byte").alias("_i"),
+            F.col(c).cast("string").alias("_v"),
+            (F.when(F.lit(False), place) if c == order[0] else place).alias("_place"),
+        )
+        for i, c in enumerate(columns)
+    ]
     firsts = (
-        df.select(*keys, place.alias("_place"), F.inline(cells))
-        .groupBy(*keys, "_i", "_v")
-        .agg(F.min("_place").alias("_place"))
+        df.select(*keys, F.inline(F.array(*cells))).groupBy(*keys, "_i", "_v").agg(F.min("_place").alias("_place"))
+    )
+    shown = F.struct(
+        F.col("_place").isNull(), "_place", F.col("_v").isNull(), F.coalesce("_v", F.lit("NA")).alias("_v")
     )
-    shown = F.struct("_place", F.coalesce("_v", F.lit("NA")).alias("_v"))
     lists = [
-        F.array_join(
-            F.transform(F.array_sort(F.collect_list(F.when(F.col("_i") == i, shown))), lambda s: s["_v"]), sep
-        ).alias(c)
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.when(F.col("_i") == i, shown))), lambda s: s["_v"]), sep).alias(c)
         for i, c in enumerate(columns)
     ]
     return firsts.groupBy(*keys).agg(*lists)

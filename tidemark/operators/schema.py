@@ -8,6 +8,8 @@ from tidemark.functions.servicetypes import (
     looks_like_date,
     looks_like_datetime,
     parse_as,
+    parse_double,
+    parse_whole,
     service_type,
 )
 
@@ -33,32 +35,31 @@ def infer_types(df: DataFrame, numbers: bool = False) -> DataFrame:
     """One row per column: position, name and inferred service type.
 
     Text columns are dates or times when every value present reads as one;
-    with ``numbers`` they may be LONG or DOUBLE too. All columns are checked in
-    one pass over the data. Other columns have the type of their class.
+    with ``numbers`` they may be LONG or DOUBLE too. Other columns have the type
+    of their class. The texts are checked in one pass, a cell at a time, so a
+    wide table takes no more code than a narrow one; tasks send on counts only.
     """
+    columns = columns_of(df)
     texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+    place = {name: i for i, name in enumerate(texts)}
+    known = df.sparkSession.createDataFrame(
+        [(i, n, t, place.get(n)) for i, (n, t) in enumerate(columns, start=1)],
+        "position int, name string, class string, place int",
+    )
+    if not texts:
+        return known.select("position", "name", F.col("class").alias("type"))
     tests = {"DATETIME": looks_like_datetime, "DATE": looks_like_date}
     if numbers:
-        tests["LONG"] = lambda c: c.try_cast("bigint").isNotNull()
-        tests["DOUBLE"] = lambda c: c.try_cast("double").isNotNull()
-    counts = []
-    for i, name in enumerate(texts):
-        col = F.col(f"`{name}`")
-        counts.append(F.count(col).alias(f"present_{i}"))
-        for kind, test in tests.items():
-            counts.append(F.count_if(col.isNotNull() & test(col)).alias(f"{kind}_{i}"))
-    counted = df.agg(*counts) if counts else df.agg(F.count(F.lit(1)).alias("present"))
-
-    fields = []
-    for position, (name, kind) in enumerate(columns_of(df), start=1):
-        chosen = F.lit(kind)
-        if name in texts:
-            i = texts.index(name)
-            some = F.col(f"present_{i}") > 0
-            for test in reversed(tests):
-                chosen = F.when(some & (F.col(f"{test}_{i}") == F.col(f"present_{i}")), F.lit(test)).otherwise(chosen)
-        fields.append(F.struct(F.lit(position).alias("position"), F.lit(name).alias("name"), chosen.alias("type")))
-    return counted.select(F.inline(F.array(*fields)))
+        tests |= {"LONG": lambda c: parse_whole(c).isNotNull(), "DOUBLE": lambda c: parse_double(c).isNotNull()}
+    cells = df.select(F.posexplode(F.array(*[F.col(f"`{n}`") for n in texts])).alias("place", "text"))
+    counts = (
+        cells.where(F.col("text").isNotNull())
+        .groupBy("place")
+        .agg(F.count("text").alias("present"), *[F.count_if(test(F.col("text"))).alias(k) for k, test in tests.items()])
+    )
+    chosen = F.coalesce(*[F.when(F.col(k) == F.col("present"), k) for k in tests], "class")
+    # One row per column on either side.
+    return known.join(F.broadcast(counts), "place", "left").select("position", "name", chosen.alias("type"))
 
 
 def inferred_columns(df: DataFrame, numbers: bool = False) -> Columns:

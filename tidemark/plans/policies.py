@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
 from tidemark.functions.scalars import to_text, to_whole_number
 from tidemark.operators.nested import list_or_default, split_pipe
@@ -55,9 +55,17 @@ DEFINITION = (
     "users:array<bigint>,virtualUsers:array<string>,groups:array<string>>"
 )
 
+# The two kinds of items a policy is compared by.
+USER, VALUE = False, True
+
 # Up to this many values, a user's policies become literals pushed to the scan.
 LITERAL_VALUES = 10_000
-# Up to this many dataset names do, too.
+# ... when they come down to at most this many alternatives.
+LITERAL_TERMS = 100
+# Each set of columns that policies use together costs a join, so a user's
+# policies with more sets than this are refused rather than enforced in part.
+MAX_COLUMN_SETS = 100
+# Up to this many dataset names become a literal filter.
 LITERAL_DATASETS = 10_000
 
 
@@ -128,7 +136,9 @@ def policy_wide_current(records: DataFrame) -> DataFrame:
 
 
 def _sorted_text(items: Column) -> Column:
-    return F.array_join(F.array_sort(F.array_distinct(items)), "|", "NA")
+    """Distinct items in order joined by ``|``, a missing one last as ``NA``."""
+    gap = F.when(F.exists(items, F.isnull), F.array(F.lit("NA"))).otherwise(F.array())
+    return F.array_join(F.concat(F.sort_array(F.array_distinct(F.array_compact(items))), gap), "|")
 
 
 def _values_of(filters: str, name: Column) -> Column:
@@ -140,7 +150,7 @@ def _values_of(filters: str, name: Column) -> Column:
 def policy_wide_desired(desired: DataFrame) -> DataFrame:
     """One row per desired policy and column, users and values joined by ``|``."""
     return ordered_distinct_concat(
-        desired_rows(desired), POLICY, ["user_id", "policy_value"], ["user_id", "policy_value"]
+        desired_rows(desired), POLICY, ["user_id", "policy_value"], order=["user_id"]
     )
 
 
@@ -206,11 +216,11 @@ def _stored_items(records: DataFrame) -> DataFrame:
     """One row per user and per value of each stored policy and column."""
     names = F.array_distinct(F.transform("filters", lambda f: f["column"]))
 
-    def item(column: Column, part: str, value: Column) -> Column:
+    def item(column: Column, part: bool, value: Column) -> Column:
         return F.struct(column.alias("policy_column"), F.lit(part).alias("part"), value.alias("item"))
 
-    users = F.transform(names, lambda n: F.transform("users", lambda u: item(n, "user", u)))
-    values = F.transform("filters", lambda f: F.transform(f["values"], lambda v: item(f["column"], "value", v)))
+    users = F.transform(names, lambda n: F.transform("users", lambda u: item(n, USER, u)))
+    values = F.transform("filters", lambda f: F.transform(f["values"], lambda v: item(f["column"], VALUE, v)))
     return current_records(records).select(
         "dataset_id", "policy_name", "policy_id", F.inline(F.concat(F.flatten(users), F.flatten(values)))
     )
@@ -218,11 +228,15 @@ def _stored_items(records: DataFrame) -> DataFrame:
 
 def _wanted_items(desired: DataFrame) -> DataFrame:
     """Two rows, user and value, per distinct desired row. ``pairs`` counts the
-    rows once; ``first`` is what decides where the item is listed."""
-    first = F.struct(F.col("user_id").isNull(), "user_id").alias("first")
+    rows once; ``first`` is the user that a value is listed under."""
     items = [
-        F.struct(F.lit(part).alias("part"), F.col(name).alias("item"), F.lit(pairs).cast("bigint").alias("pairs"), first)
-        for part, name, pairs in (("user", "user_id", 1), ("value", "policy_value", 0))
+        F.struct(
+            F.lit(part).alias("part"), F.col(name).alias("item"),
+            F.lit(pairs).cast("bigint").alias("pairs"), first.alias("first"),
+        )
+        for part, name, pairs, first in (
+            (USER, "user_id", 1, F.lit(None).cast("string")), (VALUE, "policy_value", 0, F.col("user_id")),
+        )
     ]
     return desired_rows(desired).distinct().select(*POLICY, F.inline(F.array(*items)))
 
@@ -253,11 +267,13 @@ def _compare(records: DataFrame, desired: DataFrame, lists: bool) -> DataFrame:
     if lists:
         # Placed once for both the grouping and the window below.
         items = items.repartition(*head)
-        place = F.struct("first", F.col("item").isNull(), F.coalesce("item", F.lit("NA")).alias("text"))
-        for part, name in (("user", "user_id"), ("value", "policy_value")):
+        place = F.struct(
+            F.col("first").isNull(), "first", F.col("item").isNull(), F.coalesce("item", F.lit("NA")).alias("text")
+        )
+        for part, name in ((USER, "user_id"), (VALUE, "policy_value")):
             some = F.collect_list(F.when((F.col("part") == part) & in_wanted, place))
-            listed.append(F.array_join(F.transform(F.array_sort(some), lambda p: p["text"]), "|").alias(name))
-    stored_count = [F.count_if((F.col("part") == part) & in_stored) for part in ("user", "value")]
+            listed.append(F.array_join(F.transform(F.sort_array(some), lambda p: p["text"]), "|").alias(name))
+    stored_count = [F.count_if((F.col("part") == part) & in_stored) for part in (USER, VALUE)]
     columns = items.groupBy(*POLICY).agg(
         F.bool_or(in_stored).alias("stored"),
         F.bool_or(in_wanted).alias("wanted"),
@@ -347,6 +363,7 @@ def policy_plan(records: DataFrame, desired: DataFrame) -> DataFrame:
 def policy_apply(records: DataFrame, plan: DataFrame) -> DataFrame:
     """Stored policies after the plan. New policies are numbered on from the
     greatest id of all. An update of a policy that is also deleted is void.
+    Untouched policies stay as they are, with whatever else is kept of them.
 
     The plan is read several times: pass a written table, not a costly plan.
     """
@@ -364,12 +381,11 @@ def policy_apply(records: DataFrame, plan: DataFrame) -> DataFrame:
     numbered = number_rows(adds, [], POLICY, number="_number", size="_size")
     top = records.agg(F.max("id")).first()[0] or 0
     added = numbered.select("dataset_id", (F.col("_number") + top).alias("id"), "definition")
-    fields = ["dataset_id", "id", "name", "users", "filters"]
+    known = [f for f in ("type", "name", "filters", "users", "virtualUsers", "groups") if f in records.columns]
     written = updates.unionByName(added).select(
-        "dataset_id", F.col("id").cast(records.schema["id"].dataType).alias("id"),
-        *[F.col(f"definition.{f}").cast(records.schema[f].dataType.simpleString()).alias(f) for f in fields[2:]],
+        "dataset_id", "id", *[F.col(f"definition.{f}").cast(records.schema[f].dataType.simpleString()).alias(f) for f in known]
     )
-    return kept.select(*fields).unionByName(written)
+    return kept.unionByName(written, allowMissingColumns=True)
 
 
 def policy_enforce(
@@ -394,12 +410,14 @@ def policy_enforce(
         F.coalesce(F.col("filters"), F.array().cast(records.schema["filters"].dataType)).alias("filters")
     )
     odd = F.exists("filters", lambda f: f["not"] | (f["operator"] != "EQUALS"))
-    names = F.array_sort(F.array_distinct(F.transform("filters", lambda f: f["column"])))
+    names = F.sort_array(F.array_distinct(F.transform("filters", lambda f: f["column"])))
     listed = F.aggregate("filters", F.lit(0).cast("bigint"), lambda n, f: n + F.size(f["values"]))
     # One row per set of columns: bounded by how policies are built, not by how many there are.
     shapes = mine.groupBy(names.alias("names")).agg(
         F.sum(listed).alias("n"), F.max(odd).alias("odd"), F.count(F.lit(1)).alias("policies")
-    ).collect()
+    ).limit(MAX_COLUMN_SETS + 1).collect()
+    if len(shapes) > MAX_COLUMN_SETS:
+        raise ValueError(f"policies use more than {MAX_COLUMN_SETS} different sets of columns")
     if any(s["odd"] for s in shapes):
         raise ValueError("only EQUALS filters can be enforced")
     if not shapes:
@@ -411,15 +429,12 @@ def policy_enforce(
         raise ValueError(f"policies name unknown columns: {sorted(unknown)}")
 
     if sum(s["n"] + s["policies"] for s in shapes) <= literal_values:
-        allowed = F.lit(False)
-        for row in mine.select(names.alias("names"), "filters").collect():
-            wanted: dict[str, set[str]] = {n: set() for n in row["names"]}
-            for f in row["filters"]:
-                wanted[f["column"]].update(f["values"])
-            allowed = allowed | reduce(
-                lambda a, b: a & b, [_is_one_of(df, n, sorted(v - {None})) for n, v in wanted.items()]
-            )
-        return df.where(allowed)
+        terms = _merged_terms(mine.collect())
+        if len(terms) <= LITERAL_TERMS:
+            conditions = [
+                reduce(Column.__and__, [_is_one_of(df, n, sorted(v)) for n, v in term.items()]) for term in terms
+            ]
+            return df.where(reduce(Column.__or__, conditions))
 
     visible, rest = [], df
     for shape in sorted(shapes, key=lambda s: s["names"]):
@@ -438,6 +453,27 @@ def policy_enforce(
     return reduce(DataFrame.unionByName, visible)
 
 
+def _merged_terms(policies: list[Row]) -> list[dict[str, frozenset[str]]]:
+    """Per policy the allowed values of each column; policies that differ in one
+    column only become one, with the values of both."""
+    terms = []
+    for policy in policies:
+        term: dict[str, frozenset[str]] = {}
+        for f in policy["filters"]:
+            term[f["column"]] = term.get(f["column"], frozenset()) | {v for v in f["values"] if v is not None}
+        terms.append(term)
+    for column in sorted({name for term in terms for name in term}):
+        merged: dict[frozenset, dict[str, frozenset[str]]] = {}
+        for term in terms:
+            others = frozenset((n, v) for n, v in term.items() if n != column)
+            key = others | {(column, column in term)}
+            if key in merged and column in term:
+                term = merged[key] | {column: merged[key][column] | term[column]}
+            merged[key] = term
+        terms = list(merged.values())
+    return terms
+
+
 def _is_one_of(df: DataFrame, name: str, values: list[str]) -> Column:
     """The column's text is among ``values``, written so that a scan can use it.
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.functions.names import friendly_names
@@ -84,7 +86,9 @@ def dataset_listing(spark: SparkSession, root: str, limit: int = 0, offset: int
     """
     root = root.rstrip("/")
     names = [n for n in storage.children(spark, root) if not n.startswith(("_", "."))]
-    widths = [(n.removesuffix(".parquet"), len(spark.read.parquet(f"{root}/{n}").columns)) for n in names]
+    with ThreadPoolExecutor(8) as pool:
+        columns = pool.map(lambda n: len(spark.read.parquet(f"{root}/{n}").columns), names)
+        widths = [(n.removesuffix(".parquet"), c) for n, c in zip(names, columns)]
     datasets = spark.createDataFrame(widths, "name string, columns int")
     steps = F.split(F.parse_url(F.col("_metadata.file_path"), F.lit("PATH")), "/")
     folder = F.url_decode(F.replace(steps[storage.depth(spark, root)], F.lit("+"), F.lit("%2B")))

@@ -452,10 +452,11 @@ def policy_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def policy_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored, desired = _both(spark, sf_dir)
-    path = scratch_dir(spark, "plan")
-    policies.policy_plan(stored, desired).write.parquet(path)
-    applied = policies.policy_apply(stored, spark.read.parquet(path))
+    path = scratch_dir(spark, "apply")
+    fx.stored_policies(spark, sf_dir).write.parquet(f"{path}/stored")
+    stored = spark.read.parquet(f"{path}/stored")
+    policies.policy_plan(stored, fx.desired_policies(spark, sf_dir)).write.parquet(f"{path}/plan")
+    applied = policies.policy_apply(stored, spark.read.parquet(f"{path}/plan"))
     return policies.policy_extract(applied)
 
 
