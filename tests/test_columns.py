@@ -73,8 +73,13 @@ def test_widen(spark, rows):
     assert rows(wide, "i", "a", "b.c") == [(1, 1, [1, 2]), (2, None, None), (3, None, None)]
     again = nested.widen_records(wide.select("i", F.struct("a", "b").alias("r")), "r")
     assert rows(again, "i", "a") == [(1, 1), (2, None), (3, None)]
+    assert rows(nested.widen_records(df, "r"), "i", "a", "b.c") == rows(wide, "i", "a", "b.c")
+    mixed = spark.createDataFrame([('{"a": 1, "x": null}',), ('{"a": "t", "o": {"p": true}}',)], "r string")
+    found = nested.infer_fields(mixed, "r")
+    assert {f.name: f.dataType.simpleString() for f in found} == {"a": "string", "x": "string", "o": "struct<p:boolean>"}
+    assert rows(nested.widen_records(mixed, "r"), "a", "o.p") == [("1", None), ("t", True)]
     with pytest.raises(ValueError):
-        nested.widen_records(df, "r")
+        nested.widen_records(df.select(F.lit("[1]").alias("r")), "r")
 
 
 def test_flatten(spark):

@@ -31,8 +31,9 @@ def test_csv_parts_round_trip(spark, rows, path):
 
 def test_csv_part_size(spark, path):
     df = spark.range(10_000).select(F.lpad(F.col("id").cast("string"), 99, "x").alias("t"))
-    assert publish.estimate_part_rows(df, target_kb=50) == 500
-    assert 400 < publish.estimate_part_rows(df, target_kb=50, sample_fraction=0.2) < 600
+    for fraction in (0.2, 0.01, None):
+        assert publish.estimate_part_rows(df, target_kb=50, sample_fraction=fraction) in (499, 500)
+    assert publish.estimate_part_rows(df.limit(0)) == 0
     publish.write_csv_parts(df.coalesce(2), path, rows_per_part=500)
     sizes = [gzip.decompress(f.read_bytes()).count(b"\n") for f in Path(path).glob("part-*")]
     assert sum(sizes) == 10_000 and max(sizes) <= 500 and len(sizes) == 20
@@ -150,15 +151,21 @@ def test_stream_upsert(spark, rows, tmp_path):
 
     def run():
         stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-        stream_upsert(stream, path, ["user_id"], ["ts", "event_id"], checkpoint, buckets=4).awaitTermination()
+        query = stream_upsert(stream, path, ["user_id"], ["ts", "event_id"], checkpoint, buckets=4)
+        query.awaitTermination()
+        return query.id
 
-    run()
+    query_id = run()
     state = publish.read_state(spark, path)
-    assert state.batches == {"stream": 3}
+    assert state.batches == {query_id: 3}
     last = events.groupBy("user_id").agg(F.max_by("event_id", F.struct("ts", "event_id")).alias("event_id"))
     assert rows(publish.read_published(spark, path), "user_id", "event_id") == rows(last)
-    run()
+    assert run() == query_id
     assert publish.read_state(spark, path) == state
+    checkpoint = str(tmp_path / "fresh")
+    run()
+    assert len(publish.read_state(spark, path).batches) == 2
+    assert rows(publish.read_published(spark, path), "user_id", "event_id") == rows(last)
 
 
 def test_types_survive_publishing(spark, path):

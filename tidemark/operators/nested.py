@@ -5,23 +5,36 @@ All of these work inside one row; none needs a shuffle.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 
 def widen_records(df: DataFrame, record: str, schema: T.StructType | str | None = None) -> DataFrame:
     """One column per field of a record; lists and records inside stay whole.
 
-    ``record`` is a struct, or JSON text with its ``schema``.
+    ``record`` is a struct, or JSON text with its ``schema``. Without a schema
+    the fields are those found in any of the texts, by one pass over them.
     """
     field = F.col(record)
     if isinstance(df.schema[record].dataType, T.StringType):
-        if schema is None:
-            raise ValueError("JSON text needs a schema")
-        field = F.from_json(field, schema)
+        field = F.from_json(field, schema or infer_fields(df, record))
     kept = [c for c in df.columns if c != record]
     return df.select(*kept, field.alias("_record")).select(*kept, "_record.*")
 
 
+def infer_fields(df: DataFrame, record: str) -> T.StructType:
+    """Fields of the JSON texts in a column; fields of mixed types are text."""
+    found = df.agg(F.schema_of_variant_agg(F.try_parse_json(record))).first()[0]
+    # The function writes variant types; these are their column types.
+    for variant, column in (("OBJECT", "STRUCT"), ("VOID", "STRING"), ("VARIANT", "STRING")):
+        found = re.sub(rf"(^|<|: ){variant}(?=[<>,]|$)", rf"\1{column}", found)
+    fields = T.DataType.fromDDL(found)
+    if not isinstance(fields, T.StructType):
+        raise ValueError(f"{record!r} holds no records but {found}")
+    return fields
+
+
 def flatten_records(df: DataFrame, sep: str = "_") -> DataFrame:
     """Replace every record column by its fields, at any depth, names joined."""
 

@@ -23,6 +23,8 @@ from tidemark.sources.datasets import write_options
 BUCKET = "_bucket"
 DEFAULT_BUCKETS = 64
 PART_KILOBYTES = 10000.0 * 3
+# Fewer sampled rows than this do not tell the row width.
+SAMPLED_ROWS = 1000
 
 
 @dataclass(frozen=True)
@@ -55,25 +57,23 @@ class ConflictError(RuntimeError):
 
 
 def estimate_part_rows(
-    df: DataFrame, target_kb: float = PART_KILOBYTES, sample_fraction: float | None = None
+    df: DataFrame, target_kb: float = PART_KILOBYTES, sample_fraction: float | None = 0.01
 ) -> int:
     """Rows per part so that a part holds about ``target_kb`` kilobytes of text.
 
-    Takes the mean row width of the whole table, or of a sample of it.
+    Takes the mean row width of a sample, or of all rows when the sample is
+    small or ``sample_fraction`` is None. It only sets where parts are cut.
     """
-    measured = df.sample(sample_fraction, seed=1) if sample_fraction else df
-    width = F.octet_length(F.to_csv(F.struct(*df.columns))) + 1
-    totals = measured.agg(
-        F.count(F.lit(1)).cast("double").alias("rows"), (F.sum(width) / 1000.0).alias("kb")
-    )
-    rows, kb = totals.first()
-    if not rows or not kb:
-        return 0
-    return max(1, int(rows * target_kb / kb))
+    width = (F.octet_length(F.to_csv(F.struct(*df.columns))) + 1) / 1000.0
+    totals = [F.count(F.lit(1)).alias("rows"), F.avg(width).alias("kb")]
+    found = df.sample(sample_fraction, seed=1).agg(*totals).first() if sample_fraction else None
+    if found is None or found["rows"] < SAMPLED_ROWS:
+        found = df.agg(*totals).first()
+    return max(1, int(target_kb / found["kb"])) if found["rows"] else 0
 
 
 def write_csv_parts(
-    df: DataFrame, path: str, rows_per_part: int | None = None, sample_fraction: float | None = None
+    df: DataFrame, path: str, rows_per_part: int | None = None, sample_fraction: float | None = 0.01
 ) -> None:
     """Gzip CSV without header, ``\\N`` for missing, in parts of bounded size.
 

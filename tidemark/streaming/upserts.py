@@ -16,20 +16,23 @@ def stream_upsert(
     keys: Sequence[str],
     order: Sequence[str],
     checkpoint: str,
-    source: str = "stream",
     buckets: int = DEFAULT_BUCKETS,
     newest_wins: bool = True,
     processing_time: str | None = None,
 ) -> StreamingQuery:
     """Start merging a stream into a dataset, the newest row per key winning.
 
-    The dataset remembers the last batch of each ``source``, so a batch that is
-    run again after a failure changes nothing. Without ``processing_time`` the
-    query stops when what is there has been read.
+    The dataset remembers the last batch of each query (a query lives as long as
+    its checkpoint), so a batch that is run again after a failure changes
+    nothing. Without ``processing_time`` the query stops when what is there has
+    been read.
     """
+    context = stream.sparkSession.sparkContext
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        publish_upsert(batch, path, keys, order, buckets, newest_wins, batch_id=(source, batch_id))
+        # Set by the engine on the thread that runs the batch.
+        query = context.getLocalProperty("sql.streaming.queryId")
+        publish_upsert(batch, path, keys, order, buckets, newest_wins, batch_id=(query, batch_id))
 
     writer = stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     if processing_time:
