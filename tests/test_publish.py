@@ -98,6 +98,16 @@ def test_upsert(spark, rows, path):
     assert rows(publish.read_published(spark, path)) == sorted(want, key=repr)
 
 
+def test_awkward_column_names(spark, rows, path):
+    df = spark.createDataFrame([(1, 5, "a", 1)], ["the key", "k.2", "a.b", "e`f"])
+    keys = ["the key", "k.2"]
+    publish.publish_replace(df, path, keys, buckets=2)
+    publish.publish_upsert(df.withColumn("a.b", F.lit("z")), path, keys, ["a.b"])
+    assert rows(publish.read_published(spark, path)) == [(1, 5, "z", 1)]
+    publish.write_csv_parts(df, path + "-csv")
+    assert rows(datasets.scan_csv(spark, path + "-csv", df.schema, header=False)) == [(1, 5, "a", 1)]
+
+
 def test_upsert_rewrites_only_touched_buckets(spark, path):
     base = spark.range(1000).withColumn("v", F.lit(0))
     publish.publish_replace(base, path, ["id"], buckets=16)

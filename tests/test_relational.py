@@ -109,6 +109,12 @@ def test_activity_window(audit, rows):
     assert rows(rel.activity_window(audit, "2024-01-02", limit=1, offset=1), "eventText") == [("e2",)]
 
 
+def test_activity_window_over_milliseconds(audit, rows):
+    millis = audit.withColumn("time", F.unix_millis(F.col("time").cast("timestamp")))
+    for start, end in ((dt.datetime(2024, 1, 2), dt.date(2024, 1, 3)), (1704153600000, "1704240000000")):
+        assert rows(rel.activity_window(millis, start, end), "eventText") == [("e1",), ("e2",)]
+
+
 def test_activity_window_is_pushed_down(audit, tmp_path, spark):
     audit.write.parquet(str(tmp_path / "log"))
     window = rel.activity_window(spark.read.parquet(str(tmp_path / "log")), "2024-01-02", "2024-01-03")

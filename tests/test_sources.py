@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.names import friendly_names
 from tidemark.session import scratch_dir
 from tidemark.sources import datasets
+from tidemark.sources.publish import publish_replace, read_published
 
 
 def test_csv_with_awkward_header(spark, tmp_path):
@@ -54,6 +55,8 @@ def test_dataset_sql_keeps_to_itself(spark, rows, tmp_path):
     a = datasets.dataset_sql(spark, "SELECT count(*) AS n FROM table", str(tmp_path / "a"))
     b = datasets.dataset_sql(spark, "SELECT `id` FROM table WHERE id > 6", str(tmp_path / "b"))
     assert (rows(a), rows(b)) == ([(5,)], [(7,), (8,)])
+    publish_replace(spark.range(4), str(tmp_path / "p"))
+    assert rows(datasets.dataset_sql(spark, "SELECT max(id) FROM table", str(tmp_path / "p"), read_published)) == [(3,)]
     assert "table" not in [t.name for t in spark.catalog.listTables()]
     assert rows(datasets.sql_rows_json(b)) == [(["7"],), (["8"],)]
 

@@ -4,8 +4,19 @@ from __future__ import annotations
 
 import warnings
 from collections import Counter
+from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, functions as F
+
+
+def quoted(name: str) -> str:
+    """The name as one step of a column path, whatever characters it has."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def exactly(names: Iterable[str]) -> list[Column]:
+    """Columns of these names; dots and spaces are part of a name."""
+    return [F.col(quoted(n)) for n in names]
 
 
 def legal_name(name: str) -> str:

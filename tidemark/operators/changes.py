@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.functions.names import exactly
 from tidemark.operators.relational import join_anti, join_left, join_semi
 
 
@@ -15,8 +16,8 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     An aggregate, not a window: tasks keep one row per key before the shuffle,
     so a key with very many rows costs no more than any other.
     """
-    last = F.max_by(F.struct(*df.columns), F.struct(*order)).alias("_last")
-    return df.groupBy(*keys).agg(last).select("_last.*")
+    last = F.max_by(F.struct(*exactly(df.columns)), F.struct(*exactly(order))).alias("_last")
+    return df.groupBy(*exactly(keys)).agg(last).select("_last.*")
 
 
 def upsert_rows(base: DataFrame, batch: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -9,6 +9,8 @@ import re
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from tidemark.functions.names import exactly, quoted
+
 
 def widen_records(df: DataFrame, record: str, schema: T.StructType | str | None = None) -> DataFrame:
     """One column per field of a record; lists and records inside stay whole.
@@ -48,7 +50,7 @@ def flatten_records(df: DataFrame, sep: str = "_") -> DataFrame:
         ]
 
     return df.select(
-        *[leaf for f in df.schema.fields for leaf in leaves(f.dataType, F.col(f"`{f.name}`"), f.name)]
+        *[leaf for f in df.schema.fields for leaf in leaves(f.dataType, F.col(quoted(f.name)), f.name)]
     )
 
 
@@ -86,4 +88,4 @@ def split_pipe(text: Column, sep: str = "|") -> Column:
 
 def build_json(df: DataFrame, name: str = "json", columns: list[str] | None = None) -> DataFrame:
     """Each record as one JSON text; missing fields are left out."""
-    return df.select(F.to_json(F.struct(*(columns or df.columns))).alias(name))
+    return df.select(F.to_json(F.struct(*exactly(columns or df.columns))).alias(name))

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window, functions as F
+
+from tidemark.functions.names import exactly
 
 # A group up to this size is numbered by one ordinary window task.
 GROUP_ROWS = 2_000_000
@@ -72,7 +74,7 @@ def number_rows(
     return (
         _join_small(local, shifts, [*keys, "_slice"])
         .withColumn(number, F.col(number) + F.coalesce("_shift", F.lit(0)))
-        .select(*df.columns, number, size)
+        .select(*exactly(df.columns), number, size)
     )
 
 

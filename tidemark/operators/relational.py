@@ -7,11 +7,12 @@ on the side adaptive execution can split, or reduced to distinct keys first.
 
 from __future__ import annotations
 
-from datetime import date, datetime
+from datetime import date, datetime, timezone
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from tidemark.functions.names import exactly, quoted
 from tidemark.functions.scalars import is_present_text
 from tidemark.operators.numbering import number_rows
 
@@ -34,7 +35,7 @@ TOP_ROWS = 100_000
 
 def select_named(df: DataFrame, names: list[str]) -> DataFrame:
     """Pick columns by exact name; spaces, dots and backticks are fine."""
-    return df.select(*["`" + n.replace("`", "``") + "`" for n in names])
+    return df.select(*exactly(names))
 
 
 def rename_columns(df: DataFrame, names: dict[str, str]) -> DataFrame:
@@ -73,18 +74,22 @@ def lookup_by_key(df: DataFrame, key: str, value: object) -> DataFrame:
 
 def activity_window(
     df: DataFrame,
-    start: str | date | datetime | None = None,
-    end: str | date | datetime | None = None,
+    start: str | int | date | None = None,
+    end: str | int | date | None = None,
     limit: int = 0,
     offset: int = 0,
 ) -> DataFrame:
     """Audit rows from ``start`` to ``end``, both included, in nine columns.
 
     A missing bound is open. With a limit or offset the rows are paged by time.
+    Where the time is a number it is milliseconds since 1970.
     """
     kind = df.schema["time"].dataType
     for bound, keep in ((start, Column.__ge__), (end, Column.__le__)):
         if bound is not None:
+            if isinstance(kind, T.IntegralType) and isinstance(bound, date):
+                day = datetime(*bound.timetuple()[:6], tzinfo=timezone.utc)
+                bound = int(day.timestamp() * 1000) + getattr(bound, "microsecond", 0) // 1000
             df = df.where(keep(F.col("time"), F.lit(str(bound)).cast(kind)))
     rows = df.select(*ACTIVITY_COLUMNS)
     if limit or offset:
@@ -97,7 +102,7 @@ def activity_window(
 
 def _same(keys: list[str]) -> tuple[dict[str, str], Column]:
     renamed = {k: f"_right_{k}" for k in keys}
-    matches = [F.col(k).eqNullSafe(F.col(r)) for k, r in renamed.items()]
+    matches = [F.col(quoted(k)).eqNullSafe(F.col(quoted(r))) for k, r in renamed.items()]
     return renamed, reduce(Column.__and__, matches)
 
 
@@ -144,14 +149,14 @@ def join_full(many: DataFrame, few: DataFrame, keys: list[str]) -> DataFrame:
 def join_anti(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``left`` without a partner; the right side shrinks to its keys first."""
     renamed, condition = _same(keys)
-    distinct_keys = right.select(*keys).distinct().withColumnsRenamed(renamed)
+    distinct_keys = right.select(*exactly(keys)).distinct().withColumnsRenamed(renamed)
     return left.join(distinct_keys, condition, "left_anti")
 
 
 def join_semi(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
     """Rows of ``left`` with a partner; the right side shrinks to its keys first."""
     renamed, condition = _same(keys)
-    distinct_keys = right.select(*keys).distinct().withColumnsRenamed(renamed)
+    distinct_keys = right.select(*exactly(keys)).distinct().withColumnsRenamed(renamed)
     return left.join(distinct_keys, condition, "left_semi")
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from tidemark.functions.names import exactly, quoted
 from tidemark.functions.servicetypes import (
     looks_like_date,
     looks_like_datetime,
@@ -51,7 +52,7 @@ def infer_types(df: DataFrame, numbers: bool = False) -> DataFrame:
     tests = {"DATETIME": looks_like_datetime, "DATE": looks_like_date}
     if numbers:
         tests |= {"LONG": lambda c: parse_whole(c).isNotNull(), "DOUBLE": lambda c: parse_double(c).isNotNull()}
-    cells = df.select(F.posexplode(F.array(*[F.col(f"`{n}`") for n in texts])).alias("place", "text"))
+    cells = df.select(F.posexplode(F.array(*exactly(texts))).alias("place", "text"))
     counts = (
         cells.where(F.col("text").isNotNull())
         .groupBy("place")
@@ -93,7 +94,7 @@ def cast_typed(df: DataFrame, types: dict[str, str], any_format: bool = False) -
     """Read text columns as their declared service types; bad values become null."""
     return df.select(
         *[
-            parse_as(F.col(f"`{c}`"), types[c], any_format).alias(c) if c in types else F.col(f"`{c}`")
+            parse_as(F.col(quoted(c)), types[c], any_format).alias(c) if c in types else F.col(quoted(c))
             for c in df.columns
         ]
     )

@@ -255,7 +255,8 @@ def _compare(records: DataFrame, desired: DataFrame, lists: bool) -> DataFrame:
         wanted = wanted.drop("first")
     items = (
         stored.unionByName(wanted, allowMissingColumns=True)
-        .groupBy(*POLICY, "part", "item")
+        # The item leads because these rows are sorted, and it tells most of them apart.
+        .groupBy("item", "part", "policy_name", "dataset_id", "policy_column")
         .agg(
             F.count("stored").alias("stored"), F.count("wanted").alias("wanted"), F.sum("pairs").alias("pairs"),
             F.min("policy_id").alias("low_id"), F.max("policy_id").alias("policy_id"),

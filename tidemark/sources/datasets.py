@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from tidemark.functions.names import friendly_names
+from tidemark.functions.names import exactly, friendly_names
 from tidemark.operators.relational import page_rows
 from tidemark.operators.schema import cast_typed, inferred_columns
 from tidemark.sources import storage
@@ -105,8 +106,18 @@ def dataset_listing(spark: SparkSession, root: str, limit: int = 0, offset: int
     return page_rows(listing, ["name"], limit, offset)
 
 
-def dataset_sql(spark: SparkSession, query: str, path: str, kind: str = "parquet") -> DataFrame:
-    """Run SQL over one stored dataset, named ``table`` in the text.
+def read_parquet(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
+def dataset_sql(
+    spark: SparkSession,
+    query: str,
+    path: str,
+    read: Callable[[SparkSession, str], DataFrame] = read_parquet,
+) -> DataFrame:
+    """Run SQL over one stored dataset, named ``table`` in the text. ``read``
+    says how it is stored (``read_published``, ``scan_csv``, ...).
 
     The name lives in a session of its own, with the same settings, so queries
     on different datasets can run side by side.
@@ -115,10 +126,10 @@ def dataset_sql(spark: SparkSession, query: str, path: str, kind: str = "parquet
     for key, value in spark.conf.getAll.items():
         if own.conf.isModifiable(key):
             own.conf.set(key, value)
-    own.read.format(kind).load(path).createOrReplaceTempView("table")
+    read(own, path).createOrReplaceTempView("table")
     return own.sql(query)
 
 
 def sql_rows_json(result: DataFrame) -> DataFrame:
     """A query result untyped: one list of texts per row, as it travels on the wire."""
-    return result.select(F.array(*[F.col(f"`{c}`").cast("string") for c in result.columns]).alias("row"))
+    return result.select(F.array(*[c.cast("string") for c in exactly(result.columns)]).alias("row"))

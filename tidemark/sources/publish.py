@@ -15,6 +15,7 @@ from dataclasses import asdict, dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from tidemark.functions.names import exactly
 from tidemark.operators.changes import latest_per_key, upsert_rows
 from tidemark.operators.schema import columns_of, schema_changes
 from tidemark.sources import storage
@@ -64,7 +65,7 @@ def estimate_part_rows(
     Takes the mean row width of a sample, or of all rows when the sample is
     small or ``sample_fraction`` is None. It only sets where parts are cut.
     """
-    width = (F.octet_length(F.to_csv(F.struct(*df.columns))) + 1) / 1000.0
+    width = (F.octet_length(F.to_csv(F.struct(*exactly(df.columns)))) + 1) / 1000.0
     totals = [F.count(F.lit(1)).alias("rows"), F.avg(width).alias("kb")]
     found = df.sample(sample_fraction, seed=1).agg(*totals).first() if sample_fraction else None
     if found is None or found["rows"] < SAMPLED_ROWS:
@@ -126,7 +127,7 @@ def _part_folder(path: str, version: str, bucket: str) -> str:
 
 
 def _bucket(keys: Sequence[str], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    return F.pmod(F.xxhash64(*exactly(keys)), F.lit(buckets)).cast("int")
 
 
 def check_keys(keys: Sequence[str] | None) -> list[str]:
@@ -265,7 +266,7 @@ def publish_upsert(
     schema = T.StructType.fromJson(json.loads(state.schema))
     columns = [f.name for f in schema.fields]
     try:
-        latest_per_key(batch, keys, order).select(*columns).write.parquet(staged)
+        latest_per_key(batch, keys, order).select(*exactly(columns)).write.parquet(staged)
         latest = spark.read.schema(schema).parquet(staged)
         touched = [str(r[0]) for r in latest.select(_bucket(keys, state.buckets)).distinct().collect()]
         stored = _read_parts(spark, path, state, touched)
