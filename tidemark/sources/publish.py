@@ -22,7 +22,7 @@ from tidemark.sources import storage
 from tidemark.sources.datasets import write_options
 
 BUCKET = "_bucket"
-DEFAULT_BUCKETS = 64
+DEFAULT_BUCKETS = 16
 PART_KILOBYTES = 10000.0 * 3
 # Fewer sampled rows than this do not tell the row width.
 SAMPLED_ROWS = 1000
