@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import token_counts, token_shards
+from tidemark.llm import line_dedup, mixing, token_counts, token_shards
 from tidemark.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,3 +40,19 @@ def op2_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+@registered
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_plan(table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+ORACLES["op4_source_mixing"] = mixing.ORACLE
+
+
+@registered
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.drop_boilerplate(table(spark, sf_dir, "pages"))
+
+
+ORACLES["op10_line_dedup"] = line_dedup.ORACLE
