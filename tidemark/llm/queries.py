@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import line_dedup, mixing, token_counts, token_shards
+from tidemark.llm import line_dedup, mixing, secret_scan, token_counts, token_shards
 from tidemark.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,3 +56,9 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op10_line_dedup"] = line_dedup.ORACLE
+
+
+@registered
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
