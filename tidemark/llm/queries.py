@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import line_dedup, mixing, secret_scan, token_counts, token_shards
+from tidemark.llm import language_id, line_dedup, mixing, secret_scan, token_counts, token_shards, toxicity
 from tidemark.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -62,3 +62,14 @@ ORACLES["op10_line_dedup"] = line_dedup.ORACLE
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan.scan_secrets(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
+@registered
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify_languages(table(spark, sf_dir, "documents"))
+
+
+@registered
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.detect_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "held_out", "score", "predicted", "neighbours")
