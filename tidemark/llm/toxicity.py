@@ -31,6 +31,8 @@ MOST_TERMS = 1024
 LEAST_G2 = 40.0
 LEAST_DOCS = 3
 LEAST_SHARE = 0.9
+# Distinct kept terms a text needs to be compared; a marking word holds several.
+LEAST_TERMS = 2
 NEIGHBOURS = 15
 BLOCK = 64
 # Votes of cosine 1 that the base rate weighs as much as.
@@ -90,7 +92,7 @@ class Model:
         return (codes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)
 
     def vectors(self, data: np.ndarray, ends: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray]]:
-        """(text, terms, unit weights) of every text that has a kept term."""
+        """(text, terms, unit weights) of every text that has LEAST_TERMS kept terms."""
         if not len(self.terms):
             return []
         found, stops = codes_of(data, ends)
@@ -109,6 +111,8 @@ class Model:
         found, first = np.unique(texts, return_index=True)
         out = []
         for text, a, b in zip(found.tolist(), first, [*first[1:], len(texts)]):
+            if b - a < LEAST_TERMS:
+                continue
             w = weights[a:b]
             out.append((text, terms[a:b], w / np.sqrt(w @ w)))
         return out
@@ -191,7 +195,7 @@ def build(ids: list[int], texts: list[str], toxic: list[int], weight: list[float
     pointers = np.stack([np.append(pointers[t * blocks : (t + 1) * blocks], pointers[(t + 1) * blocks]) for t in range(len(kept))]) if len(kept) else np.zeros((0, blocks + 1), np.int64)
     block_max = np.zeros((len(kept), blocks))
     np.maximum.at(block_max, (term, example // BLOCK), weights)
-    empty = norms == 0
+    empty = np.bincount(example, minlength=n) < LEAST_TERMS
     rate = lambda rows: float((share * label)[rows].sum() / share[rows].sum()) if share[rows].sum() else 0.0
     return Model(
         distinct[kept], idf, np.array(ids, np.int64), share * label, share, example, weights, pointers, block_max,
@@ -239,7 +243,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, score, predicted, neighbours (ids of the nearest examples): one row per input row.
 
-    A text without any kept term, as an empty or null one, gets the rate of
+    A text without LEAST_TERMS kept terms, as an empty or null one, gets the rate of
     toxic examples among such texts; without labels every score is 0.
     """
     ship(docs.sparkSession)
