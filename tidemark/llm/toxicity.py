@@ -159,9 +159,10 @@ def build(ids: list[int], texts: list[str], toxic: list[int], weight: list[float
     codes: list[np.ndarray] = []
     owners: list[np.ndarray] = []
     counts: list[np.ndarray] = []
+    likely = _likely_slots(texts, label)
     for i, text in enumerate(texts):
-        data = np.frombuffer(text.encode("utf-8"), np.uint8)
-        own, times = np.unique(np.concatenate(codes_of(data, np.array([0, len(data)]))[0]), return_counts=True)
+        own = _text_codes(text)
+        own, times = np.unique(own[likely[_wide_slot(own)]], return_counts=True)
         codes.append(own)
         owners.append(np.full(len(own), i))
         counts.append(times)
@@ -203,7 +204,34 @@ def build(ids: list[int], texts: list[str], toxic: list[int], weight: list[float
     )
 
 
-def _marking(in_toxic: np.ndarray, in_all: np.ndarray, toxic: float, n: float) -> np.ndarray:
+def _text_codes(text: str) -> np.ndarray:
+    data = np.frombuffer(text.encode("utf-8"), np.uint8)
+    return np.concatenate(codes_of(data, np.array([0, len(data)]))[0])
+
+
+def _wide_slot(codes: np.ndarray) -> np.ndarray:
+    return (codes * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(64 - 24)
+
+
+def _likely_slots(texts: list[str], label: np.ndarray) -> np.ndarray:
+    """Which of 2**24 hashed slots hold terms that may mark the toxic class.
+
+    Slots share counts, so this only spares the exact statistics the many terms
+    that are far from marking anything.
+    """
+    in_toxic, in_all = np.zeros(1 << 24, np.float32), np.zeros(1 << 24, np.float32)
+    for text, is_toxic in zip(texts, label):
+        slots = np.unique(_wide_slot(_text_codes(text)))
+        in_all[slots] += 1
+        if is_toxic:
+            in_toxic[slots] += 1
+    likely = np.zeros(1 << 24, bool)
+    some = np.flatnonzero((in_toxic >= LEAST_DOCS) & (in_toxic > 0.3 * in_all))
+    likely[some[_marking(in_toxic[some].astype(float), in_all[some].astype(float), float(label.sum()), float(len(texts)), LEAST_G2 / 4)]] = True
+    return likely
+
+
+def _marking(in_toxic: np.ndarray, in_all: np.ndarray, toxic: float, n: float, least: float = LEAST_G2) -> np.ndarray:
     """Terms by falling G squared of term against toxic label, those that mark the toxic class."""
     if not 0 < toxic < n:
         return np.zeros(0, np.int64)
@@ -215,7 +243,7 @@ def _marking(in_toxic: np.ndarray, in_all: np.ndarray, toxic: float, n: float) -
         with np.errstate(divide="ignore", invalid="ignore"):
             g2 += np.where(seen > 0, 2 * seen * np.log(seen / expected), 0)
     more = in_toxic / toxic > (in_all - in_toxic) / (n - toxic)
-    good = np.flatnonzero((g2 >= LEAST_G2) & (in_all >= LEAST_DOCS) & more)
+    good = np.flatnonzero((g2 >= least) & (in_all >= LEAST_DOCS) & more)
     return good[np.argsort(-g2[good], kind="stable")]
 
 
