@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import language_id, line_dedup, mixing, secret_scan, token_counts, token_shards, toxicity
+from tidemark.llm import language_id, line_dedup, mixing, secret_scan, token_counts, token_shards, topk_search, toxicity
 from tidemark.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,3 +73,12 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = toxicity.detect_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return found.select("doc_id", "held_out", "score", "predicted", "neighbours")
+
+
+@registered
+def op6_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return topk_search.top_k(vectors, vectors.where("vec_id % 100 = 0"))
+
+
+ORACLES["op6_topk_search"] = topk_search.ORACLE
