@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import language_id, line_dedup, mixing, secret_scan, token_counts, token_shards, topk_search, toxicity
+from tidemark.llm import decontamination, language_id, line_dedup, mixing, secret_scan, token_counts, token_shards, topk_search, toxicity
 from tidemark.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -82,3 +82,14 @@ def op6_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ORACLES["op6_topk_search"] = topk_search.ORACLE
+
+
+def benchmark_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The test items; their texts have one piece, so question and answer are cut from it."""
+    question, answer = decontamination.question_and_answer(F.col("text"))
+    return table(spark, sf_dir, "benchmark").select("item_id", question.alias("question"), answer.alias("answer"))
+
+
+@registered
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find_contamination(table(spark, sf_dir, "documents"), benchmark_items(spark, sf_dir))
