@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tidemark.llm import decontamination, language_id, line_dedup, mixing, secret_scan, token_counts, token_shards, topk_search, toxicity
+from tidemark.llm import (
+    decontamination, language_id, line_dedup, mixing, ngram_join, secret_scan, token_counts, token_shards, topk_search, toxicity,
+)
 from tidemark.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -93,3 +95,8 @@ def benchmark_items(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find_contamination(table(spark, sf_dir, "documents"), benchmark_items(spark, sf_dir))
+
+
+@registered
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
