@@ -21,7 +21,8 @@ from tidemark.llm.common import batch_of, documents, ship, slices
 from tidemark.llm.wavelet import WaveletMatrix
 
 # Encoded chunks, and words within them, that a worker keeps before it starts over.
-KEPT_CHUNKS = 700_000
+KEPT_CHUNKS = 400_000
+KEPT_WORDS = 1_200_000
 KEPT_LENGTH = 64
 # A shard is closed once it has this many tokens; a document is never cut.
 SHARD_TOKENS = 1_000_000
@@ -40,8 +41,8 @@ BLANKS = re.compile(r"[ \t\n\r\x0b\x0c]+")
 # What str.split takes for blanks beyond those.
 ODD_BLANKS = "\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 # A word and the marks behind it are separate pieces to the tokenizer, whatever
-# the word's case.
-PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([-!\"#$%&()*+,./:;=?@\[\\\]^_`{}~]*)")
+# the word's case. Apostrophes, and what special tokens are made of, are no marks here.
+MARKS = "-!\"#$%&()*+,./:;=?@[\\]^_`{}~"
 
 
 def chunks_of(text: str | None) -> list[str]:
@@ -68,10 +69,12 @@ class ChunkEncoder:
 
     def encode(self, texts: list[str | None], end_id: int) -> list[np.ndarray]:
         split = [chunks_of(t) for t in texts]
-        if len(self.known) > KEPT_CHUNKS or len(self.words) > KEPT_CHUNKS:
-            self.known, self.words = {}, {}
+        if len(self.known) > KEPT_CHUNKS:
+            self.known = {}
+        if len(self.words) > KEPT_WORDS:
+            self.words = {}
         known = self.known
-        fresh = [c for c in set().union(*split) if c not in known]
+        fresh = {c for chunks in split for c in chunks if c not in known}
         self._learn(fresh)
         end = np.array([end_id], "<u4").tobytes()
         out = [np.frombuffer(b"".join([*map(known.__getitem__, chunks), end]), "<u4") for chunks in split]
@@ -80,25 +83,37 @@ class ChunkEncoder:
                 del known[chunk]
         return out
 
-    def _learn(self, fresh: list[str]) -> None:
+    def _learn(self, fresh: set[str]) -> None:
         known, words = self.known, self.words
-        plain, other = [], []
+        plain: list[str] = []
+        lowered: list[str] = []
+        other: list[str] = []
+        missing: set[str] = set()
         for chunk in fresh:
-            match = PLAIN.fullmatch(chunk)
-            if match and len(chunk) <= KEPT_LENGTH:
-                plain.append((chunk, match[1].lower(), match[2]))
+            word = chunk.rstrip(MARKS)
+            if word.isalpha() and len(chunk) <= KEPT_LENGTH and (word.isascii() or max(word) <= "ÿ"):
+                low = word.lower()
+                if low not in words:
+                    missing.add(low)
+                if len(word) < len(chunk) and (marks := chunk[len(word) :]) not in words:
+                    missing.add(marks)
+                plain.append(chunk)
+                lowered.append(low)
             else:
                 other.append(chunk)
-        missing = list({w for _, word, marks in plain for w in (word, marks) if w and w not in words})
+        # One text of words between blanks is one piece per word.
         if missing:
             joined = np.array(self.tokenizer.encode_batch_fast([" ".join(missing)], add_special_tokens=False)[0].ids, "<u4")
-            stops = (np.flatnonzero(self.ends[joined]) + 1).tolist()
+            stops = ((np.flatnonzero(self.ends[joined]) + 1) * 4).tolist()
             if len(stops) != len(missing):
                 raise ValueError("the tokenizer does not mark the ends of words")
-            for word, a, b in zip(missing, [0, *stops], stops):
-                words[word] = joined[a:b].tobytes()
-        for chunk, word, marks in plain:
-            known[chunk] = words[word] + words[marks] if marks else words[word]
+            ids, start = joined.tobytes(), 0
+            for word, stop in zip(missing, stops):
+                words[word] = ids[start:stop]
+                start = stop
+        for chunk, low in zip(plain, lowered):
+            size = len(low)
+            known[chunk] = words[low] if len(chunk) == size else words[low] + words[chunk[size:]]
         for chunk, got in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
             known[chunk] = np.array(got.ids, "<u4").tobytes()
 

@@ -34,7 +34,7 @@ class WaveletMatrix:
         order = ids.astype(np.uint16 if levels <= 16 else np.uint32)
         zeros, planes, ranks = [], [], []
         for level in range(levels - 1, -1, -1):
-            ones = (order >> level) & 1 == 1
+            ones = (order & order.dtype.type(1 << level)) != 0
             packed = np.packbits(ones, bitorder="little")
             planes.append(packed)
             ranks.append(_block_ranks(packed))
