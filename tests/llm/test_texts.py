@@ -93,17 +93,17 @@ def test_near_copies_cost_a_few_pairs_each(spark):
         words[rng.randrange(200)] = f"own{i}"
         rows.append((i, " ".join(words)))
     made = []
-    original = ngram_join._verified
+    original = ngram_join._overlaps
 
-    def counted(pairs, *rest):
+    def counted(pairs, parts):
         made.append(pairs.count())
-        return original(pairs, *rest)
+        return original(pairs, parts)
 
-    ngram_join._verified = counted
+    ngram_join._overlaps = counted
     try:
         got = near(spark, rows)
     finally:
-        ngram_join._verified = original
+        ngram_join._overlaps = original
     assert {c for _, _, c in got} == {0}
     assert sum(made) < 20 * len(rows)
 

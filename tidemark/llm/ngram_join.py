@@ -11,7 +11,10 @@ count. Three things are counted that way:
 3. The overlaps of candidate pairs, summed per pair and compared exactly.
 
 Equal sets are one class throughout. Candidates share one of their first
-n-grams (the prefix filter, which loses no pair). Each set is compared with the
+n-grams (the prefix filter, shorter for the smaller set of a pair), each has as
+many repeated n-grams as the pair must share, and what both share with a common
+leader in each fragment, with what they have beside it, must suffice; none of these
+loses a pair. Each set is compared with the
 leaders of its prefix n-grams first, the sets with the fewest n-grams of their
 own, and linked sets fall into one component; only pairs of sets that are still
 apart are then compared one by one. So a group of near copies costs a few
@@ -38,6 +41,8 @@ FRAGMENT_GRAMS = 4_000_000
 LEAST_FRAGMENTS = 16
 # Fragments in which a pair's overlap is counted.
 PAIR_FRAGMENTS = 8
+# Leaders per set whose overlaps rule pairs out.
+HUBS = 4
 # A posting is 48 bits of the n-gram's hash and 16 bits for the set in its slice.
 SLOT_BITS = 16
 
@@ -47,10 +52,10 @@ BLOBS = pa.schema([("fragment", pa.int32()), ("postings", pa.binary()), ("owners
 BLOBS_SQL = "fragment int, postings binary, owners binary"
 COUNTS = pa.schema([("s1", pa.int64()), ("r", pa.int64())])
 PARTS = pa.schema([("s1", pa.int64()), ("grams", pa.binary())])
-HEADS = pa.schema([("gram", pa.int64()), ("s1", pa.int64()), ("n", pa.int64()), ("own", pa.int64()), ("band", pa.int32())])
-HEADS_SQL = "gram bigint, s1 bigint, n bigint, own bigint, band int"
+HEADS = pa.schema([("gram", pa.int64()), ("s1", pa.int64()), ("n", pa.int64()), ("r", pa.int64()), ("band", pa.int32()), ("early", pa.bool_())])
+HEADS_SQL = "gram bigint, s1 bigint, n bigint, r bigint, band int, early boolean"
 CUTS = pa.schema([("s1", pa.int64()), ("part", pa.int32()), ("grams", pa.binary())])
-OVERLAPS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("na", pa.int64()), ("nb", pa.int64()), ("both", pa.int64())])
+OVERLAPS = pa.schema([("a", pa.int64()), ("b", pa.int64()), ("na", pa.int64()), ("nb", pa.int64()), ("part", pa.int32()), ("both", pa.int64())])
 
 
 def _grams(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -180,7 +185,12 @@ def _least(n: int, threshold: tuple[int, int]) -> int:
 
 
 def _heads(threshold: tuple[int, int]):
-    """The first n-grams of every set: one of them is shared with any similar set."""
+    """The first n-grams of every set: one of them is shared with any similar set.
+
+    ``early`` marks those among which a similar set that is not smaller must
+    share one; a pair then has at least 2 t / (1 + t) of the smaller set.
+    """
+    most, of = threshold
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,9 +198,10 @@ def _heads(threshold: tuple[int, int]):
                 gram = np.frombuffer(grams.as_buffer(), np.int64)
                 head = gram[: max(0, len(gram) - _least(n, threshold) + 1)]
                 k = len(head)
+                early = np.arange(k) <= len(gram) - _least(n, (2 * most, most + of))
                 # Sets whose sizes are within the threshold are in one band or in neighbours.
-                band = int(np.floor(np.log(n) / np.log(threshold[1] / threshold[0]) + 1e-9))
-                yield batch_of(HEADS, head, np.full(k, s1), np.full(k, n), np.full(k, n - len(gram)), np.full(k, band))
+                band = int(np.floor(np.log(n) / np.log(of / most) + 1e-9))
+                yield batch_of(HEADS, head, np.full(k, s1), np.full(k, n), np.full(k, len(gram)), np.full(k, band), early)
 
     return run
 
@@ -214,41 +225,63 @@ def _overlap(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             len(np.intersect1d(np.frombuffer(x.as_buffer(), np.int64), np.frombuffer(y.as_buffer(), np.int64), assume_unique=True))
             for x, y in zip(batch.column("x"), batch.column("y"))
         ]
-        yield batch_of(OVERLAPS, *[batch.column(c) for c in ("a", "b", "na", "nb")], both)
+        yield batch_of(OVERLAPS, *[batch.column(c) for c in ("a", "b", "na", "nb", "part")], both)
 
 
 def similar(both: Column, na: Column, nb: Column, threshold: tuple[int, int] = THRESHOLD) -> Column:
     return threshold[1] * both >= threshold[0] * (na + nb - both)
 
 
-def _verified(pairs: DataFrame, parts: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """The similar ones of pairs (a, b, na, nb): overlaps counted per fragment, summed per pair."""
+def _by_part(values: Column) -> Column:
+    """Sums of ``values`` per fragment, as an array."""
+    return F.array(*[F.sum(F.when(F.col("part") == p, values).otherwise(0)) for p in range(PAIR_FRAGMENTS)])
+
+
+def _overlaps(pairs: DataFrame, parts: DataFrame) -> DataFrame:
+    """a, b, na, nb, shares, both of pairs (a, b, na, nb): counted per fragment, summed per pair."""
     left = parts.select(F.col("s1").alias("a"), "part", F.col("grams").alias("x"))
     right = parts.select(F.col("s1").alias("b"), "part", F.col("grams").alias("y"))
-    met = pairs.join(left, "a").join(right, ["b", "part"]).select("a", "b", "na", "nb", "x", "y")
-    counted = met.mapInArrow(_overlap, "a bigint, b bigint, na bigint, nb bigint, both bigint")
-    total = counted.groupBy("a", "b", "na", "nb").agg(F.sum("both").alias("both"))
-    return total.where(similar(F.col("both"), F.col("na"), F.col("nb"), threshold))
+    met = pairs.join(left, "a").join(right, ["b", "part"]).select("a", "b", "na", "nb", "part", "x", "y")
+    counted = met.mapInArrow(_overlap, "a bigint, b bigint, na bigint, nb bigint, part int, both bigint")
+    return counted.groupBy("a", "b", "na", "nb").agg(_by_part(F.col("both")).alias("shares"), F.sum("both").alias("both"))
+
+
+def _links(overlaps: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    return overlaps.where(similar(F.col("both"), F.col("na"), F.col("nb"), threshold)).select("a", "b")
 
 
-def _fits(threshold: tuple[int, int]) -> Column:
-    """Sizes that allow the similarity."""
-    return threshold[1] * F.least("na", "nb") >= threshold[0] * F.greatest("na", "nb")
+def _fits(na: str, ra: str, nb: str, rb: str, threshold: tuple[int, int]) -> Column:
+    """Whether sets of these sizes and counts of repeated n-grams can be similar."""
+    most, of = threshold
+    alike = of * F.least(na, nb) >= most * F.greatest(na, nb)
+    return alike & ((most + of) * F.least(ra, rb) >= most * (F.col(na) + F.col(nb)))
 
 
-def _leader_pairs(heads: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+def _leader_pairs(heads: DataFrame) -> DataFrame:
     """Every set with the leaders of its n-grams, of its own size band and the one below."""
-    best = heads.groupBy("gram", "band").agg(F.min(F.struct("own", "s1", "n")).alias("lead"))
-    asked = heads.select("gram", "s1", "n", F.explode(F.array("band", F.col("band") - 1)).alias("band"))
-    return (
-        asked.join(best, ["gram", "band"]).where(F.col("s1") != F.col("lead.s1"))
-        .select(F.col("s1").alias("a"), F.col("lead.s1").alias("b"), F.col("n").alias("na"), F.col("lead.n").alias("nb"))
-        .distinct().where(_fits(threshold))
+    best = heads.groupBy("gram", "band").agg(F.min(F.struct((F.col("n") - F.col("r")).alias("own"), "s1", "n")).alias("lead"))
+    best = best.select("gram", "band", F.col("lead.s1").alias("b"), F.col("lead.n").alias("nb"))
+    asked = heads.select("gram", F.col("s1").alias("a"), F.col("n").alias("na"), F.explode(F.array("band", F.col("band") - 1)).alias("band"))
+    return asked.join(best, ["gram", "band"]).where("a <> b").select("a", "b", "na", "nb").distinct()
+
+
+def _hubs(pairs: DataFrame, overlaps: DataFrame, parts: DataFrame) -> DataFrame:
+    """s1, hubs: of the leaders a set was compared with, or is itself, the HUBS that were
+    compared with most sets, each with the n-grams the two share per fragment."""
+    sizes = parts.join(pairs.select(F.col("b").alias("s1")).distinct(), "s1", "left_semi").groupBy("s1").agg(
+        _by_part(F.octet_length("grams") / 8).alias("shares"), F.sum(F.octet_length("grams") / 8).alias("both")
+    )
+    whole = "array<bigint>"
+    own = sizes.select("s1", F.col("s1").alias("hub"), F.col("shares").cast(whole).alias("shares"), F.col("both").cast("bigint").alias("both"))
+    met = overlaps.select(F.col("a").alias("s1"), F.col("b").alias("hub"), F.col("shares").cast(whole).alias("shares"), "both").unionByName(own)
+    busy = overlaps.groupBy(F.col("b").alias("hub")).agg(F.count(F.lit(1)).alias("k"))
+    return met.join(busy, "hub").groupBy("s1").agg(
+        F.slice(F.sort_array(F.collect_list(F.struct("k", "hub", "both", "shares")), asc=False), 1, HUBS).alias("hubs")
     )
 
 
-def _open_pairs(heads: DataFrame, labels: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """Pairs that share a first n-gram and are in different components.
+def _open_pairs(heads: DataFrame, labels: DataFrame, hubs: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """Pairs that may be similar and are in different components.
 
     In a n-gram's bucket the sets outside its largest component meet the others;
     those inside are connected already.
@@ -256,17 +289,35 @@ def _open_pairs(heads: DataFrame, labels: DataFrame, threshold: tuple[int, int])
     named = heads.join(labels.select(F.col("node").alias("s1"), "component"), "s1", "left").withColumn(
         "component", F.coalesce("component", "s1")
     )
-    sizes = named.groupBy("gram", "component").agg(F.count(F.lit(1)).alias("k"))
-    main = sizes.groupBy("gram").agg(F.max(F.struct("k", "component")).alias("m"), F.count(F.lit(1)).alias("components"))
-    open_grams = main.where("components > 1").select("gram", F.col("m.component").alias("main"))
-    known = saved(named.join(open_grams, "gram"), "open-heads")
-    left = known.where("component <> main").select("gram", F.col("s1").alias("a"), F.col("n").alias("na"), F.col("component").alias("ca"))
-    right = known.select("gram", F.col("s1").alias("b"), F.col("n").alias("nb"), F.col("component").alias("cb"), "main")
-    met = left.join(right, "gram").where((F.col("ca") != F.col("cb")) & _fits(threshold))
-    # Two sets outside the main component would meet twice.
-    met = met.where((F.col("cb") == F.col("main")) | (F.col("a") < F.col("b")))
-    return met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), F.when(F.col("a") < F.col("b"), F.col("na")).otherwise(F.col("nb")).alias("na"),
-                      F.when(F.col("a") < F.col("b"), F.col("nb")).otherwise(F.col("na")).alias("nb")).distinct()
+    sizes = named.groupBy("gram", "component").agg(F.count(F.lit(1)).alias("k"), F.max("early").alias("early"))
+    main = sizes.groupBy("gram").agg(
+        F.max(F.struct("k", "component")).alias("m"), F.count(F.lit(1)).alias("components"), F.max("early").alias("early")
+    )
+    open_grams = main.where("components > 1 AND early").select("gram", F.col("m.component").alias("main"))
+    known = named.join(open_grams, "gram").withColumn("inside", F.col("component") == F.col("main")).join(hubs, "s1", "left")
+    known = saved(known, "open-heads")
+    names = {"s1": "", "n": "n", "r": "r", "component": "c", "inside": "i", "hubs": "h"}
+    larger = known.select("gram", *[F.col(c).alias(f"{x}a") for c, x in names.items()])
+    smaller = known.where("early").select(F.col("gram").alias("gram_b"), *[F.col(c).alias(f"{x}b") for c, x in names.items()])
+    most, of = threshold
+    needed = most * (F.col("na") + F.col("nb"))
+
+    def too_few(x: Column, y: Column) -> Column:
+        within = sum((F.least(x["shares"][p], y["shares"][p]) for p in range(PAIR_FRAGMENTS)), F.lit(0))
+        beside = F.least(F.col("ra") - x["both"], F.col("rb") - y["both"])
+        return (x["hub"] == y["hub"]) & ((most + of) * (within + beside) < needed)
+
+    ruled_out = F.exists("ha", lambda x: F.exists("hb", lambda y: too_few(x, y)))
+    apart = (
+        (F.col("gram") == F.col("gram_b")) & (F.col("nb") <= F.col("na")) & (F.col("ca") != F.col("cb"))
+        & _fits("na", "ra", "nb", "rb", threshold) & ~F.coalesce(ruled_out, F.lit(False))
+    )
+    met = larger.where("NOT ia").join(smaller, apart).unionByName(larger.where("ia").join(smaller.where("NOT ib"), apart))
+    # Sets of one size meet both ways.
+    turned = (F.col("na") == F.col("nb")) & (F.col("a") > F.col("b"))
+    return met.select(
+        F.when(turned, F.col("b")).otherwise(F.col("a")).alias("a"), F.when(turned, F.col("a")).otherwise(F.col("b")).alias("b"), "na", "nb"
+    ).distinct()
 
 
 def near_duplicates(
@@ -299,9 +350,12 @@ def near_duplicates(
 
     heads = saved(kept.mapInArrow(_heads(threshold), HEADS_SQL), "gram-heads")
     cuts = saved(kept.select("s1", "grams").mapInArrow(_cut(PAIR_FRAGMENTS), "s1 bigint, part int, grams binary"), "gram-parts")
-    links = saved(_verified(_leader_pairs(heads, threshold), cuts, threshold).select("a", "b"), "gram-links")
+    pairs = saved(_leader_pairs(heads), "leader-pairs")
+    overlaps = saved(_overlaps(pairs, cuts), "leader-overlaps")
+    links = _links(overlaps, threshold)
     labels = saved(connected_components(links), "gram-labels")
-    rest = saved(_verified(_open_pairs(heads, labels, threshold), cuts, threshold).select("a", "b"), "gram-links")
+    hubs = saved(_hubs(pairs, overlaps, cuts), "gram-hubs")
+    rest = saved(_links(_overlaps(_open_pairs(heads, labels, hubs, threshold), cuts), threshold), "gram-links")
     if not rest.isEmpty():
         labels = saved(connected_components(rest.unionByName(labels.select(F.col("node").alias("a"), F.col("component").alias("b")))), "gram-labels")
 
