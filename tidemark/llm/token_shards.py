@@ -21,11 +21,11 @@ from tidemark.llm.common import batch_of, documents, ship, slices
 from tidemark.llm.wavelet import WaveletMatrix
 
 # Encoded chunks, and words within them, that a worker keeps before it starts over.
-KEPT_CHUNKS = 400_000
-KEPT_WORDS = 1_200_000
+KEPT_CHUNKS = 600_000
+KEPT_WORDS = 900_000
 KEPT_LENGTH = 64
 # A shard is closed once it has this many tokens; a document is never cut.
-SHARD_TOKENS = 1_000_000
+SHARD_TOKENS = 500_000
 
 FILES = "shard bigint, n_docs bigint, n_tokens bigint, doc_ids array<bigint>, doc_tokens array<bigint>, matrix binary"
 FILES_ARROW = pa.schema([
@@ -74,10 +74,21 @@ class ChunkEncoder:
         if len(self.words) > KEPT_WORDS:
             self.words = {}
         known = self.known
-        fresh = {c for chunks in split for c in chunks if c not in known}
+        found = [list(map(known.get, chunks)) for chunks in split]
+        fresh: set[str] = set()
+        gaps: list[list[int]] = []
+        for chunks, parts in zip(split, found):
+            own = [at for at, part in enumerate(parts) if part is None] if None in parts else []
+            fresh.update([chunks[at] for at in own])
+            gaps.append(own)
         self._learn(fresh)
         end = np.array([end_id], "<u4").tobytes()
-        out = [np.frombuffer(b"".join([*map(known.__getitem__, chunks), end]), "<u4") for chunks in split]
+        out = []
+        for chunks, parts, own in zip(split, found, gaps):
+            for at in own:
+                parts[at] = known[chunks[at]]
+            parts.append(end)
+            out.append(np.frombuffer(b"".join(parts), "<u4"))
         for chunk in fresh:
             if len(chunk) > KEPT_LENGTH:
                 del known[chunk]

@@ -38,9 +38,9 @@ class WaveletMatrix:
             packed = np.packbits(ones, bitorder="little")
             planes.append(packed)
             ranks.append(_block_ranks(packed))
-            kept = order[~ones]
+            kept = np.compress(~ones, order)
             zeros.append(len(kept))
-            order = np.concatenate([kept, order[ones]])
+            order = np.concatenate([kept, np.compress(ones, order)])
         return cls(len(ids), zeros, planes, ranks)
 
     def to_bytes(self) -> bytes:
@@ -134,8 +134,8 @@ class WaveletMatrix:
         for plane in range(self.levels - 1, -1, -1):
             ones = np.unpackbits(self.planes[plane], count=n, bitorder="little").view(bool)
             zeros, restored = self.zeros[plane], np.empty(n, kind)
-            restored[~ones] = tokens[:zeros]
-            restored[ones] = tokens[zeros:] | kind(1 << (self.levels - 1 - plane))
+            restored[np.flatnonzero(~ones)] = tokens[:zeros]
+            restored[np.flatnonzero(ones)] = tokens[zeros:] | kind(1 << (self.levels - 1 - plane))
             tokens = restored
         return tokens.astype("<u4")
 
