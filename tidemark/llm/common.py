@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from tidemark.session import scratch_dir
 
 # Bytes of text a task handles at once, whatever the size of an Arrow batch.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 # White space of the word contracts: blank and the bytes 9 to 13.
 SPACE = r"[\x20\x09-\x0D]"
 WORD = r"[^\x20\x09-\x0D]+"
