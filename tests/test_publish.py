@@ -183,3 +183,64 @@ def test_types_survive_publishing(spark, path):
     publish.publish_replace(df, path, ["t"])
     assert publish.read_published(spark, path).collect() == df.collect()
     assert isinstance(publish.read_published(spark, path).schema["t"].dataType, T.TimestampNTZType)
+
+
+def test_a_write_between_read_and_commit_is_refused(spark, tmp_path):
+    path = str(tmp_path / "d")
+    publish.publish_replace(spark.range(3), path)
+    seen = publish.read_state(spark, path)
+    publish.publish_replace(spark.range(4), path)
+    with pytest.raises(publish.ConflictError):
+        publish.publish_replace(spark.range(5), path, expected_revision=seen.revision)
+    assert publish.read_published(spark, path).count() == 4
+
+
+def test_a_revision_is_created_once(spark, tmp_path):
+    path = str(tmp_path / "d")
+    one, two = publish.start_upload(spark.range(1), path), publish.start_upload(spark.range(2), path)
+    later = publish.read_state
+    try:
+        publish.read_state = lambda *_: None  # both look before either writes
+        publish.commit_upload(spark, one)
+        with pytest.raises(publish.ConflictError):
+            publish.commit_upload(spark, two)
+    finally:
+        publish.read_state = later
+    assert publish.read_published(spark, path).count() == 1
+
+
+def test_a_state_not_written_to_its_end_is_passed_over(spark, tmp_path):
+    path = str(tmp_path / "d")
+    publish.publish_replace(spark.range(3), path)
+    (tmp_path / "d" / "state-000000000002.json").write_text("{")
+    assert publish.read_published(spark, path).count() == 3
+
+
+def test_purge_spares_open_uploads(spark, tmp_path):
+    path = str(tmp_path / "d")
+    publish.publish_replace(spark.range(3), path)
+    publish.publish_replace(spark.range(4), path)
+    upload = publish.start_upload(spark.range(5), path)
+    assert publish.purge_versions(spark, path) == 1
+    publish.commit_upload(spark, upload)
+    assert publish.read_published(spark, path).count() == 5
+    lost = publish.start_upload(spark.range(6), path)
+    assert publish.purge_versions(spark, path, abandoned=True) == 2
+    with pytest.raises(publish.ConflictError):
+        publish.commit_upload(spark, lost)
+    assert publish.read_published(spark, path).count() == 5
+
+
+def test_upserts_fit_the_stored_schema(spark, tmp_path):
+    path = str(tmp_path / "d")
+    publish.publish_replace(spark.createDataFrame([(1, "a")], "k int, v string"), path, ["k"])
+    wider = spark.createDataFrame([(1, "b", 1), (2, "c", 1)], "k bigint, v string, seq int")
+    publish.publish_upsert(wider, path, ["k"], ["seq"])
+    assert sorted(map(tuple, publish.read_published(spark, path).collect())) == [(1, "b"), (2, "c")]
+    with pytest.raises(ValueError, match="extra"):
+        publish.publish_upsert(wider.withColumnRenamed("seq", "extra"), path, ["k"], ["k"])
+    with pytest.raises(Exception, match="does not fit int"):
+        publish.publish_upsert(spark.createDataFrame([(1 << 40, "d", 1)], wider.schema), path, ["k"], ["seq"])
+    with pytest.raises(ValueError, match="keyed"):
+        publish.publish_update(spark.createDataFrame([("a",)], "v string"), path)
+    assert sorted(map(tuple, publish.read_published(spark, path).collect())) == [(1, "b"), (2, "c")]

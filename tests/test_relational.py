@@ -115,6 +115,17 @@ def test_activity_window_over_milliseconds(audit, rows):
         assert rows(rel.activity_window(millis, start, end), "eventText") == [("e1",), ("e2",)]
 
 
+def test_activity_bounds_of_any_kind(audit, rows):
+    millis = audit.withColumn("time", F.unix_millis(F.col("time").cast("timestamp")))
+    east = dt.timezone(dt.timedelta(hours=2))
+    for log in (audit, millis):
+        for start in ("2024-01-03 00:00:01", "2024-01-03T02:00:01+02:00", dt.datetime(2024, 1, 3, 2, 0, 1, tzinfo=east), dt.datetime(2024, 1, 3, 0, 0, 0, 100)):
+            assert rows(rel.activity_window(log, start), "eventText") == [("e3",)]
+        for wrong in ("soon", 1.5):
+            with pytest.raises((ValueError, TypeError)):
+                rel.activity_window(log, wrong)
+
+
 def test_activity_window_is_pushed_down(audit, tmp_path, spark):
     audit.write.parquet(str(tmp_path / "log"))
     window = rel.activity_window(spark.read.parquet(str(tmp_path / "log")), "2024-01-02", "2024-01-03")

@@ -7,7 +7,7 @@ on the side adaptive execution can split, or reduced to distinct keys first.
 
 from __future__ import annotations
 
-from datetime import date, datetime, timezone
+from datetime import date, datetime, timedelta, timezone
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -72,6 +72,23 @@ def lookup_by_key(df: DataFrame, key: str, value: object) -> DataFrame:
     return found
 
 
+EPOCH = datetime(1970, 1, 1)
+
+
+def _moment(bound: str | int | date) -> datetime:
+    """A bound as UTC clock time: a date, a time with or without zone, their
+    ISO text, or milliseconds since 1970."""
+    if isinstance(bound, str):
+        bound = int(bound) if bound.lstrip("-").isdecimal() else datetime.fromisoformat(bound)
+    if isinstance(bound, int) and not isinstance(bound, bool):
+        return EPOCH + timedelta(milliseconds=bound)
+    if isinstance(bound, datetime):
+        return bound.astimezone(timezone.utc).replace(tzinfo=None) if bound.tzinfo else bound
+    if isinstance(bound, date):
+        return datetime(bound.year, bound.month, bound.day)
+    raise TypeError(f"no time: {bound!r}")
+
+
 def activity_window(
     df: DataFrame,
     start: str | int | date | None = None,
@@ -87,10 +104,13 @@ def activity_window(
     kind = df.schema["time"].dataType
     for bound, keep in ((start, Column.__ge__), (end, Column.__le__)):
         if bound is not None:
-            if isinstance(kind, T.IntegralType) and isinstance(bound, date):
-                day = datetime(*bound.timetuple()[:6], tzinfo=timezone.utc)
-                bound = int(day.timestamp() * 1000) + getattr(bound, "microsecond", 0) // 1000
-            df = df.where(keep(F.col("time"), F.lit(str(bound)).cast(kind)))
+            moment = _moment(bound)
+            if isinstance(kind, T.IntegralType):
+                step = timedelta(milliseconds=1)
+                value = F.lit(-((EPOCH - moment) // step) if keep is Column.__ge__ else (moment - EPOCH) // step)
+            else:
+                value = F.lit(str(moment)).cast(kind)
+            df = df.where(keep(F.col("time"), value))
     rows = df.select(*ACTIVITY_COLUMNS)
     if limit or offset:
         return page_rows(rows, ACTIVITY_COLUMNS, limit, offset)

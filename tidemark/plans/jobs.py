@@ -19,16 +19,18 @@ def reconcile_policies(
     The dataset (parquet) has the columns ``Dataset ID``, ``Policy Name``,
     ``Policy Column``, ``User ID`` and ``Policy Value``. Gives the plan; with
     ``apply`` the policies are published anew with the plan carried out, and
-    readers see either all of its changes or none.
+    readers see either all of its changes or none. A writer that publishes in
+    between makes the run fail rather than be overwritten.
     """
-    records = read_published(spark, policies_path)
+    state = read_state(spark, policies_path)
+    records = read_published(spark, policies_path, state)
     desired = desired_from_dataset(spark.read.parquet(desired_path))
     written = scratch_dir(spark, "plan")
     policy_plan(records, desired).write.parquet(written)
     plan = spark.read.parquet(written)
     if apply and not plan.isEmpty():
-        state = read_state(spark, policies_path)
-        publish_replace(policy_apply(records, plan), policies_path, state.keys, state.buckets)
+        applied = policy_apply(records, plan)
+        publish_replace(applied, policies_path, state.keys, state.buckets, expected_revision=state.revision)
     return plan
 
 

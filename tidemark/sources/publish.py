@@ -8,6 +8,7 @@ hash, so an upsert rewrites only the buckets its keys fall in.
 from __future__ import annotations
 
 import json
+import re
 import uuid
 import warnings
 from collections.abc import Sequence
@@ -93,18 +94,39 @@ def write_csv_parts(
 # -- state -------------------------------------------------------------------------
 
 
-def _state_file(path: str) -> str:
-    return f"{path.rstrip('/')}/current.json"
+STATE_FILE = re.compile(r"state-(\d{12})\.json")
 
 
-def read_state(spark: SparkSession, path: str) -> State | None:
-    if not storage.exists(spark, _state_file(path)):
+def _state_file(path: str, revision: int) -> str:
+    return f"{path.rstrip('/')}/state-{revision:012d}.json"
+
+
+def _revisions(spark: SparkSession, path: str) -> list[int]:
+    """Revisions there are state files of, the newest first."""
+    found = (STATE_FILE.fullmatch(n) for n in storage.children(spark, path))
+    return sorted((int(m[1]) for m in found if m), reverse=True)
+
+
+def _state_of(spark: SparkSession, path: str, revision: int) -> State | None:
+    """None where the file is not written to its end."""
+    try:
+        return State(**json.loads(storage.read_text(spark, _state_file(path, revision))))
+    except json.JSONDecodeError:
         return None
-    return State(**json.loads(storage.read_text(spark, _state_file(path))))
 
 
-def read_published(spark: SparkSession, path: str) -> DataFrame:
-    state = read_state(spark, path)
+def read_state(spark: SparkSession, path: str) -> State | None:
+    """The newest state; each revision has a file of its own, which never changes."""
+    for revision in _revisions(spark, path):
+        state = _state_of(spark, path, revision)
+        if state is not None:
+            return state
+    return None
+
+
+def read_published(spark: SparkSession, path: str, state: State | None = None) -> DataFrame:
+    """The dataset as it is, or as a ``state`` read before has it."""
+    state = state or read_state(spark, path)
     if state is None:
         raise FileNotFoundError(f"nothing published at {path}")
     return _read_parts(spark, path, state)
@@ -146,10 +168,17 @@ def start_upload(
     keys: Sequence[str] = (),
     buckets: int = DEFAULT_BUCKETS,
     expected_rows: int | None = None,
+    expected_revision: int | None = None,
 ) -> Upload:
-    """Write a full new version next to what readers see."""
+    """Write a full new version next to what readers see.
+
+    ``expected_revision`` is that of the state the rows were made from (0: nothing
+    published); the commit is refused if the dataset has another one by then.
+    """
     spark = df.sparkSession
     before = read_state(spark, path)
+    if expected_revision is not None and (before.revision if before else 0) != expected_revision:
+        raise ConflictError(f"{path} was changed by another writer")
     version = uuid.uuid4().hex
     state = State(
         schema=df.schema.json(),
@@ -187,12 +216,19 @@ def _write(df: DataFrame, path: str, version: str, state: State, expected_rows:
 
 
 def commit_upload(spark: SparkSession, upload: Upload) -> State:
-    """Let readers see the upload, unless the dataset changed since it started."""
+    """Let readers see the upload, unless the dataset changed since it started.
+
+    The state file of the next revision can be created once only.
+    """
+    gone = [f for b, v in upload.state.parts.items() if not storage.exists(spark, f := _part_folder(upload.path, v, b))]
+    if gone:
+        raise ConflictError(f"parts of the upload to {upload.path} were deleted: {gone[:3]}")
     now = read_state(spark, upload.path)
-    if (now.revision if now else 0) != upload.state.revision - 1:
+    if (now.revision if now else 0) != upload.state.revision - 1 or not storage.create_text(
+        spark, _state_file(upload.path, upload.state.revision), json.dumps(asdict(upload.state))
+    ):
         abort_upload(spark, upload)
         raise ConflictError(f"{upload.path} was changed by another writer")
-    storage.replace_text(spark, _state_file(upload.path), json.dumps(asdict(upload.state)), upload.version)
     return upload.state
 
 
@@ -210,9 +246,10 @@ def publish_replace(
     keys: Sequence[str] = (),
     buckets: int = DEFAULT_BUCKETS,
     expected_rows: int | None = None,
+    expected_revision: int | None = None,
 ) -> int:
     """Create a dataset or replace it whole; gives the number of rows."""
-    upload = start_upload(df, path, keys, buckets, expected_rows)
+    upload = start_upload(df, path, keys, buckets, expected_rows, expected_revision)
     commit_upload(df.sparkSession, upload)
     return upload.rows
 
@@ -229,8 +266,10 @@ def publish_update(df: DataFrame, path: str) -> list[tuple[str, str, str | None,
     changes = schema_changes(columns_of(_read_parts(spark, path, state, [])), columns_of(df))
     if changes:
         warnings.warn(f"Schema changed: {changes}", stacklevel=2)
-    keys = state.keys if set(state.keys) <= set(df.columns) else []
-    publish_replace(df, path, keys, state.buckets or DEFAULT_BUCKETS)
+    missing = sorted(set(state.keys) - set(df.columns))
+    if missing:
+        raise ValueError(f"{path} is keyed by {state.keys}; the new rows lack {missing}")
+    publish_replace(df, path, state.keys, state.buckets or DEFAULT_BUCKETS, expected_revision=state.revision)
     return changes
 
 
@@ -249,6 +288,10 @@ def publish_upsert(
     only when they come later in ``order``, which must then be stored. Only buckets that the batch touches
     are read and written. A ``batch_id`` (source, number) already merged is
     skipped, so a replay changes nothing; gives whether anything was merged.
+
+    The batch is cast to the stored types, and a value that does not fit fails
+    the run. A column that is neither stored nor in ``order`` is an error; stored
+    columns must be there.
     """
     spark = batch.sparkSession
     keys, order = check_keys(keys), list(order)
@@ -265,8 +308,12 @@ def publish_upsert(
     staged = f"{path.rstrip('/')}/staged/{version}"
     schema = T.StructType.fromJson(json.loads(state.schema))
     columns = [f.name for f in schema.fields]
+    unknown = [c for c in batch.columns if c not in columns and c not in order]
+    if unknown:
+        raise ValueError(f"{path} has no columns {unknown}; publish_update changes its schema")
+    stored_types = [_fitting(c, f.dataType).alias(f.name) for c, f in zip(exactly(columns), schema.fields)]
     try:
-        latest_per_key(batch, keys, order).select(*exactly(columns)).write.parquet(staged)
+        latest_per_key(batch, keys, order).select(*stored_types).write.parquet(staged)
         latest = spark.read.schema(schema).parquet(staged)
         touched = [str(r[0]) for r in latest.select(_bucket(keys, state.buckets)).distinct().collect()]
         stored = _read_parts(spark, path, state, touched)
@@ -282,12 +329,28 @@ def publish_upsert(
     return True
 
 
-def purge_versions(spark: SparkSession, path: str) -> int:
-    """Delete versions no longer part of the dataset, once no reader needs them."""
+def _fitting(value: Column, kind: T.DataType) -> Column:
+    """``value`` as a stored type; a value that the type cannot hold is an error."""
+    cast = value.try_cast(kind)
+    problem = F.raise_error(F.concat(F.lit(f"does not fit {kind.simpleString()}: "), value.cast("string")))
+    return F.when(value.isNotNull() & cast.isNull(), problem.cast(kind)).otherwise(cast)
+
+
+def purge_versions(spark: SparkSession, path: str, abandoned: bool = False) -> int:
+    """Delete versions that only former states hold, once no reader needs them.
+
+    A version that no state names may be an upload still open; only with
+    ``abandoned`` do such go too.
+    """
     state = read_state(spark, path)
     root = f"{path.rstrip('/')}/versions"
+    former = [r for r in _revisions(spark, path) if state and r < state.revision]
+    states = [s for s in (state, *(_state_of(spark, path, r) for r in former)) if s]
+    known = {version for s in states for version in s.parts.values()}
     removed = 0
     for version in storage.children(spark, root):
+        if version not in known and not abandoned:
+            continue
         live = {b for b, v in state.parts.items() if v == version} if state else set()
         if not live:
             storage.remove(spark, f"{root}/{version}")
@@ -296,4 +359,6 @@ def purge_versions(spark: SparkSession, path: str) -> int:
         for name in storage.children(spark, f"{root}/{version}"):
             if name.startswith(BUCKET + "=") and name.split("=", 1)[1] not in live:
                 storage.remove(spark, f"{root}/{version}/{name}")
+    for revision in former:
+        storage.remove(spark, _state_file(path, revision))
     return removed

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from py4j.java_gateway import JavaObject
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -46,22 +47,22 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
-def replace_text(spark: SparkSession, path: str, text: str, unique: str) -> None:
-    """Put ``text`` at ``path`` in one step: readers see the old or the new file.
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file unless there is one; gives whether it was written.
 
-    Written next to its place under a ``unique`` name, then renamed over it.
+    The file system decides between two writers at once, by refusing to create
+    what exists. A reader may meet a file that is not written to its end.
     """
-    jvm = spark._jvm
-    fs, target = _open(spark, path)
-    draft = jvm.org.apache.hadoop.fs.Path(f"{path}.{unique}")
-    stream = fs.create(draft, True)
+    fs, at = _open(spark, path)
+    try:
+        stream = fs.create(at, False)
+    except Py4JJavaError as error:
+        if "FileAlreadyExists" in error.java_exception.getClass().getName() or fs.exists(at):
+            return False
+        raise
     stream.write(bytearray(text.encode("utf-8")))
     stream.close()
-    rename = jvm.org.apache.hadoop.fs.Options.Rename
-    option = spark.sparkContext._gateway.new_array(rename, 1)
-    option[0] = rename.OVERWRITE
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration())
-    context.rename(draft, target, option)
+    return True
 
 
 def remove(spark: SparkSession, path: str) -> None:
