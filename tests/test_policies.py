@@ -202,6 +202,43 @@ def test_enforce_pushes_literals_to_the_scan(spark, tmp_path):
     assert "In(k, [1,2])" in plan and "EqualTo(s,a)" in plan
 
 
+@pytest.mark.parametrize("limit", [10_000, 0])
+def test_enforce_is_one_result_however_it_runs(spark, rows, limit):
+    df = spark.createDataFrame([(1, "a"), (-5, "b"), (10**18, "c"), (0, "d")], "k bigint, `s``x` string")
+    odd = ["1", "--5", "-5", "²", "1" + "0" * 30, "01", "-0", None]
+    records = spark.createDataFrame([("d", 1, "p", [1], [flt("k", *odd)]), ("d", 2, "q", [1], [flt("s`x", "d"), flt("k", "0", "7")])], RECORD)
+    assert rows(p.policy_enforce(df, records, "d", 1, literal_values=limit)) == sorted([(1, "a"), (-5, "b"), (0, "d")], key=repr)
+    for column, value in (("operator", None), ("not", None)):
+        broken = spark.createDataFrame([("d", 1, "p", [1], [{"column": "k", "values": ["1"], "operator": "EQUALS", "not": False} | {column: value}])], RECORD)
+        with pytest.raises(ValueError, match="EQUALS"):
+            p.policy_enforce(df, broken, "d", 1, literal_values=limit)
+    none = spark.createDataFrame([("d", 1, "p", [1], [{"column": "k", "values": None, "operator": "EQUALS", "not": False}])], RECORD)
+    assert rows(p.policy_enforce(df, none, "d", 1, literal_values=limit)) == []
+
+
+def test_enforce_takes_many_sets_of_columns(spark, rows):
+    names = [f"c{i}" for i in range(15)]
+    df = spark.createDataFrame([tuple(int(i == j) for j in range(15)) for i in range(15)], ", ".join(f"{n} int" for n in names))
+    pairs = [(a, b) for a in range(15) for b in range(a)]
+    filters = [[flt(names[a], "1"), flt(names[b], "0")] for a, b in pairs]
+    records = spark.createDataFrame([("d", i, f"p{i}", [1], f) for i, f in enumerate(filters)], RECORD)
+    assert len(pairs) == 105
+    assert p.policy_enforce(df, records, "d", 1, literal_values=0).count() == 14
+    assert p.policy_enforce(df, records, "d", 1).count() == 14
+
+
+def test_enforce_holds_for_groups(spark, rows):
+    df = spark.createDataFrame([(1,), (2,), (3,)], "k int")
+    records = spark.createDataFrame(
+        [("d", 1, "a", [5], ["v9"], None, [flt("k", "1")]), ("d", 2, "b", [], [], ["7", "8"], [flt("k", "2")]), ("d", 3, "c", None, None, ["9"], [flt("k", "3")])],
+        "dataset_id string, id int, name string, users array<int>, virtualUsers array<string>, groups array<string>, "
+        "filters array<struct<column:string,values:array<string>,operator:string,not:boolean>>",
+    )
+    members = spark.createDataFrame([(7, 5), (8, 5), (9, 6)], "group_id int, user_id int")
+    see = lambda user, m=members: rows(p.policy_enforce(df, records, "d", user, memberships=m))
+    assert see(5) == [(1,), (2,)] and see(6) == [(3,)] and see("v9") == [(1,)] and see(4) == [] and see(5, None) == [(1,)]
+
+
 def test_desired_from_dataset(spark):
     df = spark.createDataFrame([("x", "n", "c", 1, "v", 0)], ["Dataset ID", "Policy Name", "Policy Column", "User ID", "Policy Value", "More"])
     assert p.desired_from_dataset(df).columns == ["dataset_id", "policy_name", "policy_column", "user_id", "policy_value"]

@@ -18,10 +18,12 @@ stored column that is no longer desired is deleted whole.
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Row, Window, functions as F
 
+from tidemark.functions.names import quoted
 from tidemark.functions.scalars import to_text, to_whole_number
 from tidemark.operators.nested import list_or_default, split_pipe
 from tidemark.operators.numbering import number_rows
@@ -55,16 +57,16 @@ DEFINITION = (
     "users:array<bigint>,virtualUsers:array<string>,groups:array<string>>"
 )
 
+# A whole number as it is printed, in ASCII.
+WHOLE_TEXT = re.compile("0|-?[1-9][0-9]{0,18}")
+
 # The two kinds of items a policy is compared by.
 USER, VALUE = False, True
 
-# Up to this many values, a user's policies become literals pushed to the scan.
+# Up to this many values, a user's policies become literals pushed to the scan,
+# when they come down to at most so many alternatives. Both forms show the same rows.
 LITERAL_VALUES = 10_000
-# ... when they come down to at most this many alternatives.
 LITERAL_TERMS = 100
-# Each set of columns that policies use together costs a join, so a user's
-# policies with more sets than this are refused rather than enforced in part.
-MAX_COLUMN_SETS = 100
 # Up to this many dataset names become a literal filter.
 LITERAL_DATASETS = 10_000
 
@@ -141,10 +143,14 @@ def _sorted_text(items: Column) -> Column:
     return F.array_join(F.concat(F.sort_array(F.array_distinct(F.array_compact(items))), gap), "|")
 
 
+def _no_values() -> Column:
+    return F.array().cast("array<string>")
+
+
 def _values_of(filters: str, name: Column) -> Column:
     """All values that a policy's filters list for one column."""
     lists = F.filter(filters, lambda f: f["column"].eqNullSafe(name))
-    return F.array_distinct(F.flatten(F.transform(lists, lambda f: f["values"])))
+    return F.array_distinct(F.flatten(F.transform(lists, lambda f: F.coalesce(f["values"], _no_values()))))
 
 
 def policy_wide_desired(desired: DataFrame) -> DataFrame:
@@ -389,36 +395,53 @@ def policy_apply(records: DataFrame, plan: DataFrame) -> DataFrame:
     return kept.unionByName(written, allowMissingColumns=True)
 
 
+def policies_of(records: DataFrame, dataset_id: str, user: object, memberships: DataFrame | None = None) -> DataFrame:
+    """Filters of the stored policies that hold for a user, one row per policy.
+
+    A policy names users, virtual users, or groups; ``memberships`` (group_id,
+    user_id) tells the user's groups.
+    """
+    filters = F.coalesce(F.col("filters"), F.array().cast(records.schema["filters"].dataType)).alias("filters")
+    here = records.where(F.col("dataset_id") == dataset_id)
+    named = F.lit(False)
+    for column in ("users", "virtualUsers"):
+        if column in records.columns:
+            named = named | F.coalesce(F.array_contains(F.col(column).cast("array<string>"), str(user)), F.lit(False))
+    mine = here.where(named).select(filters)
+    if memberships is None or "groups" not in records.columns:
+        return mine
+    own = memberships.where(F.col("user_id").cast("string") == str(user)).select(F.col("group_id").cast("string").alias("_group"))
+    grouped = here.where(~named).select(filters, F.explode(F.array_distinct(F.col("groups").cast("array<string>"))).alias("_group"))
+    return mine.unionByName(grouped.join(own, "_group", "left_semi").select("filters"))
+
+
 def policy_enforce(
     df: DataFrame, records: DataFrame, dataset_id: str, user: object, enabled: bool = True,
-    literal_values: int = LITERAL_VALUES,
+    literal_values: int = LITERAL_VALUES, memberships: DataFrame | None = None,
 ) -> DataFrame:
     """Rows of a dataset that a user may see under its stored policies.
 
     Values of one column are alternatives, columns of one policy must all
     match, and policies are alternatives. Without a policy the user sees
     nothing; a policy without filters, or ``enabled=False``, shows everything.
+    A filter without values matches no row. Filters that are not plainly
+    ``EQUALS``, a missing operator or ``not`` among them, are refused.
 
     Few values become literals that reach the scan as pushed filters. Beyond
-    ``literal_values`` the policies are joined, one semi join per set of
-    columns that policies use together.
+    ``literal_values`` every set of columns that policies use together is one
+    existence test, led by its column with the most values; all are tested in
+    one pass over the dataset.
     """
     if not enabled:
         return df
-    mine = records.where(
-        (F.col("dataset_id") == dataset_id) & F.array_contains(F.col("users").cast("array<string>"), str(user))
-    ).select(
-        F.coalesce(F.col("filters"), F.array().cast(records.schema["filters"].dataType)).alias("filters")
-    )
-    odd = F.exists("filters", lambda f: f["not"] | (f["operator"] != "EQUALS"))
+    mine = policies_of(records, dataset_id, user, memberships)
+    odd = F.exists("filters", lambda f: ~f["not"].eqNullSafe(F.lit(False)) | ~f["operator"].eqNullSafe(F.lit("EQUALS")))
     names = F.sort_array(F.array_distinct(F.transform("filters", lambda f: f["column"])))
-    listed = F.aggregate("filters", F.lit(0).cast("bigint"), lambda n, f: n + F.size(f["values"]))
-    # One row per set of columns: bounded by how policies are built, not by how many there are.
+    listed = F.aggregate("filters", F.lit(0).cast("bigint"), lambda n, f: n + F.size(F.coalesce(f["values"], _no_values())))
+    # One row per set of columns: as many as the policies' authors use, not as there are policies.
     shapes = mine.groupBy(names.alias("names")).agg(
         F.sum(listed).alias("n"), F.max(odd).alias("odd"), F.count(F.lit(1)).alias("policies")
-    ).limit(MAX_COLUMN_SETS + 1).collect()
-    if len(shapes) > MAX_COLUMN_SETS:
-        raise ValueError(f"policies use more than {MAX_COLUMN_SETS} different sets of columns")
+    ).collect()
     if any(s["odd"] for s in shapes):
         raise ValueError("only EQUALS filters can be enforced")
     if not shapes:
@@ -427,7 +450,7 @@ def policy_enforce(
         return df
     unknown = {n for s in shapes for n in s["names"]} - set(df.columns)
     if unknown:
-        raise ValueError(f"policies name unknown columns: {sorted(unknown)}")
+        raise ValueError(f"policies name unknown columns: {sorted(unknown, key=repr)}")
 
     if sum(s["n"] + s["policies"] for s in shapes) <= literal_values:
         terms = _merged_terms(mine.collect())
@@ -437,21 +460,24 @@ def policy_enforce(
             ]
             return df.where(reduce(Column.__or__, conditions))
 
-    visible, rest = [], df
+    values = mine.select(names.alias("names"), F.inline("filters")).select("names", "column", F.explode("values").alias("value"))
+    spread = {
+        (tuple(r["names"]), r["column"]): r["n"]
+        for r in values.groupBy("names", "column").agg(F.approx_count_distinct("value").alias("n")).collect()
+    }
+    tests = []
     for shape in sorted(shapes, key=lambda s: s["names"]):
-        first, *others = shape["names"]
+        columns = sorted(shape["names"], key=lambda n: (-spread.get((tuple(shape["names"]), n), 0), n))
         allowed = mine.where(names == F.array(*[F.lit(n) for n in shape["names"]])).select(
-            F.explode(_values_of("filters", F.lit(first))).alias("_first"),
-            *[_values_of("filters", F.lit(n)).alias(f"_values_{i}") for i, n in enumerate(others)],
-        )
-        if not others:
-            allowed = allowed.distinct()
-        condition = F.col(f"`{first}`").cast("string") == F.col("_first")
-        for i, name in enumerate(others):
-            condition = condition & F.array_contains(f"_values_{i}", F.col(f"`{name}`").cast("string"))
-        visible.append(rest.join(allowed, condition, "left_semi"))
-        rest = rest.join(allowed, condition, "left_anti")
-    return reduce(DataFrame.unionByName, visible)
+            F.explode(_values_of("filters", F.lit(columns[0]))).alias("_value_0"),
+            *[_values_of("filters", F.lit(n)).alias(f"_value_{i}") for i, n in enumerate(columns) if i],
+        ).distinct()
+        shown = [F.col(quoted(n)).outer().cast("string") for n in columns]
+        same = F.col("_value_0") == shown[0]
+        for i, value in enumerate(shown[1:], 1):
+            same = same & F.array_contains(f"_value_{i}", value)
+        tests.append(allowed.where(same).exists())
+    return df.where(reduce(Column.__or__, tests))
 
 
 def _merged_terms(policies: list[Row]) -> list[dict[str, frozenset[str]]]:
@@ -461,7 +487,7 @@ def _merged_terms(policies: list[Row]) -> list[dict[str, frozenset[str]]]:
     for policy in policies:
         term: dict[str, frozenset[str]] = {}
         for f in policy["filters"]:
-            term[f["column"]] = term.get(f["column"], frozenset()) | {v for v in f["values"] if v is not None}
+            term[f["column"]] = term.get(f["column"], frozenset()) | {v for v in f["values"] or () if v is not None}
         terms.append(term)
     for column in sorted({name for term in terms for name in term}):
         merged: dict[frozenset, dict[str, frozenset[str]]] = {}
@@ -482,8 +508,9 @@ def _is_one_of(df: DataFrame, name: str, values: list[str]) -> Column:
     by the text they print as.
     """
     kind = df.schema[name].dataType.typeName()
-    col = F.col(f"`{name}`")
+    col = F.col(quoted(name))
     if kind in ("byte", "short", "integer", "long"):
-        whole = [int(v) for v in values if v.lstrip("-").isdigit() and str(int(v)) == v]
+        # Only what a 64-bit number prints as can equal one.
+        whole = [int(v) for v in values if WHOLE_TEXT.fullmatch(v) and -(1 << 63) <= int(v) < 1 << 63]
         return col.isin(whole)
     return (col if kind == "string" else col.cast("string")).isin(values)
