@@ -95,11 +95,11 @@ def customer_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def projects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A project per customer; members supplied its finished orders."""
-    finished = table(spark, sf_dir, "orders").where("o_orderstatus = 'F'").select("o_orderkey", "o_custkey")
+    """A project per customer; members supplied its orders."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
     members = (
-        lines.join(finished, F.col("l_orderkey") == F.col("o_orderkey"))
+        lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .groupBy("o_custkey").agg(F.collect_set("l_suppkey").alias("members"))
     )
     return table(spark, sf_dir, "customer").join(members, F.col("c_custkey") == F.col("o_custkey"), "left").select(
@@ -115,17 +115,17 @@ def _list_id() -> Column:
 
 
 def project_lists(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A list per customer and priority of its large orders."""
-    return table(spark, sf_dir, "orders").where("o_totalprice > 300000").select(
+    """A list per customer and priority of its orders."""
+    return table(spark, sf_dir, "orders").select(
         _list_id().alias("id"), F.col("o_orderpriority").alias("name"), F.lit("TODO").alias("type"),
         F.substring("o_orderpriority", 1, 1).cast("int").alias("index"), F.col("o_custkey").alias("projectId"),
     ).distinct()
 
 
 def tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A task per order that is no longer open; its suppliers contribute."""
+    """A task per order; its suppliers contribute."""
     contributors = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_set("l_suppkey").alias("contributors"))
-    return table(spark, sf_dir, "orders").where("o_orderstatus <> 'O'").join(
+    return table(spark, sf_dir, "orders").join(
         contributors, F.col("o_orderkey") == F.col("l_orderkey"), "left"
     ).select(
         F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("projectId"), _list_id().alias("projectListId"),

@@ -70,14 +70,14 @@ RECORDS = f"""records AS (
   FROM orders)"""
 
 PROJECT = """members AS (
-  SELECT DISTINCT o_custkey, l_suppkey FROM orders JOIN lineitem ON o_orderkey = l_orderkey WHERE o_orderstatus = 'F'),
+  SELECT DISTINCT o_custkey, l_suppkey FROM orders JOIN lineitem ON o_orderkey = l_orderkey),
 lists AS (
   SELECT DISTINCT o_custkey * 10 + CAST(substr(o_orderpriority, 1, 1) AS INT) AS "listId", o_orderpriority AS "listName",
          'TODO' AS "listType", CAST(substr(o_orderpriority, 1, 1) AS INT) AS "listIndex", o_custkey AS "projectId"
-  FROM orders WHERE o_totalprice > 300000),
+  FROM orders),
 tasks AS (
   SELECT *, o_custkey * 10 + CAST(substr(o_orderpriority, 1, 1) AS INT) AS "listId", concat('task', o_orderkey) AS "taskName"
-  FROM orders WHERE o_orderstatus <> 'O'),
+  FROM orders),
 work AS (SELECT DISTINCT l_orderkey, l_suppkey FROM lineitem)"""
 
 TEXT_TYPE = """CASE WHEN count(TRY_CAST({c} AS {t})) = count(*) AND count(*) > 0 THEN '{kind}' ELSE 'STRING' END"""
@@ -160,7 +160,7 @@ ORACLES: dict[str, str] = {
         f AS (SELECT priority, count(*) AS finished FROM o WHERE o_orderstatus = 'F' AND priority IS DISTINCT FROM '2-HIGH' GROUP BY 1)
         SELECT o_orderkey, o.priority, finished FROM o LEFT JOIN f ON o.priority IS NOT DISTINCT FROM f.priority""",
     "join_full_nullsafe": """
-        WITH o AS (SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS custkey FROM orders WHERE o_totalprice > 250000),
+        WITH o AS (SELECT o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN o_custkey END AS custkey FROM orders),
         c AS (SELECT CASE WHEN c_acctbal >= 0 THEN c_custkey END AS custkey, count(*) AS customers FROM customer GROUP BY 1)
         SELECT coalesce(o.custkey, c.custkey) AS custkey, o_orderkey, customers
         FROM o FULL JOIN c ON o.custkey IS NOT DISTINCT FROM c.custkey""",
