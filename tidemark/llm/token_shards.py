@@ -64,6 +64,7 @@ class ChunkEncoder:
         # The tokens that end a word.
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self.kind = np.dtype("<u2" if len(self.ends) <= 1 << 16 else "<u4")
         self.known: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
 
@@ -82,13 +83,13 @@ class ChunkEncoder:
             fresh.update([chunks[at] for at in own])
             gaps.append(own)
         self._learn(fresh)
-        end = np.array([end_id], "<u4").tobytes()
+        end = np.array([end_id], self.kind).tobytes()
         out = []
         for chunks, parts, own in zip(split, found, gaps):
             for at in own:
                 parts[at] = known[chunks[at]]
             parts.append(end)
-            out.append(np.frombuffer(b"".join(parts), "<u4"))
+            out.append(np.frombuffer(b"".join(parts), self.kind))
         for chunk in fresh:
             if len(chunk) > KEPT_LENGTH:
                 del known[chunk]
@@ -114,8 +115,8 @@ class ChunkEncoder:
                 other.append(chunk)
         # One text of words between blanks is one piece per word.
         if missing:
-            joined = np.array(self.tokenizer.encode_batch_fast([" ".join(missing)], add_special_tokens=False)[0].ids, "<u4")
-            stops = ((np.flatnonzero(self.ends[joined]) + 1) * 4).tolist()
+            joined = np.array(self.tokenizer.encode_batch_fast([" ".join(missing)], add_special_tokens=False)[0].ids, self.kind)
+            stops = ((np.flatnonzero(self.ends[joined]) + 1) * self.kind.itemsize).tolist()
             if len(stops) != len(missing):
                 raise ValueError("the tokenizer does not mark the ends of words")
             ids, start = joined.tobytes(), 0
@@ -126,7 +127,7 @@ class ChunkEncoder:
             size = len(low)
             known[chunk] = words[low] if len(chunk) == size else words[low] + words[chunk[size:]]
         for chunk, got in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False)):
-            known[chunk] = np.array(got.ids, "<u4").tobytes()
+            known[chunk] = np.array(got.ids, self.kind).tobytes()
 
 
 _encoders: dict[str, ChunkEncoder] = {}
@@ -174,8 +175,9 @@ def write_shards(
             yield _shard(task << 24 | number, ids, parts)
 
     base = documents(docs, id_col, text_col)
-    order = ["doc_id", F.xxhash64("text")]
-    base.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(encode, FILES).write.option(
+    # Rows without an id may be many; their texts tell them apart.
+    spread = F.when(F.col("doc_id").isNull(), F.xxhash64("text"))
+    base.repartitionByRange("doc_id", spread).sortWithinPartitions("doc_id", F.xxhash64("text")).mapInArrow(encode, FILES).write.option(
         "compression", "zstd"
     ).mode("overwrite").parquet(path)
 
