@@ -15,6 +15,9 @@ from tidemark.llm import decontamination, mixing, ngram_join, token_shards, toxi
 from tidemark.llm.queries import benchmark_items, table, vocabulary
 from tidemark.session import scratch_dir
 
+# Share of the usual encoded chunks a worker keeps; it still holds memory that earlier stages took.
+KEPT_SHARE = 0.15
+
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
@@ -37,7 +40,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def write_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "token-shards")
-    token_shards.write_shards(docs, path, vocabulary("word_bpe_49k.json"))
+    token_shards.write_shards(docs, path, vocabulary("word_bpe_49k.json"), kept_share=KEPT_SHARE)
     return token_shards.read_shards(spark, path)
 
 

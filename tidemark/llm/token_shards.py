@@ -56,9 +56,10 @@ def chunks_of(text: str | None) -> list[str]:
 class ChunkEncoder:
     """Ids of the chunks between blanks, each word encoded once by the library."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, kept_share: float = 1.0):
         import tokenizers
 
+        self.kept_share = kept_share
         self.tokenizer = tokenizers.Tokenizer.from_file(path)
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         # The tokens that end a word.
@@ -70,9 +71,9 @@ class ChunkEncoder:
 
     def encode(self, texts: list[str | None], end_id: int) -> list[np.ndarray]:
         split = [chunks_of(t) for t in texts]
-        if len(self.known) > KEPT_CHUNKS:
+        if len(self.known) > KEPT_CHUNKS * self.kept_share:
             self.known = {}
-        if len(self.words) > KEPT_WORDS:
+        if len(self.words) > KEPT_WORDS * self.kept_share:
             self.words = {}
         known = self.known
         found = [list(map(known.get, chunks)) for chunks in split]
@@ -130,13 +131,14 @@ class ChunkEncoder:
             known[chunk] = np.array(got.ids, self.kind).tobytes()
 
 
-_encoders: dict[str, ChunkEncoder] = {}
+_encoders: dict[tuple[str, float], ChunkEncoder] = {}
 
 
-def encoder(path: str) -> ChunkEncoder:
-    if path not in _encoders:
-        _encoders[path] = ChunkEncoder(path)
-    return _encoders[path]
+def encoder(path: str, kept_share: float = 1.0) -> ChunkEncoder:
+    key = path, kept_share
+    if key not in _encoders:
+        _encoders[key] = ChunkEncoder(path, kept_share)
+    return _encoders[key]
 
 
 def write_shards(
@@ -147,17 +149,19 @@ def write_shards(
     shard_tokens: int = SHARD_TOKENS,
     id_col: str = "doc_id",
     text_col: str = "text",
+    kept_share: float = 1.0,
 ) -> None:
     """Encode every whole text, append ``end_id`` and write the shards below ``path``.
 
     A null or empty text is its end id alone. Rows with a null id come first,
     rows of one id in the order of their texts' hashes; each row is a document
-    of its own. An empty table writes no shard.
+    of its own. An empty table writes no shard. ``kept_share`` scales what a
+    worker remembers; less takes less memory and more time, with the same ids.
     """
     ship(docs.sparkSession)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc = encoder(tokenizer_path)
+        enc = encoder(tokenizer_path, kept_share)
         task, number = TaskContext.get().partitionId(), 0
         ids: list[int | None] = []
         parts: list[np.ndarray] = []
