@@ -102,6 +102,21 @@ def test_decontamination_of_odd_rows(spark, odd_docs, no_docs, monkeypatch):
     assert decontamination.find_contamination(odd_docs, none).collect() == [] and decontamination.keep_clean(odd_docs, none).count() == odd_docs.count()
 
 
+def test_decontamination_finds_long_items(spark):
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(5))
+    common = [word() for _ in range(50)]
+    long = {n: [rng.choice(common) if rng.random() < 0.4 else word() for _ in range(n)] for n in (30, 97, 200, 300, 1000, 5000)}
+    filler = lambda n: [rng.choice(common) for _ in range(n)]
+    edited = {n: [word() if i % 20 == 7 else w for i, w in enumerate(words)] for n, words in long.items() if n > 60}
+    cut = {n: words[: n // 3] for n, words in long.items() if n > 100}
+    docs = [(n + kind, " ".join(filler(rng.randint(0, 400)) + words + filler(rng.randint(0, 400))))
+            for kind, of in ((10_000, long), (20_000, edited), (30_000, cut)) for n, words in of.items()]
+    items = spark.createDataFrame([(n, *(" ".join(x) for x in (words[: n * 3 // 4], words[n * 3 // 4 :]))) for n, words in long.items()], "item_id bigint, question string, answer string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontamination.find_contamination(spark.createDataFrame(docs, "doc_id bigint, text string"), items).collect()}
+    assert got == {(n + kind, n) for kind in (10_000, 20_000) for n in (long if kind == 10_000 else edited)}
+
+
 def marked_texts(n: int, seed: int = 2) -> list[tuple[int, str, int]]:
     rng = random.Random(seed)
     common = ["stone", "river", "cloud", "walk", "green", "letter", "north", "paper", "sound", "winter"]
