@@ -31,7 +31,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontamination.keep_clean(docs, benchmark_items(spark, sf_dir))
+    return decontamination.keep_clean(docs, benchmark_items(spark, sf_dir), question_col="text", answer_col=None)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -117,6 +117,40 @@ def test_decontamination_finds_long_items(spark):
     assert got == {(n + kind, n) for kind in (10_000, 20_000) for n in (long if kind == 10_000 else edited)}
 
 
+def test_decontamination_finds_edited_and_partial_items(spark):
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(5))
+    filler = [word() for _ in range(60)]
+    table = {r["item_id"]: r["text"].split() for r in benchmark_items(spark, DATA).collect()}
+    docs, want, none = [], set(), set()
+
+    def plant(i, words, found):
+        docs.append((len(docs), " ".join(filler[:30] + words + filler[30:])))
+        (want if found else none).add((len(docs) - 1, i))
+
+    for i, words in table.items():
+        for place in range(len(words)):
+            plant(i, [*words[:place], word(), *words[place + 1 :]], True)
+        plant(i, words[: -(-len(words) * 3 // 4)], True)
+        plant(i, words[len(words) // 4 :], True)
+        plant(i, words[: len(words) // 4], False)
+    items = benchmark_items(spark, DATA)
+    df = spark.createDataFrame(docs, "doc_id bigint, text string")
+    got = {(r["doc_id"], r["item_id"]) for r in decontamination.find_contamination(df, items, question_col="text", answer_col=None).collect()}
+    assert want <= got and not none & got
+    assert {r["doc_id"] for r in decontamination.keep_clean(df, items, question_col="text", answer_col=None).collect()} == {d for d, _ in none}
+
+
+def test_decontamination_by_short_answers(spark):
+    question = "which of the two rivers that meet below the old bridge is longer"
+    answer = "the northern one by far"
+    items = spark.createDataFrame([(1, question, answer)], "item_id bigint, question string, answer string")
+    edits = [" ".join("zzz" if k == place else w for k, w in enumerate(answer.split())) for place in range(5)]
+    docs = [(k, f"{question} {x}") for k, x in enumerate([*edits, "nobody can tell"])]
+    got = decontamination.find_contamination(spark.createDataFrame(docs, "doc_id bigint, text string"), items).collect()
+    assert sorted(r["doc_id"] for r in got) == [0, 1, 2, 3, 4]
+
+
 def marked_texts(n: int, seed: int = 2) -> list[tuple[int, str, int]]:
     rng = random.Random(seed)
     common = ["stone", "river", "cloud", "walk", "green", "letter", "north", "paper", "sound", "winter"]
