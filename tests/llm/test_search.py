@@ -165,6 +165,26 @@ def marked_texts(n: int, seed: int = 2) -> list[tuple[int, str, int]]:
     return rows
 
 
+def test_toxicity_compares_texts_of_one_term():
+    rows = marked_texts(1200)
+    model = toxicity.build([r[0] for r in rows], [r[1] for r in rows], [r[2] for r in rows], [1.0] * len(rows))
+    term = next(t for t in (int(t).to_bytes(8, "big").lstrip(b"\0") for t in model.terms) if len(t) == 5 and t.isalpha())
+    scores, near = toxicity.scored(model, pa.array(["stone " + term.decode() + " river", "stone river"]))
+    assert near[0] and scores[0] >= toxicity.THRESHOLD and not near[1]
+
+
+def test_toxicity_keeps_every_marking_term():
+    rng = random.Random(4)
+    words = ["".join(rng.choice("bcdfghjklm") for _ in range(9)) for _ in range(400)]
+    clean = [" ".join(rng.choice(["stone", "river", "cloud"]) for _ in range(20)) for _ in range(400)]
+    toxic = [f"{text} {' '.join(words[i % 10 :: 10])}" for i, text in enumerate(clean)]
+    model = toxicity.build(list(range(800)), clean + toxic, [0] * 400 + [1] * 400, [1.0] * 800)
+    assert len(model.terms) > 1024
+    assert all(near for near in toxicity.scored(model, pa.array([f"stone {w} river" for w in words]))[1])
+    model.slots[:], model.crowded[:] = 0, True  # as if all terms shared a slot
+    assert all(near for near in toxicity.scored(model, pa.array([f"stone {w} river" for w in words]))[1])
+
+
 def test_toxicity_on_held_out_rows(spark):
     rows = marked_texts(1200)
     docs = spark.createDataFrame([(i, t, "x") for i, t, _ in rows], "doc_id bigint, text string, score string")

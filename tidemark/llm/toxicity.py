@@ -2,8 +2,8 @@
 
 Terms are stretches of 5 and of 8 bytes of the lowered text, so that a family of
 words shares terms whatever its endings. Of a bounded, hashed sample of labelled
-texts those terms are kept that mark one class beyond chance; examples and texts
-are TF-IDF vectors over them. The examples stand in an inverted index whose
+texts all terms are kept that mark the toxic class beyond chance; examples and texts
+are TF-IDF vectors over them, and a text that has any of them is compared. The examples stand in an inverted index whose
 postings are cut into blocks of neighbouring examples with the largest weight of
 every term: blocks are visited by falling bound until no bound reaches the
 k-th best cosine, so the neighbours are exact.
@@ -25,14 +25,11 @@ TERM_BYTES = (5, 8)
 # Labelled texts per class, at most about, and the longest that is taken (characters).
 SAMPLE = 2000
 LONGEST_EXAMPLE = 100_000
-MOST_TERMS = 1024
 # Least log-likelihood ratio (G squared), document count and share of toxic rows
 # among the labelled rows that have a kept term.
 LEAST_G2 = 40.0
 LEAST_DOCS = 3
 LEAST_SHARE = 0.9
-# Distinct kept terms a text needs to be compared; a marking word holds several.
-LEAST_TERMS = 2
 NEIGHBOURS = 15
 BLOCK = 64
 # Votes of cosine 1 that the base rate weighs as much as.
@@ -83,8 +80,13 @@ class Model:
     prior_empty: float
 
     def __post_init__(self) -> None:
-        self.slots = np.full(1 << 20, -1, np.int16)
-        self.slots[self._slot(self.terms)] = np.arange(len(self.terms))
+        self.slots = np.full(1 << 20, -1, np.int32)
+        slot = self._slot(self.terms)
+        self.slots[slot] = np.arange(len(self.terms))
+        # Terms that share a slot are looked up by search.
+        self.crowded = np.zeros(1 << 20, bool)
+        own, times = np.unique(slot, return_counts=True)
+        self.crowded[own[times > 1]] = True
         self.seen: dict[bytes, tuple[float, list[int]]] = {}
 
     @staticmethod
@@ -92,15 +94,18 @@ class Model:
         return (codes * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(44)
 
     def vectors(self, data: np.ndarray, ends: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray]]:
-        """(text, terms, unit weights) of every text that has LEAST_TERMS kept terms."""
+        """(text, terms, unit weights) of every text that has a kept term."""
         if not len(self.terms):
             return []
         found, stops = codes_of(data, ends)
         places, terms = [], []
         for codes in found:
-            slot = self.slots[self._slot(codes)]
-            hit = np.flatnonzero(slot >= 0)
-            term = slot[hit].astype(np.int64)
+            slot = self._slot(codes)
+            term = self.slots[slot]
+            hit = np.flatnonzero(term >= 0)
+            term = term[hit].astype(np.int64)
+            again = np.flatnonzero(self.crowded[slot[hit]])
+            term[again] = np.minimum(np.searchsorted(self.terms, codes[hit[again]]), len(self.terms) - 1)
             real = self.terms[term] == codes[hit]
             places.append(hit[real])
             terms.append(term[real])
@@ -111,8 +116,6 @@ class Model:
         found, first = np.unique(texts, return_index=True)
         out = []
         for text, a, b in zip(found.tolist(), first, [*first[1:], len(texts)]):
-            if b - a < LEAST_TERMS:
-                continue
             w = weights[a:b]
             out.append((text, terms[a:b], w / np.sqrt(w @ w)))
         return out
@@ -175,9 +178,7 @@ def build(ids: list[int], texts: list[str], toxic: list[int], weight: list[float
     stands_for = np.bincount(place, weights=share[owner], minlength=len(distinct))
     toxic_share = np.bincount(place, weights=(share * label)[owner], minlength=len(distinct)) / np.maximum(stands_for, 1e-9)
     kept = _marking(in_toxic, in_all, float(label.sum()), float(n))
-    kept = kept[toxic_share[kept] >= LEAST_SHARE]
-    # Terms that share a slot of the lookup: the stronger stays.
-    kept = kept[np.sort(np.unique(Model._slot(distinct[kept]), return_index=True)[1])][:MOST_TERMS]
+    kept = np.sort(kept[toxic_share[kept] >= LEAST_SHARE])
     number = np.full(len(distinct), -1)
     number[kept] = np.arange(len(kept))
     # Document frequency among all labelled rows, not among the evened-out sample.
@@ -196,7 +197,7 @@ def build(ids: list[int], texts: list[str], toxic: list[int], weight: list[float
     pointers = np.stack([np.append(pointers[t * blocks : (t + 1) * blocks], pointers[(t + 1) * blocks]) for t in range(len(kept))]) if len(kept) else np.zeros((0, blocks + 1), np.int64)
     block_max = np.zeros((len(kept), blocks))
     np.maximum.at(block_max, (term, example // BLOCK), weights)
-    empty = np.bincount(example, minlength=n) < LEAST_TERMS
+    empty = np.bincount(example, minlength=n) == 0
     rate = lambda rows: float((share * label)[rows].sum() / share[rows].sum()) if share[rows].sum() else 0.0
     return Model(
         distinct[kept], idf, np.array(ids, np.int64), share * label, share, example, weights, pointers, block_max,
@@ -271,7 +272,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str =
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, score, predicted, neighbours (ids of the nearest examples): one row per input row.
 
-    A text without LEAST_TERMS kept terms, as an empty or null one, gets the rate of
+    A text without a kept term, as an empty or null one, gets the rate of
     toxic examples among such texts; without labels every score is 0.
     """
     ship(docs.sparkSession)
