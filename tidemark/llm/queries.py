@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import (
-    decontamination, language_id, line_dedup, mixing, ngram_join, secret_scan, token_counts, token_shards, topk_search, toxicity,
+    decontamination, language_id, line_dedup, merkle, mixing, ngram_join, secret_scan, simhash, spelling, token_counts, token_shards,
+    topk_search, toxicity,
 )
 from tidemark.session import scratch_dir
 
@@ -102,3 +103,28 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+MANIFEST_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+@registered
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = merkle.manifest(table(spark, sf_dir, "documents"), MANIFEST_FIELDS)
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+ORACLES["op11_merkle_manifest"] = merkle.oracle(MANIFEST_FIELDS)
+
+
+@registered
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op12_spelling_variants"] = spelling.ORACLE
+
+
+@registered
+def op13_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
