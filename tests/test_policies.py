@@ -242,3 +242,80 @@ def test_enforce_holds_for_groups(spark, rows):
 def test_desired_from_dataset(spark):
     df = spark.createDataFrame([("x", "n", "c", 1, "v", 0)], ["Dataset ID", "Policy Name", "Policy Column", "User ID", "Policy Value", "More"])
     assert p.desired_from_dataset(df).columns == ["dataset_id", "policy_name", "policy_column", "user_id", "policy_value"]
+
+
+def whole_case(rng):
+    """Policies of 1 to 3 columns, values with ``|`` and missing ones, reserved and missing names."""
+    names = ["a", "b|c", "All Rows", "AA - Restricted x", "d", "e"]
+    values = ["u", "v|w", "", None, "1", "NA"]
+    records = []
+    for ds in "xyz":
+        for name in names:
+            if rng.random() < 0.6:
+                columns = rng.sample(["c1", "c2", "c|3"], rng.randint(0, 3))
+                filters = [flt(c, *rng.sample(values, rng.randint(1, 3))) for c in columns]
+                if filters and rng.random() < 0.2:
+                    filters[0] = flt("c1", "u", operator=rng.choice(["GREATER_THAN", None]))
+                records.append((ds, len(records) * 7, name, rng.sample([1, 2, 10, None], rng.randint(0, 3)), filters))
+    desired = []
+    for ds in ["x", "y", "new"]:
+        for name in [*names, "fresh", None]:
+            if rng.random() < 0.8:
+                users = rng.sample(["1", "2", "30", "x", None], rng.randint(1, 3))
+                for c in rng.sample(["c1", "c2", "c|3"], rng.randint(1, 3)):
+                    desired += [(ds, name, c, u, v) for u in users for v in rng.sample(values, rng.randint(1, 3))]
+    return records, desired + desired[:3]
+
+
+def product_of(desired):
+    """What the desired rows come down to: per policy its users, and per column the values."""
+    users, values = {}, {}
+    for ds, name, c, u, v in desired:
+        if name is not None and name != "All Rows" and "AA - Restricted" not in name:
+            users.setdefault((ds, name), set()).add(u if u is not None and u.isdecimal() else None)
+            values.setdefault((ds, name), set()).add((c, v))
+    return {(*k, c, u, v) for k in users for u in users[k] for c, v in values[k]}
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_whole_policies_settle(spark, rows, tmp_path, seed):
+    records, desired = whole_case(random.Random(seed))
+    r, d = spark.createDataFrame(records, RECORD), spark.createDataFrame(desired, DESIRED)
+    p.policy_plan(r, d).write.parquet(str(tmp_path / "plan"))
+    plan = spark.read.parquet(str(tmp_path / "plan"))
+    p.policy_apply(r, plan).write.parquet(str(tmp_path / "after"))
+    after = spark.read.parquet(str(tmp_path / "after"))
+    assert p.policy_plan(after, d).count() == 0
+    extracted = p.policy_extract(after.where("dataset_id <> 'z'"))
+    assert rows(extracted, "dataset_id", "policy_name", "policy_column", "user_id", "policy_value") == sorted(product_of(desired), key=repr)
+    reserved = after.where("name = 'All Rows' OR name LIKE 'AA%' OR dataset_id = 'z'")
+    assert sorted(map(repr, reserved.collect())) == sorted(
+        map(repr, r.where("name = 'All Rows' OR name LIKE 'AA%' OR dataset_id = 'z'").collect())
+    )
+    assert after.groupBy("dataset_id", "name").count().where("count > 1").count() == 0
+    assert after.groupBy("id").count().where("count > 1").count() == 0
+    # A policy is changed in one way, and each of its rows has the one record.
+    for policy in plan.groupBy("dataset_id", "policy_name").agg(
+        F.count_distinct("action").alias("actions"), F.count_distinct(F.to_json("definition")).alias("records")
+    ).collect():
+        assert policy["actions"] == 1 and policy["records"] <= 1
+
+
+def test_every_column_of_a_policy_is_kept(spark):
+    """A user must not see more because one column's filter replaced the others."""
+    r = spark.createDataFrame([("x", 1, "p", [1], [flt("c1", "a"), flt("c2", "b")])], RECORD)
+    d = spark.createDataFrame([("x", "p", "c1", "1", "A"), ("x", "p", "c2", "1", "B"), ("x", "q", "c1", "2", "a|b"), ("x", "q", "c2", "2", None)], DESIRED)
+    after = p.policy_apply(r, p.policy_plan(r, d)).orderBy("name").collect()
+    assert [[(f["column"], f["values"]) for f in a["filters"]] for a in after] == [[("c1", ["A"]), ("c2", ["B"])], [("c1", ["a|b"]), ("c2", [None])]]
+    df = spark.createDataFrame([("A", "B"), ("A", "x"), ("a|b", "x"), ("a|b", None)], "c1 string, c2 string")
+    stored = p.policy_apply(r, p.policy_plan(r, d))
+    assert p.policy_enforce(df, stored, "x", 1).collect() == [("A", "B")]
+    assert p.policy_enforce(df, stored, "x", 2).collect() == []
+
+
+def test_records_from_rows(spark):
+    d = spark.createDataFrame([("x", "p", "c1", "7", "a|b"), ("x", "p", "c2", "12", "v")], DESIRED)
+    found = p.policy_records(d).orderBy("policy_column").collect()
+    assert [f["policy_column"] for f in found] == ["c1", "c2"]
+    assert found[0]["definition"] == found[1]["definition"]
+    assert found[0]["definition"]["users"] == [12, 7]

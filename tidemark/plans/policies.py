@@ -12,8 +12,9 @@ pairs. So the work grows with the lists and the desired table, not with their
 product. Users and values are compared one element per row, spread over all
 tasks, and only counts meet per policy.
 
-One column per policy is what policies are expected to have. A policy with a
-stored column that is no longer desired is deleted whole.
+One column per policy is what policies are expected to have. The changes per
+column (``policy_changes`` and what is built on it) treat a policy with a stored column that is no longer
+desired as deleted whole; the plan (``policy_plan``) merges all columns of a policy into one record.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ from tidemark.functions.scalars import to_text, to_whole_number
 from tidemark.operators.nested import list_or_default, split_pipe
 from tidemark.operators.numbering import number_rows
 from tidemark.operators.relational import (
+    RESERVED_POLICY,
+    RESTRICTED_PATTERN,
     filter_excluded,
     filter_present,
     join_anti,
@@ -207,8 +210,9 @@ def _current_columns(records: DataFrame) -> DataFrame:
 
 
 def policy_adds(records: DataFrame, desired: DataFrame) -> DataFrame:
-    """Desired policies and columns that no stored policy has."""
-    wanted = desired_rows(desired).select(*POLICY).distinct()
+    """Desired policies and columns that no stored policy has. Reserved names are left alone."""
+    reserved = F.col("policy_name").rlike(RESTRICTED_PATTERN) | (F.col("policy_name") == RESERVED_POLICY)
+    wanted = desired_rows(desired).where(~F.coalesce(reserved, F.lit(False))).select(*POLICY).distinct()
     return join_anti(wanted, _current_columns(records), POLICY)
 
 
@@ -336,32 +340,158 @@ def policy_updates(records: DataFrame, desired: DataFrame) -> DataFrame:
 
 
 def policy_definitions(wide: DataFrame) -> DataFrame:
-    """Add the policy record to store, from the joined users and values."""
-    filters = F.transform(
-        split_pipe(F.col("policy_value")),
-        lambda v: F.struct(
-            F.col("policy_column").alias("column"), F.array(v).alias("values"),
-            F.lit("EQUALS").alias("operator"), F.lit(False).alias("not"),
-        ),
-    )
+    """Add the policy record to store, from users and values joined by ``|``.
+
+    A joined text can't tell a ``|`` inside a value from one between two, and has one column:
+    ``policy_records`` builds records from the desired rows themselves.
+    """
+    filters = F.transform(split_pipe(F.col("policy_value")), lambda v: _equals(F.col("policy_column"), v))
     users = F.transform(split_pipe(F.col("user_id")), to_whole_number)
-    none = F.array().cast("array<string>")
     policy_id = F.col("policy_id") if "policy_id" in wide.columns else F.lit(None)
-    record = F.struct(
-        policy_id.cast("bigint").alias("id"), F.lit("user").alias("type"), F.col("policy_name").alias("name"),
+    return wide.withColumn("definition", _record(policy_id, F.col("policy_name"), users, filters))
+
+
+def _equals(column: Column, value: Column) -> Column:
+    return F.struct(
+        column.alias("column"), F.array(value).alias("values"), F.lit("EQUALS").alias("operator"), F.lit(False).alias("not")
+    )
+
+
+def _record(policy_id: Column, name: Column, users: Column, filters: Column) -> Column:
+    none = F.array().cast("array<string>")
+    return F.struct(
+        policy_id.cast("bigint").alias("id"), F.lit("user").alias("type"), name.alias("name"),
         filters.alias("filters"), users.alias("users"), none.alias("virtualUsers"), none.alias("groups"),
+    ).cast(DEFINITION)
+
+
+# -- whole policies --------------------------------------------------------------------
+
+# What a policy consists of, one kind per item.
+HEAD, COLUMN, MEMBER, ALLOWED = range(4)
+ITEM = "struct<kind:int,policy_column:string,item:string>"
+
+
+def _part(kind: int, column: Column, item: Column) -> Column:
+    return F.struct(F.lit(kind).alias("kind"), column.alias("policy_column"), item.alias("item")).cast(ITEM)
+
+
+def _stored_parts(records: DataFrame) -> DataFrame:
+    """One row per policy, and per column, user and value of it. ``odd``: a filter is not plainly EQUALS."""
+    none = F.lit(None).cast("string")
+    kind = records.schema["filters"].dataType
+    filters = F.coalesce("filters", F.array().cast(kind))
+    names = F.array_distinct(F.transform(filters, lambda f: f["column"]))
+    values = F.transform(filters, lambda f: F.transform(F.coalesce(f["values"], _no_values()), lambda v: _part(ALLOWED, f["column"], v)))
+    users = F.coalesce(F.col("users").cast("array<string>"), _no_values())
+    known = kind.elementType.fieldNames()
+    odd = F.exists(filters, lambda f: F.lit(False) if "operator" not in known else
+                   ~f["not"].eqNullSafe(F.lit(False)) | ~f["operator"].eqNullSafe(F.lit("EQUALS")))
+    return filter_excluded(records, "name").select(
+        "dataset_id", F.col("name").alias("policy_name"), F.col("id").alias("policy_id"), odd.alias("odd"),
+        F.inline(F.concat(
+            F.array(_part(HEAD, none, none)), F.transform(names, lambda n: _part(COLUMN, n, none)),
+            F.transform(users, lambda u: _part(MEMBER, none, u)), F.flatten(values),
+        )),
+    )
+
+
+def _wanted_parts(desired: DataFrame) -> DataFrame:
+    """The same of the desired rows that name a policy which is ours. ``first`` is the user a value is listed under.
+
+    An empty user or column stands for none; a user that is no whole number is a missing one.
+    """
+    none = F.lit(None).cast("string")
+    user = to_text(to_whole_number(F.col("user_id")))
+    column = F.col("policy_column")
+    named = ~column.eqNullSafe(F.lit(""))
+    parts = F.array_compact(F.array(
+        _part(HEAD, none, none),
+        F.when(named, _part(COLUMN, column, none)),
+        F.when(~F.col("user_id").eqNullSafe(F.lit("")), _part(MEMBER, none, user)),
+        F.when(named, _part(ALLOWED, column, F.col("policy_value"))),
+    ))
+    rows = filter_excluded(desired_rows(desired), "policy_name").distinct()
+    return rows.select("dataset_id", "policy_name", F.col("user_id").alias("first"), F.inline(parts))
+
+
+def _merged(parts: DataFrame) -> DataFrame:
+    """Per policy: on which sides it is, whether they differ, its columns on each side, and the desired users and values in order.
+
+    Equal parts meet first, which spreads a large policy over all tasks; only distinct ones then meet per policy.
+    """
+    items = parts.groupBy("item", "kind", "policy_name", "dataset_id", "policy_column").agg(
+        F.count("stored").alias("stored"), F.count("wanted").alias("wanted"), F.min("first").alias("first"),
+        F.bool_or("odd").alias("odd"), F.min("policy_id").alias("low_id"), F.max("policy_id").alias("policy_id"),
+    )
+    stored, wanted, kind = F.col("stored") > 0, F.col("wanted") > 0, F.col("kind")
+    text = F.struct(F.col("item").isNull().alias("missing"), "item")
+    value = F.struct("policy_column", F.col("first").isNull().alias("late"), "first", F.col("item").isNull().alias("missing"), "item")
+
+    def listed(of: int, there: Column, entry: Column) -> Column:
+        return F.sort_array(F.collect_list(F.when((kind == of) & there, entry)))
+
+    return items.groupBy("dataset_id", "policy_name").agg(
+        F.bool_or(stored & (kind == HEAD)).alias("stored"), F.bool_or(wanted & (kind == HEAD)).alias("wanted"),
+        (F.bool_or(stored != wanted) | F.coalesce(F.bool_or("odd"), F.lit(False))).alias("differs"),
+        F.when(F.min("low_id") != F.max("policy_id"), _two_ids(F.col("policy_name"))).otherwise(F.max("policy_id")).alias("policy_id"),
+        listed(COLUMN, wanted, F.struct("policy_column")).alias("wanted_columns"),
+        listed(COLUMN, stored, F.struct("policy_column")).alias("stored_columns"),
+        listed(MEMBER, wanted, text).alias("users"), listed(ALLOWED, wanted, value).alias("values"),
     )
-    return wide.withColumn("definition", record.cast(DEFINITION))
+
+
+def _rows_of(merged: DataFrame, action: Column) -> DataFrame:
+    """A row per column of each policy whose ``action`` is not null: its texts, and the record of the whole policy."""
+    gone = F.col("action") == "delete"
+    columns = F.when(gone, F.col("stored_columns")).otherwise(F.col("wanted_columns"))
+    names = F.transform(columns, lambda c: c["policy_column"])
+    users = F.transform("users", lambda u: u["item"])
+    filters = F.transform("values", lambda v: _equals(v["policy_column"], v["item"]))
+    definition = _record(F.col("policy_id"), F.col("policy_name"), F.transform(users, to_whole_number), filters)
+    kept = ["action", "dataset_id", "policy_id", "policy_name", "users", "values", "definition"]
+    changed = merged.withColumn("action", action).where("action IS NOT NULL").withColumn("definition", definition)
+    each = changed.select(
+        *kept, F.explode(F.when(F.size(names) > 0, names).otherwise(F.array(F.lit("")))).alias("policy_column")
+    )
+    own = F.filter("values", lambda v: v["policy_column"].eqNullSafe(F.col("policy_column")))
+    return each.select(
+        "action", "dataset_id", "policy_id", "policy_name", "policy_column",
+        F.when(~gone, F.array_join(F.transform("users", lambda u: u["item"]), "|", "NA")).alias("user_id"),
+        F.when(~gone, F.array_join(F.transform(own, lambda v: v["item"]), "|", "NA")).alias("policy_value"),
+        F.when(~gone, F.col("definition")).alias("definition"),
+    )
+
+
+def policy_records(desired: DataFrame) -> DataFrame:
+    """dataset_id, policy_name, policy_column, definition: the record of each desired policy, on a row per column of it.
+
+    A record holds the policy's users and a filter per value of every column, so it stands for
+    their product.
+    """
+    wanted = mark_constant(_wanted_parts(desired), "wanted")
+    for name, kind in (("stored", "int"), ("odd", "boolean"), ("policy_id", "bigint")):
+        wanted = wanted.withColumn(name, F.lit(None).cast(kind))
+    return _rows_of(_merged(wanted), F.lit("add")).select(*POLICY, "definition")
 
 
 def policy_plan(records: DataFrame, desired: DataFrame) -> DataFrame:
     """Every change to make: action, dataset, id, name, column, and for adds and
-    updates the users and values joined by ``|`` and the record to store.
+    updates the policy's users and the column's values joined by ``|`` and the record to store.
 
-    A desired table that names no dataset at all is an error.
+    A policy is added, deleted or updated whole: each of its columns is a row, and all have the
+    one record of the policy. It is updated when its users, its columns, a column's values or a filter's kind are
+    not the desired ones. Desired rows that list different users or values in turn come down to
+    the product that a record stands for, so an applied plan leaves nothing to do. Reserved names and rows that
+    name no policy are left alone. A desired table that names no dataset at all is an error.
     """
-    planned = policy_definitions(policy_changes(records, desired, lists=True))
-    return planned.withColumn("definition", F.when(F.col("action") != "delete", F.col("definition")))
+    stored = mark_constant(_stored_parts(_in_scope(records, desired)), "stored")
+    wanted = mark_constant(_wanted_parts(desired), "wanted")
+    merged = _merged(stored.unionByName(wanted, allowMissingColumns=True))
+    action = (
+        F.when(~F.col("stored"), F.lit("add")).when(~F.col("wanted"), F.lit("delete")).when(F.col("differs"), F.lit("update"))
+    )
+    return _rows_of(merged, action)
 
 
 # -- apply and enforce ---------------------------------------------------------------
@@ -369,25 +499,22 @@ def policy_plan(records: DataFrame, desired: DataFrame) -> DataFrame:
 
 def policy_apply(records: DataFrame, plan: DataFrame) -> DataFrame:
     """Stored policies after the plan. New policies are numbered on from the
-    greatest id of all. An update of a policy that is also deleted is void.
-    Untouched policies stay as they are, with whatever else is kept of them.
+    greatest id of all. Untouched policies stay as they are, with whatever else is kept of them; a changed
+    one has only what its record holds, no virtual users and groups.
 
-    The plan is read several times: pass a written table, not a costly plan.
+    All rows of a policy have one record. The plan is read several times: pass a written table, not a costly plan.
     """
     doomed = plan.where(F.col("action") == "delete").select("dataset_id", F.col("policy_id").alias("id"))
-    updates = join_anti(
-        plan.where(F.col("action") == "update")
-        .groupBy("dataset_id", F.col("policy_id").alias("id"))
-        .agg(F.max_by("definition", "policy_column").alias("definition")),
-        doomed, ["dataset_id", "id"],
-    )
+    record = F.any_value("definition").alias("definition")
+    updates = plan.where(F.col("action") == "update").groupBy("dataset_id", F.col("policy_id").alias("id")).agg(record)
     gone = doomed.unionByName(updates.select("dataset_id", "id"))
     kept = join_anti(records, gone, ["dataset_id", "id"])
 
-    adds = plan.where(F.col("action") == "add").select(*POLICY, "definition")
-    numbered = number_rows(adds, [], POLICY, number="_number", size="_size")
-    top = records.agg(F.max("id")).first()[0] or 0
-    added = numbered.select("dataset_id", (F.col("_number") + top).alias("id"), "definition")
+    name = ["dataset_id", "policy_name"]
+    adds = plan.where(F.col("action") == "add").groupBy(*name).agg(record)
+    top = records.agg(F.coalesce(F.max("id"), F.lit(0)).alias("top"))
+    numbered = number_rows(adds, [], name, number="_number", size="_size").crossJoin(F.broadcast(top))
+    added = numbered.select("dataset_id", (F.col("_number") + F.col("top")).alias("id"), "definition")
     known = [f for f in ("type", "name", "filters", "users", "virtualUsers", "groups") if f in records.columns]
     written = updates.unionByName(added).select(
         "dataset_id", "id", *[F.col(f"definition.{f}").cast(records.schema[f].dataType.simpleString()).alias(f) for f in known]

@@ -438,10 +438,8 @@ def policy_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def policy_definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    wide = policies.policy_wide_desired(fx.desired_policies(spark, sf_dir))
-    return policies.policy_definitions(wide).select(
-        "dataset_id", "policy_name", "policy_column", F.to_json("definition").alias("definition")
-    )
+    records = policies.policy_records(fx.desired_policies(spark, sf_dir))
+    return records.withColumn("definition", F.to_json("definition"))
 
 
 @registered
