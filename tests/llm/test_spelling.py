@@ -7,6 +7,7 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from tests.conftest import DATA
@@ -71,15 +72,18 @@ def test_chains_of_forms(spark, rows):
     assert found == plain_variants(plain_words(data, damage=1 << 40))
 
 
-def test_trie_finds_all_near_words():
+def test_trie_finds_all_near_words(monkeypatch):
+    monkeypatch.setattr(spelling, "BLOCK", 5000)
     rng = random.Random(5)
     words = {"".join(rng.choice("abeinrstàñÿ") for _ in range(rng.randint(6, 8))) for _ in range(400)}
     for w in sorted(words)[:200]:
         at = rng.randrange(len(w))
         words |= {w[:at] + rng.choice("aeé") + w[at:], w[:at] + "z" + w[at + 1 :]}
-    trie = spelling.Trie(sorted(words))
-    for w in sorted(words):
-        assert sorted(trie.near(w)) == sorted(x for x in words if x != w and plain_one_edit(w, x))
+    words = sorted(words)
+    every = np.arange(len(words))
+    a, b = spelling.Words(words).near(every, every)
+    want = {(x, y) for x in words for y in words if x != y and plain_one_edit(x, y)}
+    assert {(words[i], words[j]) for i, j in zip(a, b)} == want and len(a) == len(want)
 
 
 @pytest.mark.parametrize("cut", spelling.CUTS)

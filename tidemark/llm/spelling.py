@@ -6,7 +6,8 @@ group. Words one edit apart have nearly the same vector: one count higher at mos
 a search goes down it with a budget of one surplus and one deficit, and the words of
 the leaves it reaches are compared letter by letter. The trie's first levels, over
 coarse groups, are its subtrees in Spark: a word lives in one, and visits those its
-budget reaches; the levels over fine groups are walked inside a subtree's task.
+budget reaches; the levels over fine groups are walked inside a subtree's task, depth
+first and with all words that are searched there at once.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from collections import Counter
 from collections.abc import Iterator
 from itertools import combinations
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -31,12 +33,13 @@ DAMAGE = 199
 
 # Letter groups, about equally frequent; all other letters are the last group.
 GROUPS = ("aeiouy", "rnstl", "cdmphg")
-# Groups are cut in two and in four by code point. A subtree's key takes the first
-# of these cuts with which no subtree owns more than SUBTREE words.
-CUTS = (1, 2, 4)
+# Groups are cut in two and in six. A subtree's key takes the first of these cuts with
+# which no subtree owns more than SUBTREE words.
+CUTS = (1, 2, 6)
 SUBTREE = 20_000
-# Words of a trie node that is not branched further.
-LEAF = 6
+# Words of a trie node that is not branched further, and letters compared at once.
+LEAF = 24
+BLOCK = 1 << 22
 # Distinct words a task counts before it hands them on, and characters searched at once.
 HELD = 200_000
 PIECE = 1 << 20
@@ -101,11 +104,16 @@ def word_counts(docs: DataFrame, least_count: int = LEAST_COUNT, damage: int = D
 
 
 def _group(letter: str, cut: int) -> int:
-    coarse = next((i for i, some in enumerate(GROUPS) if letter in some), len(GROUPS))
-    return coarse * cut + ord(letter) % cut
+    for i, some in enumerate(GROUPS):
+        if letter in some:
+            return i * cut + some.index(letter) % cut
+    return len(GROUPS) * cut + ord(letter) % cut
 
 
-_PLACES = {cut: {chr(c): _group(chr(c), cut) for c in (*range(0x61, 0x7B), *range(0xC0, 0x100))} for cut in CUTS}
+_LETTER_CODES = (*range(0x61, 0x7B), *range(0xC0, 0x100))
+_PLACES = {cut: {chr(c): _group(chr(c), cut) for c in _LETTER_CODES} for cut in CUTS}
+_FINE = np.zeros(256, np.int64)
+_FINE[list(_LETTER_CODES)] = [_group(chr(c), CUTS[-1]) for c in _LETTER_CODES]
 
 
 def vector(word: str, cut: int) -> list[int]:
@@ -132,49 +140,58 @@ def within_budget(counts: list[int]) -> Iterator[list[int]]:
                 yield other
 
 
-def one_edit(a: str, b: str) -> bool:
-    """Whether one inserted, deleted or replaced letter makes the one of the other."""
-    if len(a) > len(b):
-        a, b = b, a
-    if len(b) - len(a) > 1 or a == b:
-        return False
-    at = 0
-    while at < len(a) and a[at] == b[at]:
-        at += 1
-    return a[at + (len(a) == len(b)) :] == b[at + 1 :]
-
-
-class Trie:
-    """Words by their counts per fine group; a node of few words stays a list."""
+class Words:
+    """Words as letters: padded on the right and on the left, and their counts per fine group."""
 
     def __init__(self, words: list[str]) -> None:
-        self.root = self._node([(vector(w, CUTS[-1]), w) for w in words], 0)
-
-    def _node(self, some: list[tuple[list[int], str]], level: int) -> dict | list[str]:
-        if len(some) <= LEAF or level == len(some[0][0]):
-            return [word for _, word in some]
-        branches: dict[int, list] = {}
-        for entry in some:
-            branches.setdefault(entry[0][level], []).append(entry)
-        return {count: self._node(part, level + 1) for count, part in branches.items()}
-
-    def near(self, word: str) -> list[str]:
-        """The words one edit away."""
-        counts, found = vector(word, CUTS[-1]), []
-        ahead = [(self.root, 0, 1, 1)]
+        self.sizes = np.array([len(w) for w in words], np.int64)
+        letters = np.frombuffer("".join(words).encode("latin-1"), np.uint8)
+        owner = np.repeat(np.arange(len(words)), self.sizes)
+        place = np.arange(len(letters)) - np.repeat(np.cumsum(self.sizes) - self.sizes, self.sizes)
+        width = int(self.sizes.max(initial=0)) + 1
+        groups = (len(GROUPS) + 1) * CUTS[-1]
+        self.counts = np.bincount(owner * groups + _FINE[letters], minlength=len(words) * groups).reshape(-1, groups).astype(np.int16)
+        self.left, self.right = np.zeros((2, len(words), width), np.uint8)
+        self.left[owner, place] = letters
+        self.right[owner, self.sizes[owner] - 1 - place] = letters
+
+    def one_edit(self, asked: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs of places that one inserted, deleted or replaced letter makes equal:
+        what the words share from the left and from the right leaves one letter at most."""
+        found = [(asked[:0], others[:0])]
+        width = int(max(self.sizes[asked].max(initial=0), self.sizes[others].max(initial=0))) + 1
+        step = max(1, BLOCK // max(1, len(others) * width))
+        # No word has a 1: what is past a word's end differs from what is past the other's.
+        left, right = (np.where(x[others, :width] == 0, 1, x[others, :width]) for x in (self.left, self.right))
+        for at in range(0, len(asked), step):
+            some = asked[at : at + step]
+            size, other = self.sizes[some][:, None], self.sizes[others][None, :]
+            head = (self.left[some, None, :width] == left[None]).argmin(axis=2)
+            tail = (self.right[some, None, :width] == right[None]).argmin(axis=2)
+            longer = np.maximum(size, other)
+            near = (np.abs(size - other) <= 1) & (head + tail >= longer - 1) & (head < longer)
+            x, y = np.nonzero(near)
+            found.append((some[x], others[y]))
+        return tuple(np.concatenate(part) for part in zip(*found))
+
+    def near(self, own: np.ndarray, asked: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(asked, own) places of the words one edit apart, by depth-first search down the trie of ``own``."""
+        found = [(asked[:0], own[:0])]
+        full = np.ones(len(asked), bool)
+        ahead = [(own, 0, asked, full, full)]
         while ahead:
-            node, level, surplus, deficit = ahead.pop()
-            if isinstance(node, list):
-                found += [other for other in node if one_edit(word, other)]
+            node, level, here, surplus, deficit = ahead.pop()
+            if not len(here):
+                continue
+            if len(node) <= LEAF or level == self.counts.shape[1]:
+                found.append(self.one_edit(here, node))
                 continue
-            count = counts[level]
-            if (child := node.get(count)) is not None:
-                ahead.append((child, level + 1, surplus, deficit))
-            if surplus and (child := node.get(count - 1)) is not None:
-                ahead.append((child, level + 1, 0, deficit))
-            if deficit and (child := node.get(count + 1)) is not None:
-                ahead.append((child, level + 1, surplus, 0))
-        return found
+            counts, wanted = self.counts[node, level], self.counts[here, level]
+            for count in np.unique(counts):
+                more, less = wanted == count + 1, wanted == count - 1
+                kept = (wanted == count) | (more & surplus) | (less & deficit)
+                ahead.append((node[counts == count], level + 1, here[kept], (surplus & ~more)[kept], (deficit & ~less)[kept]))
+        return tuple(np.concatenate(part) for part in zip(*found))
 
 
 def _key(counts: list[int]) -> str:
@@ -201,14 +218,16 @@ def _subtrees(cut: int, visits: bool):
 
 def _meet(subtree: pa.Table) -> pa.Table:
     """The near pairs of one subtree: its own words among themselves and with its guests."""
-    words, counts, guests = (subtree.column(c).to_pylist() for c in ("word", "n", "guest"))
-    own = {w: n for w, n, guest in zip(words, counts, guests) if not guest}
-    pairs: list[tuple[str, int, str, int]] = []
-    if own:
-        trie = Trie(sorted(own))
-        for word, n, guest in zip(words, counts, guests):
-            pairs += [(word, n, other, own[other]) for other in trie.near(word) if guest or word < other]
-    return pa.Table.from_batches([batch_of(PAIRS, *zip(*pairs))] if pairs else [], schema=PAIRS)
+    words = subtree.column("word").combine_chunks()
+    guest = subtree.column("guest").to_numpy().astype(bool)
+    own = np.flatnonzero(~guest)
+    if not len(own):
+        return PAIRS.empty_table()
+    a, b = Words(words.to_pylist()).near(own, np.arange(len(words)))
+    once = guest[a] | (a < b)
+    a, b = a[once], b[once]
+    n = subtree.column("n")
+    return pa.table([words.take(a), n.take(a), words.take(b), n.take(b)], schema=PAIRS)
 
 
 def near_words(words: DataFrame, subtree: int = SUBTREE) -> DataFrame:
