@@ -75,7 +75,7 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert mixed.schema == odd_docs.schema
     got, want = Counter(r["doc_id"] for r in mixed.collect()), Counter()
     for r in rows:
-        if r["size"] and r["copies"]:
+        if r["copies"]:
             want[r["doc_id"]] += r["copies"]
     assert got == want
     assert mixing.mix_plan(no_docs).collect() == [] and mixing.mix_rows(no_docs).collect() == []
@@ -85,3 +85,20 @@ def test_plan_has_no_python(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     plan = mixing.mix_rows(docs)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+def test_alike_rows_are_split_by_number(spark):
+    rows = [(None, "three plain words", "a")] * 200 + [(7, "two words", "a")] * 50 + [(i, "one", "b") for i in range(2000)] + [(None, f"own text {i}", "c") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    found = mixing.mix_plan(docs, weights=(1, 4, 2)).collect()
+    assert len(found) == len(rows)
+    for source, largest in (("a", 3), ("b", 1), ("c", 3)):
+        own = [r for r in found if r["source"] == source]
+        assert abs(sum(r["taken"] for r in own) - own[0]["target"]) <= largest / 2
+    mixed = Counter(r["source"] for r in mixing.mix_rows(docs, weights=(1, 4, 2)).collect())
+    assert mixed == Counter({s: sum(r["copies"] for r in found if r["source"] == s) for s in "abc"})
+
+
+def test_rows_without_words_go_with_their_source(spark):
+    docs = spark.createDataFrame([(1, "", "a"), (2, None, "a"), (3, "some words", "a"), (4, " ", "b")], "doc_id bigint, text string, source string")
+    assert sorted(r["doc_id"] for r in mixing.mix_rows(docs).collect()) == [1, 2, 3]

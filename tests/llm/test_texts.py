@@ -204,7 +204,7 @@ def test_line_dedup(spark):
     for r in line_dedup.drop_boilerplate(df).collect():
         got[r["page_id"]].append((r["host"], r["n_lines"], r["n_dropped"], r["text"]))
     assert got[3] == [("big.example.com", 4, 3, "Only here 3")] and len(got[1]) == 2
-    assert got[50] == [("small.example.org", 2, 0, "Home\nHome")]
+    assert got[50] == got[52] == [("small.example.org", 2, 2, "")]
     assert got[60] == [("", 1, 0, "Home")] and got[62] == [("", 1, 0, "Home")]
     assert got[61] == [("big.example.com", 0, 0, "")] and got[None] == [("", 0, 0, "")]
     assert line_dedup.drop_boilerplate(df.where("page_id = -1")).collect() == []
@@ -238,3 +238,24 @@ def test_stages_keep_clean_rows(spark, odd_docs):
     everything = Counter(r["doc_id"] for r in odd_docs.collect())
     assert kept["toxicity"] == everything and kept["decontamination"] == everything
     assert everything - kept["ngram_join"] == Counter({1: 1, 6: 1})
+
+
+def test_only_letters_name_a_language(spark):
+    from tidemark.llm import language_id
+
+    rows = [(i, "the quick brown fox jumps over the lazy dog", "en") for i in range(1, 40)]
+    rows += [(50, "² ³ ½ 12", "en"), (51, "Ⅷ ①", "en"), (52, "日本", None)]
+    found = {r["doc_id"]: r["lang_pred"] for r in language_id.identify_languages(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()}
+    assert found[50] == found[51] == "und" and found[52] == found[1] == "en"
+
+
+def test_one_of_each_group_stays_without_ids_too(spark):
+    base = "one two three four five six seven eight nine ten eleven twelve"
+    near = base + " " + " ".join(f"w{i}" for i in range(40))
+    rows = [(None, near)] * 5 + [(None, near + " more")] * 3 + [(9, base), (9, near), (8, base), (8, base), (7, "quite another text here"), (None, None), (None, "")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("_s1", F.lit("x"))
+    kept = ngram_join.keep_one(df)
+    assert kept.schema == df.schema
+    assert sorted(map(repr, (tuple(r)[:2] for r in kept.collect()))) == sorted(
+        map(repr, [(9, near), (8, base), (7, "quite another text here"), (None, None), (None, "")])
+    )

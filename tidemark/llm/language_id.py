@@ -9,7 +9,6 @@ by the letters they hold.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -31,7 +30,6 @@ EPOCHS = 8
 UNKNOWN = "und"
 
 PREDICTED = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64())])
-LETTER = re.compile(r"[^\W\d_]")
 
 
 def _lower(data: np.ndarray) -> np.ndarray:
@@ -212,7 +210,7 @@ def classify(net: ByteNet, values: pa.Array) -> tuple[list[str], list[float]]:
     chance /= chance.sum(axis=1, keepdims=True)
     best = chance.argmax(axis=1)
     texts = values.to_pylist()
-    lettered = [known > 0 and w > 0 and LETTER.search(t) is not None for w, t in zip(weight, texts)]
+    lettered = [known > 0 and w > 0 and any(map(str.isalpha, t)) for w, t in zip(weight, texts)]
     return (
         [net.languages[b] if ok else UNKNOWN for b, ok in zip(best, lettered)],
         [float(chance[i, b]) if ok else 0.0 for i, (b, ok) in enumerate(zip(best, lettered))],

@@ -42,13 +42,13 @@ def _mark(line: Column) -> Column:
 
 
 def drop_boilerplate(
-    pages: DataFrame, max_ratio: float = 0.1, least_pages: int = 4,
+    pages: DataFrame, max_ratio: float = 0.1, least_pages: int = 2,
     id_col: str = "page_id", url_col: str = "url", html_col: str = "html",
 ) -> DataFrame:
     """page_id, host, n_lines, n_dropped, text: one row per input row.
 
     A line goes when it stands on at least ``least_pages`` pages of the host and
-    on more than ``max_ratio`` of them; a page counts once for a line it repeats,
+    on more than ``max_ratio`` of them (two pages are the fewest that repeat a line); a page counts once for a line it repeats,
     and loses every repeat. Rows count as pages even if alike. Pages without a
     readable host keep all lines (host ''); null or empty HTML has no lines and
     an empty text.
@@ -89,7 +89,7 @@ WITH p AS (
 h AS (SELECT host, count(*) AS pages FROM p WHERE host <> '' GROUP BY host),
 l AS (SELECT host, unnest(list_distinct(lines)) AS line FROM p WHERE host <> ''),
 c AS (SELECT host, line, count(*) AS n FROM l GROUP BY host, line),
-b AS (SELECT host, list(line) AS repeated FROM c JOIN h USING (host) WHERE n >= 4 AND n / pages > 0.1 GROUP BY host),
+b AS (SELECT host, list(line) AS repeated FROM c JOIN h USING (host) WHERE n >= 2 AND n / pages > 0.1 GROUP BY host),
 k AS (SELECT p.page_id, p.host, p.lines, CASE WHEN repeated IS NULL THEN p.lines
              ELSE list_filter(p.lines, lambda x: NOT list_contains(repeated, x)) END AS kept
       FROM p LEFT JOIN b ON p.host = b.host)

@@ -24,6 +24,8 @@ JUNK = "0123456789#$%&*|_{}<>=/^~@+"
 LEAST_QUALITY = 0.25
 WEIGHTS = (5, 2, 1)
 MOST_EPOCHS = 3
+# What alike rows of a source share, in the order in which rows are taken.
+ALIKE = ("_key", "_id", "_size", "_mark")
 
 
 def n_words(text: Column) -> Column:
@@ -36,18 +38,19 @@ def quality(text: Column) -> Column:
     return F.coalesce(F.greatest(F.lit(LEAST_QUALITY), 1 - 4 * junk / F.greatest(F.length(text), F.lit(1))), F.lit(1.0))
 
 
-def uniform(doc_id: Column) -> Column:
-    """A number strictly between 0 and 1 that depends on the id alone."""
-    digits = F.substring(F.md5(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), 1, 13)
+def uniform(doc_id: Column, text: Column) -> Column:
+    """A number strictly between 0 and 1 that depends on the id alone, or without an id on the text."""
+    named = F.coalesce(doc_id.cast("string"), F.concat(F.lit("text "), text), F.lit(""))
+    digits = F.substring(F.md5(named.cast("binary")), 1, 13)
     return (F.conv(digits, 16, 10).cast("double") + 0.5) / float(1 << 52)
 
 
 def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """_id, _source, _size, _key and the two cells of each row, beside its own columns."""
+    """_id, _source, _size, _key, _mark (of the text) and the two cells of each row, beside its own columns."""
     text = docs[text_col].cast("string")
     rows = docs.select(
         "*", docs[id_col].cast("bigint").alias("_id"), docs[source_col].cast("string").alias("_source"), n_words(text).alias("_size"),
-        (-F.log(uniform(docs[id_col].cast("bigint"))) / quality(text)).alias("_key"),
+        (-F.log(uniform(docs[id_col].cast("bigint"), text)) / quality(text)).alias("_key"), F.xxhash64(text).alias("_mark"),
     )
     place = (1 - F.exp(-F.col("_key"))) * CELLS
     cell = F.least(F.floor(place), F.lit(CELLS - 1))
@@ -107,9 +110,10 @@ def _same_source(left: DataFrame, right: DataFrame, how: str = "inner") -> DataF
 def cuts(rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, most_epochs: int = MOST_EPOCHS) -> tuple[DataFrame, DataFrame]:
     """(cuts, sliver) of written ``rows``: where each source's budget is met.
 
-    ``sliver`` has the rows in the cut's own subcell, ``_in`` telling whether
-    they are taken. A row is taken when more than half of it fits, so a
-    source misses its target by half a document at most.
+    ``sliver`` has the rows in the cut's own subcell, ``_take`` of ``_count`` alike rows
+    taken. A row is taken when more than half of it fits, so a
+    source misses its target by half a document at most. Rows alike in id, size and text are
+    one row of ``sliver`` that tells how many of them are taken.
     """
     plan = saved(budgets(rows, weights, most_epochs), "mix-budgets")
     sums = rows.groupBy("_source", "_cell").agg(F.sum("_size").alias("_sum"))
@@ -120,33 +124,67 @@ def cuts(rows: DataFrame, weights: tuple[float, ...] = WEIGHTS, most_epochs: int
     second = _cut(sums, "_subcell").select("_source", "_cut_cell", F.col("_subcell").alias("_cut_subcell"), F.col("_before").alias("_from"))
     found = saved(_same_source(plan, second, "left"), "mix-cuts")
 
-    # Rows alike in id and size stand or fall together.
     alike = (
-        _same_source(rows.select("_source", "_cell", "_subcell", "_size", "_key", "_id"), found)
+        _same_source(rows.select("_source", "_cell", "_subcell", *ALIKE), found)
         .where("_cell = _cut_cell AND _subcell = _cut_subcell")
-        .groupBy("_source", "_key", "_id", "_size", "_rest", "_from").agg((F.col("_size") * F.count(F.lit(1))).alias("_sum"))
+        .groupBy("_source", *ALIKE, "_rest", "_from").agg(F.count(F.lit(1)).alias("_count"))
     )
-    running = Window.partitionBy("_source").orderBy("_key", "_id", "_size").rowsBetween(Window.unboundedPreceding, -1)
-    before = F.col("_from") + F.coalesce(F.sum("_sum").over(running), F.lit(0))
-    sliver = alike.select("_source", "_key", "_id", "_size", (before + F.col("_sum") / 2 <= F.col("_rest")).alias("_in"))
-    return found, saved(sliver, "mix-sliver")
+    running = Window.partitionBy("_source").orderBy(*ALIKE).rowsBetween(Window.unboundedPreceding, -1)
+    left = F.col("_rest") - F.col("_from") - F.coalesce(F.sum(F.col("_size") * F.col("_count")).over(running), F.lit(0))
+    # Copy number i, from 0, is taken if i * size + size / 2 still fits.
+    fit = F.when(F.col("_size") == 0, F.when(left >= 0, F.col("_count")).otherwise(0)).otherwise(F.floor(left / F.greatest("_size", F.lit(1)) - 0.5) + 1)
+    take = F.least(F.greatest(fit, F.lit(0)), F.col("_count")).cast("bigint")
+    return found, saved(alike.select("_source", *ALIKE, "_count", take.alias("_take")), "mix-sliver")
+
+
+def _alike(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+    """Join on the source and what alike rows share, nulls equal."""
+    names = ["_source", *ALIKE]
+    renamed = right.withColumnsRenamed({c: f"{c}_of" for c in names})
+    same = F.lit(True)
+    for c in names:
+        same = same & left[c].eqNullSafe(renamed[f"{c}_of"])
+    return left.join(renamed, same, how).drop(*[f"{c}_of" for c in names])
 
 
 def copies(rows: DataFrame, found: DataFrame, sliver: DataFrame) -> DataFrame:
     """``rows`` with source_size, target and ``copies``: how often each is taken."""
-    with_cut = _same_source(rows, found, "left")
-    last = sliver.select(*[F.col(c).alias(f"{c}_of") for c in ("_source", "_key", "_id", "_size")], "_in")
-    same = F.lit(True)
-    for c in ("_source", "_key", "_id", "_size"):
-        same = same & with_cut[c].eqNullSafe(last[f"{c}_of"])
+    split = sliver.where("_take > 0 AND _take < _count")
+    whole = _taken(_alike(_same_source(rows, found, "left"), sliver, "left"))
+    if split.isEmpty():
+        return whole
+    # Of alike rows only some are taken: those rows are written and numbered.
+    part = saved(_alike(rows, split, "inner").drop("_count").withColumn("_number", F.monotonically_increasing_id()), "mix-alike")
+    chosen = _first_of(part).drop("_take", "_number")
+    return whole.where("_take IS NULL OR _take = 0 OR _take = _count").unionByName(
+        _taken(_same_source(chosen.withColumn("_take", F.col("_chosen").cast("bigint")).withColumn("_count", F.lit(1).cast("bigint")), found, "left")),
+        allowMissingColumns=True,
+    )
+
+
+def _first_of(part: DataFrame) -> DataFrame:
+    """``part`` with ``_chosen``: _take rows of each set of alike ones. They are counted in CELLS
+    ranges by a hash of their numbers, and only the rows of the range that holds the cut are put in order."""
+    names = ["_source", *ALIKE]
+    placed = part.withColumn("_place", F.pmod(F.xxhash64("_number"), F.lit(CELLS)))
+    counts = placed.groupBy(*names, "_place", "_take").agg(F.count(F.lit(1)).alias("_own"))
+    running = Window.partitionBy(*names).orderBy("_place").rowsBetween(Window.unboundedPreceding, -1)
+    before = counts.withColumn("_before", F.coalesce(F.sum("_own").over(running), F.lit(0)))
+    cut = before.select(*names, "_place", (F.col("_take") - F.col("_before")).alias("_room"), "_own")
+    known = _alike(placed, cut.withColumnRenamed("_place", "_place_of"), "inner").where("_place = _place_of")
+    inside = F.row_number().over(Window.partitionBy(*names, "_place").orderBy("_number"))
+    sure = known.where("_room >= _own OR _room <= 0").withColumn("_chosen", F.col("_room") > 0)
+    edge = known.where("_room < _own AND _room > 0").withColumn("_chosen", inside <= F.col("_room"))
+    return sure.unionByName(edge).drop("_place", "_place_of", "_room", "_own")
+
+
+def _taken(rows: DataFrame) -> DataFrame:
     taken = (
-        F.when(F.col("_in").isNotNull(), F.col("_in"))
+        F.when(F.col("_take").isNotNull(), F.col("_take") > 0)
         .when(F.col("_cell") != F.col("_cut_cell"), F.col("_cell") < F.col("_cut_cell"))
         .otherwise(F.col("_subcell") < F.col("_cut_subcell"))
     )
-    return with_cut.join(last, same, "left").withColumn(
-        "copies", (F.col("_epochs") + F.coalesce(taken, F.lit(False)).cast("int")).cast("bigint")
-    )
+    return rows.withColumn("copies", (F.col("_epochs") + F.coalesce(taken, F.lit(False)).cast("int")).cast("bigint"))
 
 
 def mix_plan(
@@ -156,12 +194,12 @@ def mix_plan(
     """doc_id, size, source_size, target, taken, source, copies: one row per input row.
 
     A null text has size 0; rows of size 0 take part and add nothing. A null
-    source is a source of its own; rows of a null id share one key. Reruns
-    give the same rows. An empty table gives none.
+    source is a source of its own; rows of a null id are told apart by their texts. Of rows alike in
+    id, size and text as many are taken as fit. Reruns give the same rows. An empty table gives none.
     """
     rows = saved(
         sized(docs.select(id_col, text_col, source_col), id_col, text_col, source_col)
-        .select("_id", "_source", "_size", "_key", "_cell", "_subcell"), "mix-sizes",
+        .select("_source", *ALIKE, "_cell", "_subcell"), "mix-sizes",
     )
     found, sliver = cuts(rows, weights, most_epochs)
     return copies(rows, found, sliver).select(
@@ -174,20 +212,24 @@ def mix_rows(
     docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most_epochs: int = MOST_EPOCHS,
     id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
 ) -> DataFrame:
-    """The mix itself: the rows of ``docs``, each as often as the plan takes it."""
+    """The mix itself: the rows of ``docs``, each as often as the plan takes it.
+
+    Rows without words go with the others of their source and key; those of a source that has no
+    words at all are not taken.
+    """
     names = [f"_own_{i}" for i in range(len(docs.columns))]
     own = dict(zip(docs.columns, names))
     rows = sized(docs.toDF(*names), own[id_col], own[text_col], own[source_col])
-    written = saved(rows.select("_id", "_source", "_size", "_key", "_cell", "_subcell"), "mix-sizes")
+    written = saved(rows.select("_source", *ALIKE, "_cell", "_subcell"), "mix-sizes")
     found, sliver = cuts(written, weights, most_epochs)
-    repeated = copies(rows, found, sliver).where("copies > 0 AND _size > 0")
+    repeated = copies(rows, found, sliver).where("copies > 0")
     return repeated.withColumn("_turn", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select(*names).toDF(*docs.columns)
 
 
 ORACLE = """
 WITH d AS (
   SELECT doc_id, source, text, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
-         (('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), '')), 1, 13))::BIGINT + 0.5) / 4503599627370496.0 AS u,
+         (('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), 'text ' || text, '')), 1, 13))::BIGINT + 0.5) / 4503599627370496.0 AS u,
          length(text) - length(translate(text, '0123456789#$%&*|_{}<>=/^~@+', '')) AS junk
   FROM documents),
 k AS (SELECT doc_id, source, size, -ln(u) / coalesce(greatest(0.25, 1 - 4 * junk / greatest(length(text), 1)::DOUBLE), 1.0) AS key FROM d),

@@ -27,7 +27,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.llm.common import batch_of, documents, saved, ship, slices, utf8
 from tidemark.llm.components import connected_components
@@ -331,9 +331,16 @@ def near_duplicates(
     of at least ``threshold``; rows of a null id belong to components but name none. Repeated
     rows stay repeated. Sets are told apart by 128 bits, n-grams of two sets by 48.
     """
-    spark = docs.sparkSession
-    ship(spark)
-    rows = documents(docs, id_col, text_col)
+    ship(docs.sparkSession)
+    sets, found = _grouped(documents(docs, id_col, text_col), size, threshold)
+    return sets.join(found, ["s1", "s2", "n"], "left").select(
+        "doc_id", F.col("n").alias("n_shingles"),
+        F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
+    )
+
+
+def _grouped(rows: DataFrame, size: int = SIZE, threshold: tuple[int, int] = THRESHOLD) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, n, s1, s2 of every row; s1, s2, n, component, component_id of every distinct set)."""
     sets = saved(gram_sets(rows, size), "gram-sets")
     classes = saved(sets.where("n > 0").groupBy("s1", "s2", "n").agg(F.min("doc_id").alias("first")), "gram-classes")
     total = classes.agg(F.sum("n")).first()[0] or 0
@@ -361,11 +368,8 @@ def near_duplicates(
 
     named = classes.join(labels.withColumnRenamed("node", "s1"), "s1", "left").withColumn("component", F.coalesce("component", "s1"))
     smallest = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    found = saved(named.join(smallest, "component").select("s1", "s2", "n", "component_id"), "gram-components")
-    return sets.join(found, ["s1", "s2", "n"], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"),
-        F.when(F.col("n") == 0, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-    )
+    found = saved(named.join(smallest, "component").select("s1", "s2", "n", "component", "component_id"), "gram-components")
+    return sets, found
 
 
 def _sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -379,16 +383,36 @@ def _sorted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that are the first of their component, with their columns.
 
-    The row of the smallest id stays. Rows without words stay, and rows without an
-    id, which name no component. Rows that share a kept id all stay, equal texts once.
+    The row of the smallest id stays; rows without an id come after all others, in the
+    order of their sets. Rows without words all stay. Of rows of one id and one set one stays.
     """
-    near = saved(near_duplicates(docs, id_col=id_col, text_col=text_col), "near-duplicates")
-    first = near.where("n_shingles = 0 OR doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
+    ship(docs.sparkSession)
+    sets, found = _grouped(documents(docs, id_col, text_col))
     names = [f"_own_{i}" for i in range(len(docs.columns))]
     own = dict(zip(docs.columns, names))
     rows = docs.toDF(*names)
     key = rows[own[id_col]].cast("bigint")
-    kept = rows.where(key.isNotNull()).join(first.hint("shuffle_hash"), key == first["_kept"], "left_semi")
-    if not near.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count(F.lit(1)).alias("k")).where("k > 1").isEmpty():
-        kept = kept.dropDuplicates([own[id_col], own[text_col]])
-    return kept.unionByName(rows.where(key.isNull())).toDF(*docs.columns)
+    n, ids = sets.agg(F.count(F.lit(1)), F.count_distinct("doc_id")).first()
+    if n == ids:  # each row has an id of its own
+        first = sets.join(found, ["s1", "s2", "n"], "left").where("n = 0 OR doc_id = component_id").select(F.col("doc_id").alias("_kept"))
+        return rows.join(first.hint("shuffle_hash"), key == first["_kept"], "left_semi").toDF(*docs.columns)
+
+    named = sets.where("n > 0").groupBy("s1", "s2", "doc_id").agg(F.count(F.lit(1)).alias("k")).join(found, ["s1", "s2"])
+    order = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "s1", "s2", "k")
+    chosen = saved(named.groupBy("component").agg(F.min(order).alias("c")).select("c.doc_id", "c.s1", "c.s2", "c.k"), "gram-chosen")
+    schema = T.StructType([*rows.schema.fields, *[T.StructField(c, T.LongType()) for c in ("_n", "_s1", "_s2")]])
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, own[text_col]):
+            hashes, owners = _distinct(*_grams(batch.column(own[text_col]), SIZE))
+            for name, values in zip(("_n", "_s1", "_s2"), _marks(hashes, owners, batch.num_rows)):
+                batch = batch.append_column(name, pa.array(values.view(np.int64)))
+            yield batch
+
+    told = rows.mapInArrow(mark, schema)
+    one, more = (chosen.where(c).select(F.col("doc_id").alias("_id"), F.col("s1").alias("_t1"), F.col("s2").alias("_t2")) for c in ("k = 1", "k > 1"))
+    same = F.col(own[id_col]).cast("bigint").eqNullSafe(F.col("_id")) & (F.col("_s1") == F.col("_t1")) & (F.col("_s2") == F.col("_t2"))
+    kept = told.where("_n = 0").unionByName(told.where("_n > 0").join(one, same, "left_semi"))
+    if not more.isEmpty():
+        kept = kept.unionByName(told.where("_n > 0").join(more, same, "left_semi").dropDuplicates([own[id_col], "_s1", "_s2"]))
+    return kept.select(*names).toDF(*docs.columns)

@@ -50,7 +50,10 @@ def grid(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     place = np.arange(len(x)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
     out[owner, place] = x
     rows = np.flatnonzero((lengths > 0) & ~bad)
-    return rows, np.floor(SCALE * out[rows]).astype(np.int64)
+    scaled = np.floor(SCALE * out[rows])
+    if (np.abs(scaled) >= 2.0**62).any():
+        raise OverflowError("a component does not fit 64 bits")
+    return rows, scaled.astype(np.int64)
 
 
 class ImpactIndex:
@@ -82,6 +85,8 @@ class ImpactIndex:
         size = max(dims, len(query))
         query = np.pad(query, (0, size - len(query)))[:dims]
         others = self.ids != own
+        if largest(self.vectors, query) >= 2**56:
+            return self._best(others, query, k)  # bounds would not fit 64 bits
         weight = np.abs(query) * self.step
         # The level counted from the side where the component's product is lowest.
         height = np.where(query[:, None] > 0, np.arange(LEVELS), np.arange(LEVELS - 1, -1, -1))
@@ -109,6 +114,9 @@ class ImpactIndex:
             left = others & (gained + reach >= least)
             if left.sum() <= max(4 * k, RESCORED * n):
                 break
+        return self._best(left, query, k)
+
+    def _best(self, left: np.ndarray, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         rows = np.flatnonzero(left)
         exact = inner(self.vectors[rows], query)
         best = np.lexsort((self.ids[rows], -exact))[:k]
@@ -116,11 +124,21 @@ class ImpactIndex:
 
 
 def inner(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Integer inner products; floating multiplication where it is exact."""
-    most = np.abs(vectors).max(initial=0) * float(np.abs(query).sum())
+    """Integer inner products; floating multiplication where it is exact. A product beyond 64 bits is an error."""
+    most = largest(vectors, query)
     if most < 2**52:
         return (vectors.astype(float) @ query.astype(float)).astype(np.int64)
-    return vectors @ query
+    if most < 2**62:
+        return vectors @ query
+    exact = [sum(int(x) * int(y) for x, y in zip(row, query)) for row in vectors]
+    if any(not -(1 << 63) <= x < 1 << 63 for x in exact):
+        raise OverflowError("an inner product does not fit 64 bits")
+    return np.array(exact, np.int64)
+
+
+def largest(vectors: np.ndarray, query: np.ndarray) -> float:
+    """No inner product is larger."""
+    return float(np.abs(vectors.astype(float)).max(initial=0) * np.abs(query.astype(float)).sum())
 
 
 def _to_bytes(**arrays: np.ndarray) -> bytes:
