@@ -4,9 +4,9 @@ import datetime as dt
 import random
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
-from tidemark.operators import relational as rel
+from tidemark.operators import numbering, relational as rel
 from tidemark.operators.numbering import number_rows
 
 LEFT = [(1, "a"), (1, "b"), (None, "n"), (None, "m"), (3, "c")]
@@ -137,19 +137,47 @@ def test_sort_puts_missing_last(spark):
     assert [r["b"] for r in rel.sort_rows(df, ["a", "b"]).collect()] == [3, 2, 1]
 
 
-@pytest.mark.parametrize("top_rows", [1_000_000, 0])
-def test_pages(spark, top_rows, monkeypatch):
-    monkeypatch.setattr("tidemark.operators.numbering.GROUP_ROWS", 10)
+@pytest.mark.parametrize("band", [200_000, 3])
+def test_pages(spark, band, monkeypatch):
+    monkeypatch.setattr("tidemark.operators.numbering.BAND_ROWS", band)
     values = list(range(200))
     random.Random(1).shuffle(values)
     df = spark.createDataFrame([(v,) for v in values], "v int").repartition(3)
-    page = lambda **kw: [r["v"] for r in rel.page_rows(df, ["v"], top_rows=top_rows, **kw).collect()]
+    page = lambda **kw: [r["v"] for r in rel.page_rows(df, ["v"], **kw).collect()]
     assert page(limit=7, offset=20) == list(range(20, 27))
     assert page(limit=50, offset=190) == list(range(190, 200))
     assert page(offset=195) == [195, 196, 197, 198, 199]
+    assert page(offset=3, limit=1000) == list(range(3, 200))
+    assert page(offset=200) == [] == page(offset=500, limit=3)
     assert page() == list(range(200))
 
 
+@pytest.mark.parametrize("sample", [4096, 50])
+def test_pages_of_ties_and_gaps(spark, sample, monkeypatch):
+    """Pages together are the sorted table, whatever is alike in the order."""
+    monkeypatch.setattr("tidemark.operators.numbering.BAND_ROWS", 20)
+    monkeypatch.setattr("tidemark.operators.numbering.SAMPLE", sample)
+    rng = random.Random(4)
+    data = [(rng.choice(["hot", "hot", "hot", None, "a", "z"]), rng.choice([None, 1.5, 2.0]), i // 2) for i in range(600)]
+    df = spark.createDataFrame(data, "k string, v double, i int").repartition(5)
+    whole = sorted(data, key=lambda r: (r[0] is None, r[0] or "", r[1] is None, r[1] or 0, r[2]))
+    for offset in (0, 17, 299, 590):
+        for limit in (1, 40, 0):
+            got = [tuple(r) for r in rel.page_rows(df, ["k", "v"], limit=limit, offset=offset).collect()]
+            assert got == (whole[offset : offset + limit] if limit else whole[offset:])
+
+
+def test_a_deep_page_moves_only_its_surroundings(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tidemark.operators.numbering.BAND_ROWS", 1000)
+    spark.range(0, 300_000, 1, 4).select((F.col("id") * 7919 % 300_000).alias("v")).write.parquet(str(tmp_path / "t"))
+    moved = []
+    plain = numbering.number_rows
+    monkeypatch.setattr(numbering, "number_rows", lambda df, *a, **kw: moved.append(df.count()) or plain(df, *a, **kw))
+    page = rel.page_rows(spark.read.parquet(str(tmp_path / "t")), ["v"], limit=10, offset=200_000)
+    assert [r["v"] for r in page.collect()] == list(range(200_000, 200_010))
+    assert moved[0] < 20_000
+
+
 def test_stack_rows(spark, rows):
     a, b = spark.createDataFrame([(1, "x")], "i int, s string"), spark.createDataFrame([(2.5, True)], "i double, b boolean")
     assert rows(rel.stack_rows(a, b), "i", "s", "b") == [(1.0, "x", None), (2.5, None, True)]
@@ -157,21 +185,37 @@ def test_stack_rows(spark, rows):
         rel.stack_rows(a, spark.createDataFrame([("t",)], "i string"))
 
 
+@pytest.mark.parametrize("parts", ["1", "40"])
 @pytest.mark.parametrize("kind", ["number", "text", "gaps"])
 @pytest.mark.parametrize("keys", [["k"], []])
-def test_large_groups_are_numbered_in_slices(spark, rows, kind, keys):
+def test_groups_are_numbered_across_partitions(spark, rows, kind, keys, parts):
     rng = random.Random(5)
     data = [(rng.choice(["hot", "hot", "hot", None, None, "c1", "c2"]), i, rng.randint(0, 50)) for i in range(1500)]
     df = spark.createDataFrame(data, "k string, i int, v int").repartition(4)
     shown = {"number": F.col("v"), "text": F.concat(F.lit("t"), "v"), "gaps": F.when(F.col("v") > 10, F.col("v"))}[kind]
     df = df.withColumn("o", shown)
-    plain = number_rows(df, keys, ["o", "i"])
-    sliced = number_rows(df, keys, ["o", "i"], group_rows=40)
-    assert "_slice" in sliced._jdf.queryExecution().analyzed().toString()
-    assert rows(sliced) == rows(plain)
-
-
-def test_small_groups_take_a_plain_window(spark):
-    df = spark.range(100).select((F.col("id") % 50).alias("k"), "id")
-    numbered = number_rows(df, ["k"], ["id"], group_rows=10)
-    assert "_slice" not in numbered._jdf.queryExecution().analyzed().toString()
+    group = Window.partitionBy(*keys)
+    plain = df.withColumn("rn", F.row_number().over(group.orderBy(F.col("o").asc_nulls_last(), "i")).cast("bigint")).withColumn(
+        "n", F.count(F.lit(1)).over(group)
+    )
+    before = {c: spark.conf.get(c) for c in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        assert rows(number_rows(df, keys, ["o", "i"])) == rows(plain)
+    finally:
+        for c, v in before.items():
+            spark.conf.set(c, v)
+
+
+def test_a_group_of_alike_rows_is_spread(spark):
+    df = spark.range(0, 20_000, 1, 4).select(F.lit("hot").alias("k"), F.lit(1).alias("o"))
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        placed = numbering.placed_rows(df, ["k", "o"])
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
+    assert placed.groupBy("_part").count().agg(F.max("count")).first()[0] < 12_000
+    numbered = number_rows(df, ["k"], ["o"])
+    assert numbered.agg(F.count_distinct("rn"), F.min("rn"), F.max("rn"), F.max("n")).first() == (20_000, 1, 20_000, 20_000)

@@ -1,125 +1,157 @@
-"""Row numbers inside groups that may be far larger than one task can hold."""
+"""Row numbers inside groups of any size, and pages of a sorted table.
+
+Rows are put in order once: range partitions of keys and order, each sorted and
+written with its number and every row's place in it. A group is then a stretch of one
+partition or of some neighbours, and the rows it has in the partitions before are a
+prefix sum of one count per partition and key. A row's number is that sum and its
+place, so the work per row is the same for a group in one partition or in thousands.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+import math
+
+from pyspark.sql import Column, DataFrame, Row, Window, functions as F, types as T
+
+from tidemark.functions.names import exactly, quoted
+from tidemark.session import written
+
+# Rows that are sampled to find where a page begins and ends.
+SAMPLE = 4096
+# A page is cut out of a band of rows that has this many more than the page at most, or as
+# few as rows of equal order allow.
+BAND_ROWS = 200_000
 
-from tidemark.functions.names import exactly
 
-# A group up to this size is numbered by one ordinary window task.
-GROUP_ROWS = 2_000_000
-# A group is split when it has more than total / MAX_SPLIT_GROUPS rows, so at
-# most this many groups can ever be split: the proven size of what we broadcast.
-MAX_SPLIT_GROUPS = 4096
-# Sampled order values per slice boundary. They only place the boundaries.
-SAMPLES_PER_SLICE = 32
-# Boundaries are searched in two steps, blocks of this size first.
-BLOCK = 64
+def in_order(columns: list[str]) -> list[Column]:
+    """Ascending, missing values last."""
+    return [F.col(quoted(c)).asc_nulls_last() for c in columns]
 
 
 def order_value(order: list[str]) -> Column:
     """One comparable value per row, missing values last."""
-    return F.struct(*[f for c in order for f in (F.col(c).isNull(), F.col(c))])
+    return F.struct(*[f for c in order for f in (F.col(quoted(c)).isNull(), F.col(quoted(c)))])
 
 
-def number_rows(
-    df: DataFrame,
-    keys: list[str],
-    order: list[str],
-    number: str = "rn",
-    size: str = "n",
-    group_rows: int | None = None,
-) -> DataFrame:
-    """Add each row's number in its group (by ``order``) and the group's size.
+def placed_rows(df: DataFrame, columns: list[str]) -> DataFrame:
+    """The rows written in range partitions of ``columns``: _part ascends with them, and _row inside a
+    partition. Rows that are alike in ``columns`` are spread too, by where they come from."""
+    by = [*in_order(columns), F.col("_copy")]
+    salted = df.withColumn("_copy", F.monotonically_increasing_id())
+    placed = salted.repartitionByRange(*by).sortWithinPartitions(*by).drop("_copy")
+    return written(
+        placed.withColumn("_part", F.spark_partition_id()).withColumn("_row", F.monotonically_increasing_id()), "placed"
+    )
 
-    ``order`` should be unique in a group. Without ``keys`` the whole table is
-    one group. Groups too large for one task are cut into slices of ``order``
-    values; slices are numbered apart and shifted by the rows before them, so
-    the numbers are exact whatever the boundaries are.
 
-    The input is read more than once: pass a table, not a costly plan.
+def number_rows(df: DataFrame, keys: list[str], order: list[str], number: str = "rn", size: str = "n") -> DataFrame:
+    """Add each row's number in its group (by ``order``) and the group's size.
+
+    ``order`` should be unique in a group; rows that are alike in it are numbered in any order.
+    Without ``keys`` the whole table is one group. The rows are written once, in order.
     """
-    total = df.count()
-    limit = max(group_rows or GROUP_ROWS, total // MAX_SPLIT_GROUPS)
-    splits = _slice_bounds(df, keys, order, total, limit) if total > limit else None
-    if splits is None:
-        group = Window.partitionBy(*keys) if keys else Window.partitionBy(F.lit(1))
-        in_order = group.orderBy(order_value(order))
-        return df.withColumn(number, F.row_number().over(in_order).cast("bigint")).withColumn(
-            size, F.count(F.lit(1)).over(group)
-        )
-
-    marked = _join_small(df, splits, keys)
-    value = order_value(order)
-    block = F.size(F.filter("_blocks", lambda b: b <= value))
-    rest = F.slice(F.col("_bounds"), block * BLOCK + 1, F.lit(BLOCK))
-    sliced = marked.withColumn(
-        "_slice",
-        F.when(F.col("_bounds").isNull(), F.lit(0)).otherwise(
-            block * BLOCK + F.size(F.filter(rest, lambda b: b <= value))
-        ),
-    ).drop("_blocks", "_bounds")
-
-    counts = (
-        sliced.where(F.col("_size").isNotNull()).groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_rows"))
-    )
-    before = Window.partitionBy(*(keys or [F.lit(1)])).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = counts.select(
-        *keys, "_slice", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_shift")
+    placed = placed_rows(df, [*keys, *order])
+    names = {k: f"_key_{i}" for i, k in enumerate(keys)}
+    stretches = placed.groupBy("_part", *[F.col(quoted(k)).alias(n) for k, n in names.items()]).agg(
+        F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_own")
     )
-    group = Window.partitionBy(*keys, "_slice")
-    local = sliced.withColumn(number, F.row_number().over(group.orderBy(order_value(order)))).withColumn(
-        size, F.coalesce("_size", F.count(F.lit(1)).over(group))
-    )
-    return (
-        _join_small(local, shifts, [*keys, "_slice"])
-        .withColumn(number, F.col(number) + F.coalesce("_shift", F.lit(0)))
-        .select(*exactly(df.columns), number, size)
+    group = Window.partitionBy(*names.values())
+    before = F.sum("_own").over(group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    starts = stretches.select(
+        F.col("_part").alias("_in"), *names.values(), F.sum("_own").over(group).alias(size),
+        (F.coalesce(before, F.lit(0)) - F.col("_first") + 1).alias("_shift"),
     )
+    same = F.col("_part") == F.col("_in")
+    for key, name in names.items():
+        same = same & F.col(quoted(key)).eqNullSafe(F.col(name))
+    numbered = placed.join(starts, same).withColumn(number, F.col("_row") + F.col("_shift"))
+    return numbered.select(*exactly(df.columns), number, size)
+
+
+# -- pages -------------------------------------------------------------------------
 
 
-def _slice_bounds(
-    df: DataFrame, keys: list[str], order: list[str], total: int, limit: int
-) -> DataFrame | None:
-    """Size and slice boundaries of every group with more than ``limit`` rows.
+def _orderable(kind: T.DataType) -> bool:
+    if isinstance(kind, T.StructType):
+        return all(_orderable(f.dataType) for f in kind.fields)
+    if isinstance(kind, T.ArrayType):
+        return _orderable(kind.elementType)
+    return not isinstance(kind, (T.MapType, T.VariantType))
 
-    Fetched once and kept as literal rows, so a repeated task cuts the same.
+
+def with_ties(df: DataFrame, order: list[str]) -> list[str]:
+    """``order`` and then the other columns that can be put in order."""
+    return [*order, *[f.name for f in df.schema.fields if f.name not in order and _orderable(f.dataType)]]
+
+
+def _bound(df: DataFrame, order: list[str], row: Row) -> Column:
+    """A sampled row as a literal to compare ``order_value`` with."""
+    return F.struct(*[
+        f for c, v in zip(order, row) for f in (F.lit(v is None), F.lit(v).cast(df.schema[c].dataType))
+    ])
+
+
+def _leading(df: DataFrame, order: list[str], low: Row | None, high: Row | None) -> Column:
+    """What the bounds say of the first order column alone, which a scan can use to skip files."""
+    first, kind = F.col(quoted(order[0])), df.schema[order[0]].dataType
+    said = F.lit(True)
+    if low is not None and low[0] is not None:
+        said = said & (first.isNull() | (first >= F.lit(low[0]).cast(kind)))
+    if high is not None and high[0] is not None:
+        said = said & (first <= F.lit(high[0]).cast(kind))
+    return said
+
+
+def _between(df: DataFrame, order: list[str], low: Row | None, high: Row | None) -> Column:
+    value, inside = order_value(order), F.lit(True)
+    if low is not None:
+        inside = inside & (value >= _bound(df, order, low))
+    if high is not None:
+        inside = inside & (value < _bound(df, order, high))
+    return inside
+
+
+def page_of(df: DataFrame, order: list[str], offset: int, limit: int | None = None) -> DataFrame:
+    """Rows ``offset`` to ``offset + limit`` in ascending order, or all from ``offset`` on.
+
+    Where the page begins and ends is found by counting: a sample tells about where, one pass
+    counts the rows below and inside, until a band is left that is little more than the page. Only
+    the band is numbered. Rows that are alike in ``order`` follow each other by their other columns. The
+    input is read several times: pass a table, not a costly plan.
     """
-    spark = df.sparkSession
-    if keys:
-        large = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_size")).where(F.col("_size") > limit)
-        rows = large.collect()
-        if not rows:
-            return None
-        sizes = spark.createDataFrame(rows, large.schema)
-    else:
-        sizes = spark.createDataFrame([(total,)], "_size long")
-    fraction = min(1.0, SAMPLES_PER_SLICE / limit)
-    sampled = (
-        _join_small(df.sample(fraction, seed=7), sizes, keys)
-        .where(F.col("_size").isNotNull())
-        .groupBy(*keys, "_size")
-        .agg(F.sort_array(F.collect_list(order_value(order))).alias("_sorted"))
-    )
-    slices = F.ceil(F.col("_size") / limit).cast("int")
-    step = F.size("_sorted") / slices
-    bounds = F.when(
-        slices > 1,
-        F.transform(
-            F.sequence(F.lit(1), F.greatest(slices - 1, F.lit(1))),
-            lambda i: F.get("_sorted", F.floor(i * step).cast("int")),
-        ),
-    ).otherwise(F.slice("_sorted", 1, 0))
-    picked = sampled.select(*keys, "_size", F.array_distinct(bounds).alias("_bounds"))
-    blocks = F.filter("_bounds", lambda b, i: (i + 1) % BLOCK == 0)
-    picked = picked.withColumn("_blocks", blocks)
-    return spark.createDataFrame(picked.collect(), picked.schema)
-
-
-def _join_small(df: DataFrame, small: DataFrame, keys: list[str]) -> DataFrame:
-    """Left join to a table of at most a few thousand rows; nulls match."""
-    renamed = small.withColumnsRenamed({k: f"_key_{k}" for k in keys})
-    condition = F.lit(True)
-    for key in keys:
-        condition = condition & F.col(key).eqNullSafe(F.col(f"_key_{key}"))
-    return df.join(F.broadcast(renamed), condition, "left").drop(*[f"_key_{k}" for k in keys])
+    names = [quoted(c) for c in order]
+    total = df.count()
+    first = min(offset, total)
+    # Of an open page the band holds the beginning only.
+    last = min(first + (1 if limit is None else limit), total)
+    low: Row | None = None
+    high: Row | None = None
+    below, rows = 0, total
+    while rows > BAND_ROWS + (last - first):
+        band = df.where(_leading(df, order, low, high) & _between(df, order, low, high))
+        sample = band.select(*names).sample(min(1.0, SAMPLE / rows), seed=7).orderBy(*in_order(order)).limit(4 * SAMPLE).collect()
+        margin = 2 * math.isqrt(len(sample)) + 1
+        left = (first - below) * len(sample) // rows - margin
+        right = -(-(last - below) * len(sample) // rows) + margin
+        to_low = sample[left] if 0 <= left < len(sample) else low
+        to_high = sample[right] if 0 <= right < len(sample) else high
+        under, inside = band.agg(
+            F.count_if(~_between(df, order, to_low, None)), F.count_if(_between(df, order, to_low, to_high))
+        ).first()
+        if below + under > first:
+            to_low, under, inside = low, 0, inside + under
+        if below + under + inside < last:
+            to_high, inside = high, rows - under
+        if inside > rows / 2:
+            break
+        low, high, below, rows = to_low, to_high, below + under, inside
+    band = df.where(_leading(df, order, low, high) & _between(df, order, low, high))
+    every = with_ties(df, order)
+    numbered = number_rows(band, [], every, number="_number", size="_size")
+    wanted = F.col("_number") > first - below
+    if limit is not None:
+        wanted = wanted & (F.col("_number") <= last - below)
+    page = numbered.where(wanted).drop("_number", "_size")
+    if limit is None and high is not None:
+        page = page.unionByName(df.where(_leading(df, order, high, None) & _between(df, order, high, None)))
+    return page.orderBy(*in_order(every))

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from tidemark.functions.names import exactly, quoted
 from tidemark.functions.scalars import is_present_text
-from tidemark.operators.numbering import number_rows
+from tidemark.operators.numbering import in_order, page_of, with_ties
 
 # Policy names the service or its owners reserve.
 RESERVED_POLICY = "All Rows"
@@ -26,9 +26,6 @@ ACTIVITY_COLUMNS = [
     "objectName", "objectId", "objectType", "eventText",
 ]
 
-# A page that ends at or before this row is taken by one top-n task.
-TOP_ROWS = 100_000
-
 
 # -- projections and filters ---------------------------------------------------
 
@@ -249,26 +246,18 @@ def repeat_summary(df: DataFrame, keys: list[str]) -> DataFrame:
 def sort_rows(df: DataFrame, order: list[str]) -> DataFrame:
     """Ascending, missing values last. End ``order`` with a unique column, so
     that equal leading values still spread over many range partitions."""
-    return df.orderBy(*[F.col(c).asc_nulls_last() for c in order])
+    return df.orderBy(*in_order(order))
 
 
-def page_rows(
-    df: DataFrame, order: list[str], limit: int = 0, offset: int = 0, top_rows: int = TOP_ROWS
-) -> DataFrame:
+def page_rows(df: DataFrame, order: list[str], limit: int = 0, offset: int = 0) -> DataFrame:
     """Rows ``offset`` to ``offset + limit`` in ascending order; limit 0 is no limit.
 
-    A page near the start is one top-n. A deep or open-ended page is cut by
-    distributed row numbers, because top-n would hold every row before its end.
+    Rows that are alike in ``order`` follow each other by their other columns, so that pages
+    neither repeat nor miss one.
     """
-    if limit and offset + limit <= top_rows:
-        return sort_rows(df, order).offset(offset).limit(limit)
     if not limit and not offset:
-        return sort_rows(df, order)
-    numbered = number_rows(df, [], order, number="_row", size="_rows")
-    wanted = F.col("_row") > offset
-    if limit:
-        wanted = wanted & (F.col("_row") <= offset + limit)
-    return sort_rows(numbered.where(wanted).drop("_row", "_rows"), order)
+        return sort_rows(df, with_ties(df, order))
+    return page_of(df, order, offset, limit or None)
 
 
 def stack_rows(*frames: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Adaptive execution is what splits a skewed join side and merges small
 # partitions at run time, so every job here relies on it being on.
@@ -18,6 +18,10 @@ SETTINGS = {
 }
 
 
+# Scratch folders of local sessions that name none, by application.
+_local_roots: dict[str, str] = {}
+
+
 def build_session(app: str = "tidemark", **conf: str) -> SparkSession:
     """A session with the settings the library is written for.
 
@@ -42,6 +46,14 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir must name a folder all executors share")
-        root = tempfile.mkdtemp(prefix="tidemark-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        root = _local_roots.setdefault(spark.sparkContext.applicationId, "") or tempfile.mkdtemp(prefix="tidemark-")
+        _local_roots[spark.sparkContext.applicationId] = root
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows written to the scratch folder and read back: later jobs start there, also after
+    executors were lost, and see what was written, also of columns that another run would fill otherwise."""
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
