@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import gzip
+import random
 from pathlib import Path
 
 import pytest
@@ -244,3 +245,120 @@ def test_upserts_fit_the_stored_schema(spark, tmp_path):
     with pytest.raises(ValueError, match="keyed"):
         publish.publish_update(spark.createDataFrame([("a",)], "v string"), path)
     assert sorted(map(tuple, publish.read_published(spark, path).collect())) == [(1, "b"), (2, "c")]
+
+
+def bytes_below(folder):
+    return sum(f.stat().st_size for f in Path(folder).rglob("*.parquet"))
+
+
+def test_a_delta_is_as_large_as_its_batch(spark, rows, path):
+    base = spark.range(0, 40_000, 1, 2).select("id", F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    publish.publish_replace(base, path, ["id"])
+    stored = bytes_below(path)
+    batch = base.where("id % 100 = 0").withColumn("v", F.lit("new")).withColumn("seq", F.lit(1))
+    publish.publish_upsert(batch, path, ["id"], ["seq"], as_delta=True)
+    assert bytes_below(path) - stored < stored * 0.02
+    assert publish.read_state(spark, path).parts and len(publish.read_state(spark, path).deltas) == 1
+    want = rows(base.withColumn("v", F.when(F.col("id") % 100 == 0, "new").otherwise(F.col("v"))))
+    assert rows(publish.read_published(spark, path)) == want
+    assert publish.compact(spark, path).deltas == []
+    assert rows(publish.read_published(spark, path)) == want
+    assert publish.compact(spark, path) is None
+    publish.purge_versions(spark, path)
+    assert rows(publish.read_published(spark, path)) == want
+
+
+@pytest.mark.parametrize("newest_wins", [False, True])
+@pytest.mark.parametrize("seed", [1, 2])
+def test_deltas_read_like_rewritten_buckets(spark, rows, tmp_path, seed, newest_wins):
+    """The same batches as deltas, with compactions in between, and with every batch rewriting its buckets."""
+    rng = random.Random(seed)
+    schema = "k int, j string, seq int, v int"
+    draw = lambda n: list({(k, j): (k, j, rng.randint(0, 9), rng.randint(0, 999)) for k, j in [
+        (rng.choice([None, *range(40)]), rng.choice(["a", None])) for _ in range(n)]}.values())
+    one, two = str(tmp_path / "one"), str(tmp_path / "two")
+    first = spark.createDataFrame(draw(60), schema)
+    for at in (one, two):
+        publish.publish_replace(first, at, ["k", "j"], buckets=3)
+    for number in range(5):
+        batch = spark.createDataFrame(draw(15), schema)
+        publish.publish_upsert(batch, one, ["k", "j"], ["seq"], newest_wins=newest_wins, as_delta=True, batch_id=("s", number))
+        publish.publish_upsert(batch, two, ["k", "j"], ["seq"], newest_wins=newest_wins, batch_id=("s", number))
+        a, b = (publish.read_published(spark, at) for at in (one, two))
+        # Rows that are alike in key and order may differ in what a rewrite keeps of them.
+        columns = ["k", "j", "seq"] if newest_wins else ["k", "j", "seq", "v"]
+        assert rows(a, *columns) == rows(b, *columns)
+        if number == 2:
+            assert publish.compact(spark, one, bucket_bytes=500).buckets > 3
+            assert rows(publish.read_published(spark, one), *columns) == rows(b, *columns)
+    assert not publish.publish_upsert(batch, one, ["k", "j"], ["seq"], newest_wins=newest_wins, as_delta=True, batch_id=("s", 4))
+    # A batch of the other kind finds the deltas merged.
+    publish.publish_upsert(batch, one, ["k", "j"], ["seq"], newest_wins=not newest_wins, as_delta=True)
+    assert len(publish.read_state(spark, one).deltas) == 1
+
+
+def test_buckets_split_in_turn(spark, rows, path):
+    base = spark.range(3000).withColumn("v", F.lit(0))
+    publish.publish_replace(base, path, ["id"], buckets=3)
+    seen = [3]
+    for _ in range(4):
+        before = publish.read_state(spark, path).parts
+        state = publish.compact(spark, path, bucket_bytes=3500)
+        if state is None:
+            break
+        seen.append(state.buckets)
+        assert len(state.parts) == state.buckets
+        if state.buckets < 2 * len(before):  # the others stay as they are
+            assert any(before[b] == v for b, v in state.parts.items() if b in before)
+    assert seen[-1] > 3 and seen == sorted(set(seen))
+    for b, v in publish.read_state(spark, path).parts.items():
+        own = spark.read.parquet(publish._part_folder(path, v, b))
+        last = publish.read_state(spark, path)
+        assert {r[0] for r in own.select(publish._bucket(["id"], last.buckets, last.first_buckets)).distinct().collect()} == {int(b)}
+    assert rows(publish.read_published(spark, path)) == rows(base)
+    publish.publish_upsert(spark.createDataFrame([(5, 1), (9999, 1)], base.schema), path, ["id"], ["v"])
+    assert publish.read_published(spark, path).agg(F.count("id"), F.sum("v")).first() == (3001, 2)
+
+
+def test_a_torn_state_file_blocks_nobody(spark, tmp_path):
+    path = str(tmp_path / "d")
+    publish.publish_replace(spark.range(3), path, ["id"])
+    (tmp_path / "d" / "state-000000000002.json").write_text("")
+    publish.publish_upsert(spark.range(5), path, ["id"], ["id"])
+    assert publish.read_published(spark, path).count() == 5
+    (tmp_path / "d" / "state-000000000004.json").write_text("{")
+    publish.publish_replace(spark.range(7), path)
+    assert publish.read_published(spark, path).count() == 7
+    publish.purge_versions(spark, path)
+    assert publish.read_published(spark, path).count() == 7
+
+
+def test_a_claim_holds_until_its_writer_is_dead(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "d")
+    publish.publish_replace(spark.range(3), path)
+    assert storage.create_text(spark, f"{path}/claims/000000000002-000", "someone")
+    with pytest.raises(publish.ConflictError):
+        publish.publish_replace(spark.range(4), path)
+    monkeypatch.setattr(publish, "CLAIM_SECONDS", 0.0)
+    publish.publish_replace(spark.range(5), path)
+    assert publish.read_published(spark, path).count() == 5
+    # The one who was taken for dead comes back.
+    late = publish.Upload(path, "x", publish.State(schema=spark.range(1).schema.json(), revision=2, previous=1), 0)
+    with pytest.raises(publish.ConflictError):
+        publish.commit_upload(spark, late)
+    assert publish.read_published(spark, path).count() == 5
+
+
+def test_micro_batches_write_what_they_bring(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr("tidemark.sources.publish.MOST_DELTAS", 100)
+    path = str(tmp_path / "out")
+    wide = spark.range(0, 50_000, 1, 2).select("id", F.lit(0).alias("seq"), F.sha2(F.col("id").cast("string"), 256).alias("v"))
+    publish.publish_replace(wide, path, ["id"])
+    stored = bytes_below(path)
+    for i in range(3):
+        wide.where(f"id % 500 = {i}").withColumn("seq", F.lit(1)).coalesce(1).write.parquet(str(tmp_path / "in" / str(i)))
+    stream = spark.readStream.schema(wide.schema).option("maxFilesPerTrigger", 1).option("recursiveFileLookup", True).parquet(str(tmp_path / "in"))
+    stream_upsert(stream, path, ["id"], ["seq"], str(tmp_path / "state")).awaitTermination()
+    assert len(publish.read_state(spark, path).deltas) == 3
+    assert bytes_below(path) - stored < 0.05 * stored
+    assert publish.read_published(spark, path).agg(F.count("id"), F.sum("seq")).first() == (50_000, 300)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from py4j.java_gateway import JavaObject
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
@@ -65,6 +67,24 @@ def create_text(spark: SparkSession, path: str, text: str) -> bool:
     return True
 
 
+def rename(spark: SparkSession, path: str, to: str) -> bool:
+    """Move a file; gives whether the file system did."""
+    fs, at = _open(spark, path)
+    return fs.rename(at, spark._jvm.org.apache.hadoop.fs.Path(to))
+
+
+def age(spark: SparkSession, path: str) -> float:
+    """Seconds since a file was written."""
+    fs, at = _open(spark, path)
+    return time.time() - fs.getFileStatus(at).getModificationTime() / 1000
+
+
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of all files below a folder; 0 when it is absent."""
+    fs, at = _open(spark, path)
+    return fs.getContentSummary(at).getLength() if fs.exists(at) else 0
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, at = _open(spark, path)
     fs.delete(at, True)

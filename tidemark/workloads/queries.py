@@ -91,7 +91,7 @@ def publish_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("NEW").alias("c_mktsegment"), F.lit(1).alias("seq"),
     )
     older = cleared.withColumn("c_name", F.lit("outdated")).withColumn("seq", F.lit(0))
-    publish.publish_upsert(cleared.unionByName(new).unionByName(older), path, ["c_custkey"], ["seq"])
+    publish.publish_upsert(cleared.unionByName(new).unionByName(older), path, ["c_custkey"], ["seq"], as_delta=True)
     return publish.read_published(spark, path)
 
 
