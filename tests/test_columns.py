@@ -109,3 +109,17 @@ def test_scalars(spark):
         scalars.part_rows(F.lit(1000), F.lit(20000.0)),
     ).first()
     assert tuple(row) == ("a_NA_2", None, 500, 1000)
+
+
+def test_offsets_become_utc(spark):
+    texts = ["2024-01-05T10:00:00Z", "2024-01-05T12:00:00+02:00", "2024-01-05 04:30:00.0-0530", "2024-01-05T10:00:00", "2024-01-05 x+02:00"]
+    ten = dt.datetime(2024, 1, 5, 10)
+    assert values(spark, texts, lambda c: parse_as(c, "DATETIME", True)) == [ten] * 4 + [None]
+    df = spark.createDataFrame([(t,) for t in texts[:4]], "t string")
+    assert inferred_columns(df) == [("t", "DATETIME")]
+
+
+def test_numbers_that_a_type_would_change_stay_text(spark):
+    data = [("01234", "12345678901234567890", "9007199254740993", "0", "-0.5", "007.5", "1"), ("1", "1", "1.5", "-17", "0.25", "1", "9007199254740993")]
+    df = spark.createDataFrame(data, ", ".join(f"c{i} string" for i in range(7)))
+    assert [t for _, t in inferred_columns(df, numbers=True)] == ["STRING", "STRING", "STRING", "LONG", "DOUBLE", "STRING", "LONG"]

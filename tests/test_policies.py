@@ -319,3 +319,37 @@ def test_records_from_rows(spark):
     assert [f["policy_column"] for f in found] == ["c1", "c2"]
     assert found[0]["definition"] == found[1]["definition"]
     assert found[0]["definition"]["users"] == [12, 7]
+
+
+def test_all_sets_of_columns_are_one_join(spark, tmp_path):
+    """100 sets over a dataset with a status-like column: one scan, one join."""
+    names = [f"c{i}" for i in range(15)]
+    spark.range(0, 3000).select(*[(F.col("id") % (2 + i)).cast("string").alias(n) for i, n in enumerate(names)], F.lit("hot").alias("status")).write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    sets = [(names[a], names[b]) for a in range(15) for b in range(a)][:100]
+    records = spark.createDataFrame(
+        [("d", i, f"p{i}", [1], [flt("status", "hot", "cold"), flt(x, "1"), flt(y, "0")]) for i, (x, y) in enumerate(sets)], RECORD
+    )
+    seen = p.policy_enforce(df, records, "d", 1, literal_values=0)
+    want = df.where(" OR ".join(f"({x} = '1' AND {y} = '0')" for x, y in sets))
+    plan = seen._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Join") == 1 and "ExistenceJoin" not in plan and plan.count("FileScan parquet") == 1
+    assert sorted(seen.collect()) == sorted(want.collect())
+
+
+def test_a_hot_value_is_split(spark):
+    conf = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+            "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    df = spark.range(0, 40_000, 1, 8).select(F.when(F.col("id") % 10 < 7, "hot").otherwise(F.col("id").cast("string")).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("h"))
+    records = spark.createDataFrame([("d", 1, "p", [1], [flt("k", "hot", *[str(i) for i in range(500)])])], RECORD)
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        seen = p.policy_enforce(df, records, "d", 1, literal_values=0)
+        assert len(seen.collect()) == df.where("k = 'hot' OR id_of < 500".replace("id_of", "try_cast(k AS INT)")).count()
+        assert "skew=true" in seen._jdf.queryExecution().executedPlan().toString().lower().replace("isskew", "skew")
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)

@@ -20,6 +20,11 @@ SERVICE_DATETIME = r"^\s*(\d{4}-\d{1,2}-\d{1,2}T\d{1,2}:\d{1,2}:\d{1,2})"
 SERVICE_DATE = r"^\s*(\d{4}-\d{1,2}-\d{1,2})"
 ANY_DATETIME = r"^\s*(\d{4}-\d{1,2}-\d{1,2}[T ]\d{1,2}:\d{1,2}:\d{1,2}(?:\.\d{1,6})?)"
 ANY_DATE = r"^\s*(\d{4}[-/]\d{1,2}[-/]\d{1,2})"
+OFFSET_PARTS = r"([+-])(\d{2}):?(\d{2})\s*$"
+# A number written with zeros in front is a code, not a number.
+PADDED_NUMBER = r"^\s*[+-]?0\d"
+# Digits of a whole number that a DOUBLE may not hold exactly.
+LONG_WHOLE = r"^\s*[+-]?\d{16,}\s*$"
 LONG_TEXT = r"^\s*[+-]?\d{1,19}\s*$"
 DOUBLE_TEXT = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d{1,5})?\s*$|^\s*[+-]?(?i:nan|inf|infinity)\s*$"
 USER_TIME = r"^(\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(?:\.\d{1,6})?)\d*Z"
@@ -42,6 +47,16 @@ def looks_like_datetime(text: Column) -> Column:
     return text.rlike(DATETIME_TEXT) & parse_datetime(text, any_format=True).isNotNull()
 
 
+def looks_like_long(text: Column) -> Column:
+    """A whole number of 64 bits, written without zeros in front."""
+    return parse_whole(text).isNotNull() & ~text.rlike(PADDED_NUMBER)
+
+
+def looks_like_double(text: Column) -> Column:
+    """A number that a DOUBLE gives back: not one with zeros in front, nor a long whole number."""
+    return parse_double(text).isNotNull() & ~text.rlike(PADDED_NUMBER) & ~text.rlike(LONG_WHOLE)
+
+
 def looks_like_date(text: Column) -> Column:
     return text.rlike(DATE_TEXT) & parse_date(text, any_format=True).isNotNull()
 
@@ -50,10 +65,16 @@ def parse_datetime(text: Column, any_format: bool = False) -> Column:
     """Zone-less time at the start of the text, or null.
 
     The service writes ``2024-01-05T10:00:00``; ``any_format`` also takes a
-    space for the ``T`` and keeps a fraction.
+    space for the ``T``, keeps a fraction, and turns a time with an offset into that of UTC.
     """
     found = F.regexp_extract(text, ANY_DATETIME if any_format else SERVICE_DATETIME, 1)
-    return found.try_cast(T.TimestampNTZType())
+    clock = found.try_cast(T.TimestampNTZType())
+    if not any_format:
+        return clock
+    sign, hours, minutes = (F.regexp_extract(text, OFFSET_PARTS, i) for i in (1, 2, 3))
+    ahead = F.make_dt_interval(hours=hours.try_cast("int"), mins=minutes.try_cast("int"))
+    timed = text.rlike(r"\d:\d{1,2}:\d")
+    return F.when(timed & (sign == "+"), clock - ahead).when(timed & (sign == "-"), clock + ahead).otherwise(clock)
 
 
 def parse_date(text: Column, any_format: bool = False) -> Column:

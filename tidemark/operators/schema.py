@@ -8,9 +8,9 @@ from tidemark.functions.names import exactly, quoted
 from tidemark.functions.servicetypes import (
     looks_like_date,
     looks_like_datetime,
+    looks_like_double,
+    looks_like_long,
     parse_as,
-    parse_double,
-    parse_whole,
     service_type,
 )
 
@@ -35,8 +35,10 @@ def dataset_schema(df: DataFrame) -> DataFrame:
 def infer_types(df: DataFrame, numbers: bool = False) -> DataFrame:
     """One row per column: position, name and inferred service type.
 
-    Text columns are dates or times when every value present reads as one;
-    with ``numbers`` they may be LONG or DOUBLE too. Other columns have the type
+    Text columns are dates or times when every value present reads as one (a time without an
+    offset is UTC); with ``numbers`` they may be LONG or DOUBLE too, when no
+    value is written with zeros in front or has more digits than the type gives back. A type
+    holds for a column when as many values fit it as there are, so counts of parts add up. Other columns have the type
     of their class. The texts are checked in one pass, a cell at a time, so a
     wide table takes no more code than a narrow one; tasks send on counts only.
     """
@@ -49,16 +51,20 @@ def infer_types(df: DataFrame, numbers: bool = False) -> DataFrame:
     )
     if not texts:
         return known.select("position", "name", F.col("class").alias("type"))
-    tests = {"DATETIME": looks_like_datetime, "DATE": looks_like_date}
+    # Each kind and the type it stands for; a value may be of several.
+    tests = {
+        "_datetime": (looks_like_datetime, "DATETIME"),
+        "_date": (looks_like_date, "DATE"),
+    }
     if numbers:
-        tests |= {"LONG": lambda c: parse_whole(c).isNotNull(), "DOUBLE": lambda c: parse_double(c).isNotNull()}
+        tests |= {"_long": (looks_like_long, "LONG"), "_double": (looks_like_double, "DOUBLE")}
     cells = df.select(F.posexplode(F.array(*exactly(texts))).alias("place", "text"))
     counts = (
         cells.where(F.col("text").isNotNull())
         .groupBy("place")
-        .agg(F.count("text").alias("present"), *[F.count_if(test(F.col("text"))).alias(k) for k, test in tests.items()])
+        .agg(F.count("text").alias("present"), *[F.count_if(test(F.col("text"))).alias(k) for k, (test, _) in tests.items()])
     )
-    chosen = F.coalesce(*[F.when(F.col(k) == F.col("present"), k) for k in tests], "class")
+    chosen = F.coalesce(*[F.when(F.col(k) == F.col("present"), F.lit(kind)) for k, (_, kind) in tests.items()], "class")
     # One row per column on either side.
     return known.join(F.broadcast(counts), "place", "left").select("position", "name", chosen.alias("type"))
 

@@ -555,9 +555,9 @@ def policy_enforce(
     ``EQUALS``, a missing operator or ``not`` among them, are refused.
 
     Few values become literals that reach the scan as pushed filters. Beyond
-    ``literal_values`` every set of columns that policies use together is one
-    existence test, led by its column with the most values; all are tested in
-    one pass over the dataset.
+    ``literal_values`` the policies are one table of signatures, each led by the column of its
+    set with the most values, and one join of the dataset with that table tests all sets of
+    columns.
     """
     if not enabled:
         return df
@@ -592,19 +592,47 @@ def policy_enforce(
         (tuple(r["names"]), r["column"]): r["n"]
         for r in values.groupBy("names", "column").agg(F.approx_count_distinct("value").alias("n")).collect()
     }
-    tests = []
-    for shape in sorted(shapes, key=lambda s: s["names"]):
-        columns = sorted(shape["names"], key=lambda n: (-spread.get((tuple(shape["names"]), n), 0), n))
-        allowed = mine.where(names == F.array(*[F.lit(n) for n in shape["names"]])).select(
-            F.explode(_values_of("filters", F.lit(columns[0]))).alias("_value_0"),
-            *[_values_of("filters", F.lit(n)).alias(f"_value_{i}") for i, n in enumerate(columns) if i],
-        ).distinct()
-        shown = [F.col(quoted(n)).outer().cast("string") for n in columns]
-        same = F.col("_value_0") == shown[0]
-        for i, value in enumerate(shown[1:], 1):
-            same = same & F.array_contains(f"_value_{i}", value)
-        tests.append(allowed.where(same).exists())
-    return df.where(reduce(Column.__or__, tests))
+    leads = {}
+    for shape in shapes:
+        columns = tuple(shape["names"])
+        leads[columns] = min(columns, key=lambda n: (-spread.get((columns, n), 0), n))
+    tested = sorted({n for columns in leads for n in columns})
+    return _probed(df, _signatures(mine, names, leads), sorted(set(leads.values())), tested)
+
+
+def _signatures(mine: DataFrame, names: Column, leads: dict[tuple[str, ...], str]) -> DataFrame:
+    """_lead, _value, _others: a row per value of each policy's leading column, and what the policy asks of its
+    other columns. All sets of columns share the one table."""
+    lead = F.coalesce(*[F.when(names == F.array(*[F.lit(n) for n in columns]), F.lit(first)) for columns, first in leads.items()])
+    others = F.transform(
+        F.filter(names, lambda n: n != lead), lambda n: F.struct(n, F.sort_array(_values_of("filters", n)))
+    ).cast("array<struct<column:string,values:array<string>>>")
+    return mine.select(lead.alias("_lead"), F.explode(_values_of("filters", lead)).alias("_value"), others.alias("_others")).distinct()
+
+
+def _probed(df: DataFrame, signatures: DataFrame, leads: list[str], tested: list[str]) -> DataFrame:
+    """The rows of ``df`` that a signature lets through, by one semi join.
+
+    A row asks for each leading column's own value; a value that a third of the rows hold is
+    split like any skewed side. With several leading columns a row that passes more than
+    once is one again at the end.
+    """
+    names = [f"_own_{i}" for i in range(len(df.columns))]
+    own = dict(zip(df.columns, names))
+    rows = df.toDF(*names)
+    asked = signatures.select(F.col("_lead").alias("_lead_of"), F.col("_value").alias("_value_of"), "_others")
+    probes = [F.struct(F.lit(n).alias("_lead"), F.col(own[n]).cast("string").alias("_value")) for n in leads]
+    if len(probes) > 1:
+        rows = rows.withColumn("_row", F.monotonically_increasing_id())
+    probing = rows.select("*", F.explode(F.array(*probes)).alias("_probe")).where("_probe._value IS NOT NULL")
+    shown = F.create_map(*[x for n in tested for x in (F.lit(n), F.col(own[n]).cast("string"))])
+    met = (F.col("_probe._lead") == F.col("_lead_of")) & (F.col("_probe._value") == F.col("_value_of")) & F.forall(
+        "_others", lambda o: F.coalesce(F.array_contains(o["values"], F.element_at(shown, o["column"])), F.lit(False))
+    )
+    passed = probing.join(asked, met, "left_semi").drop("_probe")
+    if len(probes) > 1:
+        passed = passed.dropDuplicates(["_row"])
+    return passed.select(*names).toDF(*df.columns)
 
 
 def _merged_terms(policies: list[Row]) -> list[dict[str, frozenset[str]]]:
