@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.names import friendly_names
 from tidemark.session import scratch_dir
 from tidemark.sources import datasets
-from tidemark.sources.publish import publish_replace, read_published
+from tidemark.sources.publish import publish_replace, publish_upsert, read_published
 
 
 def test_csv_with_awkward_header(spark, tmp_path):
@@ -73,3 +73,35 @@ def test_scratch_is_shared_and_fresh(spark):
     root = spark.conf.get("spark.checkpoint.dir")
     one, two = scratch_dir(spark, "x"), scratch_dir(spark, "x")
     assert one != two and one.startswith(root)
+
+
+def test_records_of_another_width_are_not_changed(spark, tmp_path):
+    (tmp_path / "d.csv").write_text('a,b\n1,x\n2,y,EXTRA\n3\n4,"p\nq"\n5,\n')
+    path = str(tmp_path / "d.csv")
+    with pytest.raises(Exception, match="not 2 cells"):
+        datasets.scan_csv(spark, path).collect()
+    df = datasets.scan_csv(spark, path, bad_records="raw")
+    assert [tuple(r) for r in df.orderBy("a").collect()] == [
+        (1, "x", None), (2, "y", "2,y,EXTRA"), (3, None, "3"), (4, "p\nq", None), (5, "", None)
+    ]
+    typed = datasets.scan_csv(spark, path, spark.createDataFrame([], "a int, b string").schema, bad_records="raw")
+    assert typed.where("raw IS NOT NULL").count() == 2
+
+
+def test_codes_and_long_ids_are_not_changed(spark, tmp_path):
+    (tmp_path / "d.csv").write_text("zip,id,n\n01234,12345678901234567890,1\n99999,1,2\n")
+    assert datasets.scan_csv(spark, str(tmp_path / "d.csv")).collect() == [("01234", "12345678901234567890", 1), ("99999", "1", 2)]
+
+
+def test_listing_of_published_datasets(spark, tmp_path):
+    spark.range(4).write.parquet(str(tmp_path / "plain"))
+    publish_replace(spark.range(7).withColumn("v", F.lit(1)), str(tmp_path / "keyed"), ["id"], buckets=3)
+    publish_replace(spark.range(9), str(tmp_path / "whole"))
+    publish_replace(spark.range(2), str(tmp_path / "whole"))
+    late = str(tmp_path / "late")
+    publish_replace(spark.range(5).withColumn("v", F.lit(0)), late, ["id"], buckets=2)
+    publish_upsert(spark.range(3, 8).withColumn("v", F.lit(1)), late, ["id"], ["v"], as_delta=True)
+    publish_replace(spark.range(0), str(tmp_path / "empty"), ["id"])
+    want = [("empty", 1, 0), ("keyed", 2, 7), ("late", 2, 8), ("plain", 1, 4), ("whole", 1, 2)]
+    assert [tuple(r) for r in datasets.dataset_listing(spark, str(tmp_path)).collect()] == want
+    assert [tuple(r) for r in datasets.dataset_listing(spark, str(tmp_path), limit=2, offset=1).collect()] == want[1:3]

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 
@@ -10,21 +11,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from tidemark.functions.names import exactly, friendly_names
 from tidemark.operators.relational import page_rows
 from tidemark.operators.schema import cast_typed, inferred_columns
-from tidemark.sources import storage
+from tidemark.session import written
+from tidemark.sources import publish, storage
+from tidemark.sources.csvformat import CSV_FORMAT, MISSING, write_options as write_options
 
-# How quotes, blanks and missing values are written in dataset CSV.
-CSV_FORMAT = {
-    "quote": '"',
-    "escape": '"',
-    "ignoreLeadingWhiteSpace": "false",
-    "ignoreTrailingWhiteSpace": "false",
-}
-MISSING = "\\N"
-
-
-def write_options(header: bool = False) -> dict[str, object]:
-    """Options that make Spark write CSV the way datasets keep it."""
-    return {**CSV_FORMAT, "nullValue": MISSING, "emptyValue": '""', "header": header}
+# Where the reader puts a record that has not the expected cells.
+BAD = "_bad_record"
 
 
 def scan_csv(
@@ -34,6 +26,7 @@ def scan_csv(
     header: bool = True,
     friendly: bool = False,
     multi_line: bool = True,
+    bad_records: str | None = None,
 ) -> DataFrame:
     """A dataset kept as CSV, ``\\N`` for missing values; empty text stays text.
 
@@ -41,6 +34,10 @@ def scan_csv(
     all values; with it, values that do not fit their type become null.
     ``multi_line`` is needed when texts hold line breaks; a file is then read by
     one task. Turn it off for large files without such texts.
+
+    A record with more or fewer cells than the first one fails the scan, or with ``bad_records``
+    is kept whole in a column of that name, which is null for all other records; its cells are what
+    could be read of it.
     """
     reader = spark.read.options(**CSV_FORMAT).option("multiLine", multi_line)
     if schema is not None:
@@ -51,16 +48,25 @@ def scan_csv(
             raise ValueError(f"no header in {path}")
         names = [n or "" for n in first] if header else [f"column_{i}" for i in range(1, len(first) + 1)]
     places = [f"c{i}" for i in range(len(names))]
-    cells = reader.option("header", header).schema(", ".join(f"{p} string" for p in places)).csv(path)
+    kinds = ", ".join([*(f"{p} string" for p in places), f"{BAD} string"])
+    cells = reader.option("header", header).option("columnNameOfCorruptRecord", BAD).schema(kinds).csv(path)
     # The reader gives null for a cell without any character, which is empty text.
+    good = F.col(BAD).isNull()
+    if bad_records is None:
+        problem = F.raise_error(F.concat(F.lit(f"not {len(names)} cells: "), F.substring(BAD, 1, 200)))
+        good = F.when(good, True).otherwise(problem.cast("boolean"))
     texts = cells.select(
-        *[F.when(F.col(p).isNull(), "").when(F.col(p) != MISSING, F.col(p)).alias(p) for p in places]
+        *[F.when(F.col(p).isNull() & good, "").when(F.col(p) != MISSING, F.col(p)).alias(p) for p in places],
+        # Spark refuses queries that need no other column than this one.
+        *([F.when(F.length(F.coalesce(places[0], F.lit(""))) >= 0, F.col(BAD)).alias(BAD)] if bad_records else []),
     )
     if schema is not None:
-        typed = texts.select(*[F.col(p).try_cast(f.dataType).alias(p) for p, f in zip(places, schema.fields)])
+        typed = texts.select(*[F.col(p).try_cast(f.dataType).alias(p) for p, f in zip(places, schema.fields)], *texts.columns[len(places) :])
     else:
-        typed = cast_typed(texts, dict(inferred_columns(texts, numbers=True)), any_format=True)
-    return typed.toDF(*(friendly_names(names) if friendly else names))
+        kinds = dict(inferred_columns(texts.select(*places), numbers=True))
+        typed = cast_typed(texts, kinds, any_format=True)
+    shown = friendly_names(names) if friendly else names
+    return typed.toDF(*shown, *([bad_records] if bad_records else []))
 
 
 def scan_json_pages(
@@ -80,30 +86,44 @@ def scan_json_pages(
 
 
 def dataset_listing(spark: SparkSession, root: str, limit: int = 0, offset: int = 0) -> DataFrame:
-    """Name, column count and row count of every parquet dataset below ``root``.
+    """Name, column count and row count of every dataset below ``root``, parquet or published.
 
     Sorted by name and paged. Rows of all datasets are counted by one scan that
-    reads no column, whatever their schemas are.
+    reads no column, whatever their schemas are; only those with deltas not yet merged are read
+    themselves. The columns of a published dataset are told by its state file.
     """
     root = root.rstrip("/")
     names = [n for n in storage.children(spark, root) if not n.startswith(("_", "."))]
+
+    def look(name: str) -> tuple[int, list[str], int | None]:
+        """Columns, the folders to count, and the rows where they are known already."""
+        state = publish.read_state(spark, f"{root}/{name}")
+        if state is None:
+            return len(spark.read.parquet(f"{root}/{name}").columns), [f"{root}/{name}"], None
+        width = len(json.loads(state.schema)["fields"])
+        if state.deltas:
+            return width, [], publish.read_published(spark, f"{root}/{name}", state).count()
+        return width, publish.part_folders(f"{root}/{name}", state), None
+
     with ThreadPoolExecutor(8) as pool:
-        columns = pool.map(lambda n: len(spark.read.parquet(f"{root}/{n}").columns), names)
-        widths = [(n.removesuffix(".parquet"), c) for n, c in zip(names, columns)]
-    datasets = spark.createDataFrame(widths, "name string, columns int")
+        found = list(pool.map(look, names))
+    widths = [(n.removesuffix(".parquet"), width, rows) for n, (width, _, rows) in zip(names, found)]
+    folders = [f for _, some, _ in found for f in some]
+    datasets = spark.createDataFrame(widths, "name string, columns int, known bigint")
     steps = F.split(F.parse_url(F.col("_metadata.file_path"), F.lit("PATH")), "/")
     folder = F.url_decode(F.replace(steps[storage.depth(spark, root)], F.lit("+"), F.lit("%2B")))
+    scan = spark.read.schema("_none int").option("recursiveFileLookup", True)
+    files = scan.parquet(*folders) if folders else spark.createDataFrame([], "_none int").withColumn("_metadata", F.struct(F.lit("").alias("file_path")))
     counted = (
-        spark.read.schema("_none int")
-        .option("recursiveFileLookup", True)
-        .parquet(*[f"{root}/{n}" for n in names])
+        files
         .groupBy(F.regexp_replace(folder, r"\.parquet$", "").alias("name"))
         .agg(F.count(F.lit(1)).alias("rows"))
     )
     listing = datasets.join(counted, "name", "left").select(
-        "name", "columns", F.coalesce("rows", F.lit(0)).alias("rows")
+        "name", "columns", F.coalesce("known", "rows", F.lit(0)).alias("rows")
     )
-    return page_rows(listing, ["name"], limit, offset)
+    # Paging reads its input more than once.
+    return page_rows(written(listing, "listing") if limit or offset else listing, ["name"], limit, offset)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:

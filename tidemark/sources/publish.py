@@ -23,7 +23,7 @@ from tidemark.operators.changes import latest_per_key, upsert_rows
 from tidemark.operators.relational import join_anti, join_semi
 from tidemark.operators.schema import columns_of, schema_changes
 from tidemark.sources import storage
-from tidemark.sources.datasets import write_options
+from tidemark.sources.csvformat import write_options
 
 BUCKET = "_bucket"
 DEFAULT_BUCKETS = 16
@@ -195,6 +195,11 @@ def _read_parts(
     return spark.read.schema(schema).parquet(*folders)
 
 
+def part_folders(path: str, state: State) -> list[str]:
+    """The folders that hold a state's parts."""
+    return [_part_folder(path, version, bucket) for bucket, version in state.parts.items()]
+
+
 def _part_folder(path: str, version: str, bucket: str) -> str:
     folder = f"{path.rstrip('/')}/versions/{version}"
     return f"{folder}/{BUCKET}={bucket}" if bucket else folder

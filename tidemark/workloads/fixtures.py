@@ -80,6 +80,22 @@ def desired_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def wished_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A policy per order: each of its suppliers sees the order's year, who owes money no year."""
+    orders = table(spark, sf_dir, "orders")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
+    suppliers = table(spark, sf_dir, "supplier").select("s_suppkey", "s_acctbal")
+    return (
+        orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"))
+        .join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
+        .select(
+            F.col("o_orderpriority").alias("dataset_id"), _order_name().alias("policy_name"),
+            F.lit("order_year").alias("policy_column"), F.col("l_suppkey").cast("string").alias("user_id"),
+            F.when(F.col("s_acctbal") >= 0, F.year("o_orderdate").cast("string")).otherwise("none").alias("policy_value"),
+        )
+    )
+
+
 def customer_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What staff of a nation may see of the orders: finished orders of its
     customers, and every order of those in the building trade."""

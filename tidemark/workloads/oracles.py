@@ -141,8 +141,10 @@ ORACLES: dict[str, str] = {
         SELECT p_partkey AS part_key, p_name AS part_name, p_brand AS part_name_3, p_type AS part_name_2,
                p_size AS x1size, p_retailprice AS price____ FROM part""",
     "select_named": f"""
-        WITH {DESIRED} SELECT dataset_id AS "Dataset ID", policy_name AS "Policy Name", policy_column AS "Policy Column",
-        user_id AS "User ID", policy_value AS "Policy Value" FROM desired""",
+        SELECT o_orderpriority AS "Dataset ID", concat('order ', o_orderkey) AS "Policy Name", 'order_year' AS "Policy Column",
+        CAST(l_suppkey AS VARCHAR) AS "User ID",
+        CASE WHEN s_acctbal >= 0 THEN CAST(year(o_orderdate) AS VARCHAR) ELSE 'none' END AS "Policy Value"
+        FROM orders JOIN lineitem ON o_orderkey = l_orderkey JOIN supplier ON l_suppkey = s_suppkey""",
     "rename_columns": f"WITH {PROJECT} SELECT * FROM lists",
     "filter_present": "SELECT DISTINCT event_type AS kind FROM events WHERE event_type NOT IN ('error', 'view')",
     "filter_excluded": f"""

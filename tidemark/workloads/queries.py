@@ -175,7 +175,7 @@ def friendly_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 @registered
 def select_named(spark: SparkSession, sf_dir: str) -> DataFrame:
     named = {short: long for long, short in policies.DESIRED_NAMES.items()}
-    dataset = relational.rename_columns(fx.desired_policies(spark, sf_dir), named).withColumn("Note", F.lit("x"))
+    dataset = relational.rename_columns(fx.wished_policies(spark, sf_dir), named).withColumn("Note", F.lit("x"))
     return relational.select_named(dataset, list(policies.DESIRED_NAMES))
 
 
