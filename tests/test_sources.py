@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import csv
 import json
+import random
 import warnings
 
 import pytest
@@ -8,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.names import friendly_names
 from tidemark.session import scratch_dir
-from tidemark.sources import datasets
+from tidemark.sources import csvrecords, datasets
 from tidemark.sources.publish import publish_replace, publish_upsert, read_published
 
 
@@ -105,3 +107,40 @@ def test_listing_of_published_datasets(spark, tmp_path):
     want = [("empty", 1, 0), ("keyed", 2, 7), ("late", 2, 8), ("plain", 1, 4), ("whole", 1, 2)]
     assert [tuple(r) for r in datasets.dataset_listing(spark, str(tmp_path)).collect()] == want
     assert [tuple(r) for r in datasets.dataset_listing(spark, str(tmp_path), limit=2, offset=1).collect()] == want[1:3]
+
+
+@pytest.fixture
+def small_ranges(spark):
+    before = {c: spark.conf.get(c) for c in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    spark.conf.set("spark.sql.files.openCostInBytes", "0")
+    yield
+    for c, v in before.items():
+        spark.conf.set(c, v)
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_texts_with_line_breaks_are_read_in_ranges(spark, rows, tmp_path, small_ranges, seed):
+    rng = random.Random(seed)
+    pieces = ["x", '"', ",", "\n", "\r\n", "\n\n", "é", " ", "long text " * 30]
+    made = [(str(i), "".join(rng.choice(pieces) for _ in range(rng.randint(0, 8))), rng.choice(["a", "b\nc"])) for i in range(400)]
+    with open(tmp_path / "d.csv", "w", newline="") as out:
+        writer = csv.writer(out, quoting=csv.QUOTE_ALL if seed == 2 else csv.QUOTE_MINIMAL, lineterminator="\r\n" if seed == 3 else "\n")
+        writer.writerows([("i", "text\nof", "k"), *made])
+    lines = csvrecords.placed_lines(spark, str(tmp_path / "d.csv"))
+    assert lines.select("block").distinct().count() > 10
+    df = datasets.scan_csv(spark, str(tmp_path / "d.csv"))
+    assert df.columns == ["i", "text\nof", "k"]
+    assert rows(df) == sorted(((int(i), t, k) for i, t, k in made), key=repr)
+
+
+def test_files_are_read_by_their_own_headers(spark, rows, tmp_path, small_ranges):
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "1.csv").write_text('a,b,a\n1,"x\ny",2\n')
+    (tmp_path / "d" / "2.csv").write_text("a,a,b\n3,4,z\n")
+    (tmp_path / "d" / "3.csv").write_text("\nb,c\nw,5\n")
+    (tmp_path / "d" / "4.csv").write_text("")
+    with pytest.warns(UserWarning):
+        df = datasets.scan_csv(spark, str(tmp_path / "d"), friendly=True)
+    assert df.columns == ["a", "b", "a_2", "c"]
+    assert rows(df) == sorted([(1, "x\ny", 2, None), (3, "z", 4, None), (None, "w", None, 5)], key=repr)

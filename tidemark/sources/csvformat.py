@@ -10,6 +10,8 @@ CSV_FORMAT = {
     "ignoreTrailingWhiteSpace": "false",
 }
 MISSING = "\\N"
+# Where a record is put that has not the expected cells.
+BAD = "_bad_record"
 
 
 def write_options(header: bool = False) -> dict[str, object]:

@@ -13,11 +13,8 @@ from tidemark.operators.relational import page_rows
 from tidemark.operators.schema import cast_typed, inferred_columns
 from tidemark.session import written
 from tidemark.sources import publish, storage
-from tidemark.sources.csvformat import CSV_FORMAT, MISSING, write_options as write_options
-
-# Where the reader puts a record that has not the expected cells.
-BAD = "_bad_record"
-
+from tidemark.sources.csvformat import BAD, CSV_FORMAT, MISSING, write_options as write_options
+from tidemark.sources.csvrecords import line_facts, read_records
 
 def scan_csv(
     spark: SparkSession,
@@ -32,24 +29,29 @@ def scan_csv(
 
     Without ``schema`` names come from the header and types from one pass over
     all values; with it, values that do not fit their type become null.
-    ``multi_line`` is needed when texts hold line breaks; a file is then read by
-    one task. Turn it off for large files without such texts.
+    With ``multi_line`` texts may hold line breaks: one pass looks for them, and where there
+    are any, or several files with headers, records are put together from ranges that are read by all tasks,
+    each file's columns by its own header; see ``csvrecords``. The rows are then written once.
 
     A record with more or fewer cells than the first one fails the scan, or with ``bad_records``
     is kept whole in a column of that name, which is null for all other records; its cells are what
     could be read of it.
     """
-    reader = spark.read.options(**CSV_FORMAT).option("multiLine", multi_line)
-    if schema is not None:
-        names = schema.names
+    names = schema.names if schema is not None else None
+    broken, files = line_facts(spark, path) if multi_line else (False, 0)
+    if broken or (header and files > 1):
+        cells, names = read_records(spark, path, header, names)
+        places = [f"c{i}" for i in range(len(names))]
     else:
-        first = reader.option("header", False).csv(path).first()
-        if first is None:
-            raise ValueError(f"no header in {path}")
-        names = [n or "" for n in first] if header else [f"column_{i}" for i in range(1, len(first) + 1)]
-    places = [f"c{i}" for i in range(len(names))]
-    kinds = ", ".join([*(f"{p} string" for p in places), f"{BAD} string"])
-    cells = reader.option("header", header).option("columnNameOfCorruptRecord", BAD).schema(kinds).csv(path)
+        reader = spark.read.options(**CSV_FORMAT)
+        if names is None:
+            first = reader.option("header", False).csv(path).first()
+            if first is None:
+                raise ValueError(f"no header in {path}")
+            names = [n or "" for n in first] if header else [f"column_{i}" for i in range(1, len(first) + 1)]
+        places = [f"c{i}" for i in range(len(names))]
+        kinds = ", ".join([*(f"{p} string" for p in places), f"{BAD} string"])
+        cells = reader.option("header", header).option("columnNameOfCorruptRecord", BAD).schema(kinds).csv(path)
     # The reader gives null for a cell without any character, which is empty text.
     good = F.col(BAD).isNull()
     if bad_records is None:
