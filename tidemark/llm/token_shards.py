@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from tidemark.llm.common import batch_of, documents, ship, slices
+from tidemark.llm.common import batch_of, documents, release, ship, slices
 from tidemark.llm.wavelet import WaveletMatrix
 
 # Encoded chunks, and words within them, that a worker keeps before it starts over.
@@ -43,6 +43,11 @@ ODD_BLANKS = "\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005
 # A word and the marks behind it are separate pieces to the tokenizer, whatever
 # the word's case. Apostrophes, and what special tokens are made of, are no marks here.
 MARKS = "-!\"#$%&()*+,./:;=?@[\\]^_`{}~"
+# Texts on which the encoder must agree with the library: a file of another kind is refused.
+PROBES = (
+    "Hello, World! Hello WORLD... it's (a) test-case: 3.14 & more; they'll e-mail café, ÉCOLE straße?",
+    "x  y\tz\u00a0w <|endoftext|> naïve--naïve 日本語 😀 'quoted' O'Neil's ABC123def",
+)
 
 
 def chunks_of(text: str | None) -> list[str]:
@@ -68,6 +73,11 @@ class ChunkEncoder:
         self.kind = np.dtype("<u2" if len(self.ends) <= 1 << 16 else "<u4")
         self.known: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        for probe in PROBES:
+            whole = self.tokenizer.encode(probe, add_special_tokens=False).ids
+            if self.encode([probe], 0)[0].tolist() != [*whole, 0]:
+                raise ValueError(f"{path} does not tell pieces apart as this encoder does")
 
     def encode(self, texts: list[str | None], end_id: int) -> list[np.ndarray]:
         split = [chunks_of(t) for t in texts]
@@ -114,7 +124,19 @@ class ChunkEncoder:
                 lowered.append(low)
             else:
                 other.append(chunk)
-        # One text of words between blanks is one piece per word.
+        # A lower-case ASCII word is what the tokenizer hands to its model.
+        plainest = [w for w in missing if w.isascii() and w.isalpha()]
+        if plainest:
+            flat: list[int] = []
+            cuts = [0]
+            for word in plainest:
+                flat += [t.id for t in self.model.tokenize(word)]
+                cuts.append(len(flat))
+            ids = np.array(flat, self.kind).tobytes()
+            size = self.kind.itemsize
+            words.update(zip(plainest, [ids[a * size : b * size] for a, b in zip(cuts, cuts[1:])]))
+            missing.difference_update(plainest)
+        # Of the others, one text of words between blanks is one piece per word.
         if missing:
             joined = np.array(self.tokenizer.encode_batch_fast([" ".join(missing)], add_special_tokens=False)[0].ids, self.kind)
             stops = ((np.flatnonzero(self.ends[joined]) + 1) * self.kind.itemsize).tolist()
@@ -156,7 +178,7 @@ def write_shards(
     A null or empty text is its end id alone. Rows with a null id come first,
     rows of one id in the order of their texts' hashes; each row is a document
     of its own. An empty table writes no shard. ``kept_share`` scales what a
-    worker remembers; less takes less memory and more time, with the same ids.
+    worker remembers, and below 1 it forgets it after each task; less takes less memory and more time, with the same ids.
     """
     ship(docs.sparkSession)
 
@@ -177,6 +199,9 @@ def write_shards(
                     ids, parts, held, number = [], [], 0, number + 1
         if ids:
             yield _shard(task << 24 | number, ids, parts)
+        if kept_share < 1:
+            enc.known, enc.words = {}, {}
+            release()
 
     base = documents(docs, id_col, text_col)
     # Rows without an id may be many; their texts tell them apart.

@@ -38,9 +38,9 @@ class WaveletMatrix:
             packed = np.packbits(ones, bitorder="little")
             planes.append(packed)
             ranks.append(_block_ranks(packed))
-            kept = np.compress(~ones, order)
-            zeros.append(len(kept))
-            order = np.concatenate([kept, np.compress(ones, order)])
+            zeros.append(len(order) - int(np.count_nonzero(ones)))
+            if level:  # the last plane's order is not needed
+                order = np.concatenate([np.compress(~ones, order), np.compress(ones, order)])
         return cls(len(ids), zeros, planes, ranks)
 
     def to_bytes(self) -> bytes:
@@ -147,7 +147,7 @@ def _n_blocks(size: int) -> int:
 def _block_ranks(packed: np.ndarray) -> np.ndarray:
     step = BLOCK_BITS // 8
     blocks = _n_blocks(len(packed))
-    counts = np.zeros(blocks * step, np.uint32)
-    counts[: len(packed)] = _POPCOUNT[packed]
-    sums = counts.reshape(blocks, step).sum(axis=1)
+    whole = np.zeros(blocks * step, np.uint8)
+    whole[: len(packed)] = packed
+    sums = np.bitwise_count(whole.view(np.uint64)).reshape(blocks, step // 8).sum(axis=1, dtype=np.uint32)
     return np.concatenate([[0], np.cumsum(sums)[:-1]]).astype(np.uint32)
