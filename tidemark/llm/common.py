@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import os
 import tempfile
 import zipfile
@@ -56,6 +58,15 @@ def saved(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release() -> None:
+    """Give freed memory back to the system where the C library can: workers live on after their task."""
+    gc.collect()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library keeps what it has
+
+
 def fold(id_col: str, parts: int) -> Column:
     """crc32 of the id's decimal text, modulo ``parts``."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % parts

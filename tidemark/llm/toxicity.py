@@ -11,6 +11,7 @@ k-th best cosine, so the neighbours are exact.
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,13 +19,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tidemark.llm.common import batch_of, documents, fold, ship, slices, utf8
+from tidemark.llm.common import batch_of, documents, fold, release, ship, slices, utf8
 
 # Bytes of a term; a code holds 8.
 TERM_BYTES = (5, 8)
-# Labelled texts per class, at most about, and the longest that is taken (characters).
+# Labelled texts per class, at most about.
 SAMPLE = 2000
-LONGEST_EXAMPLE = 100_000
+# Places of a text that are looked at once.
+PIECE = 1 << 20
 # Least log-likelihood ratio (G squared), document count and share of toxic rows
 # among the labelled rows that have a kept term.
 LEAST_G2 = 40.0
@@ -39,8 +41,8 @@ THRESHOLD = 0.3
 SCORED = pa.schema([("doc_id", pa.int64()), ("score", pa.float64()), ("predicted", pa.int32()), ("neighbours", pa.list_(pa.int64()))])
 
 
-def codes_of(data: np.ndarray, ends: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """(per term length, the code at every place; the place after each text's last).
+def spaced_of(data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the lowered texts back to back; the place after each text's last).
 
     Texts stand apart by blanks and a 0 byte, which no kept term holds.
     """
@@ -48,19 +50,26 @@ def codes_of(data: np.ndarray, ends: np.ndarray) -> tuple[list[np.ndarray], np.n
     low[65:91] += 32
     low[9:14] = 32
     n = len(ends) - 1
-    longest = max(TERM_BYTES)
     shift = np.repeat(3 * np.arange(n) + 1, np.diff(ends))
-    spaced = np.full(len(data) + 3 * n + longest, 32, np.uint8)
+    spaced = np.full(len(data) + 3 * n + max(TERM_BYTES), 32, np.uint8)
     spaced[ends[1:] + 3 * np.arange(n) + 2] = 0
     spaced[np.arange(len(data)) + shift] = low[data]
-    places = len(data) + 3 * n
-    codes, out = np.zeros(places, np.uint64), []
-    for i in range(longest):
-        codes <<= np.uint64(8)
-        codes |= spaced[i : i + places]
-        if i + 1 in TERM_BYTES:
-            out.append(codes.copy())
-    return out, ends[1:] + 3 * np.arange(1, n + 1)
+    return spaced, ends[1:] + 3 * np.arange(1, n + 1)
+
+
+def codes_of(spaced: np.ndarray) -> Iterator[tuple[int, list[np.ndarray]]]:
+    """(first place, per term length the code at every place from there), PIECE places at once."""
+    longest = max(TERM_BYTES)
+    last = len(spaced) - longest
+    for at in range(0, last, PIECE):
+        places = min(PIECE, last - at)
+        codes, out = np.zeros(places, np.uint64), []
+        for i in range(longest):
+            codes <<= np.uint64(8)
+            codes |= spaced[at + i : at + i + places]
+            if i + 1 in TERM_BYTES:
+                out.append(codes.copy())
+        yield at, out
 
 
 @dataclass
@@ -97,18 +106,19 @@ class Model:
         """(text, terms, unit weights) of every text that has a kept term."""
         if not len(self.terms):
             return []
-        found, stops = codes_of(data, ends)
-        places, terms = [], []
-        for codes in found:
-            slot = self._slot(codes)
-            term = self.slots[slot]
-            hit = np.flatnonzero(term >= 0)
-            term = term[hit].astype(np.int64)
-            again = np.flatnonzero(self.crowded[slot[hit]])
-            term[again] = np.minimum(np.searchsorted(self.terms, codes[hit[again]]), len(self.terms) - 1)
-            real = self.terms[term] == codes[hit]
-            places.append(hit[real])
-            terms.append(term[real])
+        spaced, stops = spaced_of(data, ends)
+        places, terms = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for at, found in codes_of(spaced):
+            for codes in found:
+                slot = self._slot(codes)
+                term = self.slots[slot]
+                hit = np.flatnonzero(term >= 0)
+                term = term[hit].astype(np.int64)
+                again = np.flatnonzero(self.crowded[slot[hit]])
+                term[again] = np.minimum(np.searchsorted(self.terms, codes[hit[again]]), len(self.terms) - 1)
+                real = self.terms[term] == codes[hit]
+                places.append(hit[real] + at)
+                terms.append(term[real])
         owner = np.searchsorted(stops, np.concatenate(places), side="right")
         pairs, counts = np.unique(owner * len(self.terms) + np.concatenate(terms), return_counts=True)
         texts, terms = np.divmod(pairs, len(self.terms))
@@ -164,8 +174,7 @@ def build(ids: list[int], texts: list[str], toxic: list[int], weight: list[float
     counts: list[np.ndarray] = []
     likely = _likely_slots(texts, label)
     for i, text in enumerate(texts):
-        own = _text_codes(text)
-        own, times = np.unique(own[likely[_wide_slot(own)]], return_counts=True)
+        own, times = np.unique(np.concatenate([c[likely[_wide_slot(c)]] for c in _text_codes(text)]), return_counts=True)
         codes.append(own)
         owners.append(np.full(len(own), i))
         counts.append(times)
@@ -205,9 +214,10 @@ def build(ids: list[int], texts: list[str], toxic: list[int], weight: list[float
     )
 
 
-def _text_codes(text: str) -> np.ndarray:
+def _text_codes(text: str) -> Iterator[np.ndarray]:
     data = np.frombuffer(text.encode("utf-8"), np.uint8)
-    return np.concatenate(codes_of(data, np.array([0, len(data)]))[0])
+    for _, codes in codes_of(spaced_of(data, np.array([0, len(data)]))[0]):
+        yield from codes
 
 
 def _wide_slot(codes: np.ndarray) -> np.ndarray:
@@ -222,7 +232,7 @@ def _likely_slots(texts: list[str], label: np.ndarray) -> np.ndarray:
     """
     in_toxic, in_all = np.zeros(1 << 24, np.float32), np.zeros(1 << 24, np.float32)
     for text, is_toxic in zip(texts, label):
-        slots = np.unique(_wide_slot(_text_codes(text)))
+        slots = np.unique(np.concatenate([np.unique(_wide_slot(c)) for c in _text_codes(text)]))
         in_all[slots] += 1
         if is_toxic:
             in_toxic[slots] += 1
@@ -260,13 +270,25 @@ def sampled_labels(labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_i
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> Model:
-    """Learn from ``docs`` that ``labels`` names. The sample is bounded, so it is broadcast and collected."""
+    """Learn from ``docs`` that ``labels`` names, whatever their length.
+
+    The sample is bounded, so its ids are broadcast and one task learns from its texts; only
+    the model reaches the driver. Rows that share an id are one example; null texts are none.
+    """
+    ship(docs.sparkSession)
     chosen = F.broadcast(sampled_labels(labels, sample))
-    rows = documents(docs, id_col, text_col).where(F.length("text") <= LONGEST_EXAMPLE).join(chosen, "doc_id")
-    # Rows that share an id are one example.
-    found = rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"), F.max("weight").alias("weight")).collect()
-    found.sort(key=lambda r: r["doc_id"])
-    return build([r["doc_id"] for r in found], [r["text"] for r in found], [r["toxic"] for r in found], [r["weight"] for r in found])
+    rows = documents(docs, id_col, text_col).where("text IS NOT NULL").join(chosen, "doc_id")
+    examples = rows.groupBy("doc_id").agg(F.min("text").alias("text"), F.max("toxic").alias("toxic"), F.max("weight").alias("weight"))
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = sorted(row for batch in batches for row in zip(*[batch.column(c).to_pylist() for c in ("doc_id", "text", "toxic", "weight")]))
+        model = pickle.dumps(build(*map(list, zip(*found))) if found else NOTHING)
+        del found
+        release()
+        yield pa.record_batch([pa.array([model], pa.binary())], ["model"])
+
+    learned = examples.repartition(1).mapInArrow(learn, "model binary").first()
+    return pickle.loads(learned["model"]) if learned else NOTHING
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -294,6 +316,10 @@ def scored(model: Model, values: pa.Array) -> tuple[list[float], list[list[int]]
     return scores, near
 
 
+# A model that has seen no example.
+NOTHING = build([], [], [], [])
+
+
 def held_out(id_col: str = "doc_id", parts: int = 4, part: int = 2) -> Column:
     """Whether a row's label is kept from learning; a row without an id has none to learn."""
     return F.coalesce(fold(id_col, parts) == part, F.lit(True))
@@ -319,6 +345,8 @@ def keep_clean(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col:
         for batch in slices(batches, text):
             scores, _ = scored(shared.value, batch.column(text))
             yield batch.filter(pa.array([s < THRESHOLD for s in scores]))
+        shared.value.seen.clear()
+        release()
 
     renamed = docs.toDF(*names)
     return renamed.mapInArrow(run, renamed.schema).toDF(*docs.columns)
