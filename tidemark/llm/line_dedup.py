@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.llm.common import saved
+
 # Elements whose content is no text, and elements that end a line.
 HIDDEN = "|".join(rf"<{tag}(?:[ \t\r\n][^>]*)?>.*?</{tag}[ \t\r\n]*>" for tag in ("script", "style", "noscript", "template")) + "|<!--.*?-->"
 BLOCKS = (
@@ -53,8 +55,12 @@ def drop_boilerplate(
     readable host keep all lines (host ''); null or empty HTML has no lines and
     an empty text.
     """
-    rows = pages.select(
-        pages[id_col].alias("page_id"), host(pages[url_col].cast("string")).alias("host"), page_lines(pages[html_col].cast("string")).alias("lines")
+    # Written once: finding the lines of a page costs more than all that follows.
+    rows = saved(
+        pages.select(
+            pages[id_col].alias("page_id"), host(pages[url_col].cast("string")).alias("host"), page_lines(pages[html_col].cast("string")).alias("lines")
+        ),
+        "page-lines",
     )
     sited = rows.where("host <> ''")
     totals = sited.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
