@@ -26,7 +26,7 @@ TERM_BYTES = (5, 8)
 # Labelled texts per class, at most about.
 SAMPLE = 2000
 # Places of a text that are looked at once.
-PIECE = 1 << 20
+PIECE = 1 << 17
 # Least log-likelihood ratio (G squared), document count and share of toxic rows
 # among the labelled rows that have a kept term.
 LEAST_G2 = 40.0
