@@ -353,3 +353,35 @@ def test_a_hot_value_is_split(spark):
     finally:
         for k, v in before.items():
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+
+
+@pytest.mark.parametrize("case", [random_case, whole_case])
+def test_policies_beyond_a_task_come_out_alike(spark, rows, monkeypatch, case):
+    """Policies placed whole, and some of them item by item."""
+    records, desired = case(random.Random(1))
+    r, d = spark.createDataFrame(records, RECORD), spark.createDataFrame(desired, DESIRED)
+    found = []
+    for limit in (1_000_000, 8):
+        monkeypatch.setattr(p, "TASK_ROWS", limit)
+        found.append([rows(f) for f in (p.policy_plan(r, d), p.policy_changes(r, d, lists=True), p.policy_records(d))])
+    assert found[0] == found[1]
+
+
+def test_policies_of_a_task_are_not_written_out_per_item(spark):
+    """The desired rows are moved once, as they are, and merged where they land without sorting texts per item."""
+    r = spark.createDataFrame([("x", 1, "a", [1, 2], [flt("c", "u", "v")])], RECORD)
+    d = spark.createDataFrame([("x", "a", "c", str(u), v) for u in range(3) for v in "uvw"], DESIRED)
+    for made in (p.policy_plan(r, d), p.policy_records(d)):
+        plan = made._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "SortAggregate" not in plan
+
+
+def test_a_task_merges_so_many_rows(spark, monkeypatch):
+    """More rows are placed in more tasks, whatever the session's number of them."""
+    d = spark.range(0, 900).select(
+        F.lit("x").alias("dataset_id"), F.col("id").cast("string").alias("policy_name"), F.lit("c").alias("policy_column"),
+        F.lit("1").alias("user_id"), F.lit("v").alias("policy_value"),
+    )
+    monkeypatch.setattr(p, "TASK_ROWS", 50)
+    assert ", 19)" in p.policy_records(d)._jdf.queryExecution().executedPlan().toString().replace(", REPARTITION", ") REPARTITION")
+    assert p.policy_records(d).count() == 900

@@ -9,8 +9,9 @@ A policy stands for every pair of its users and values. The comparison never
 writes those pairs out: a set of desired rows equals the pairs exactly when it
 has the same users, the same values, and as many distinct rows as there are
 pairs. So the work grows with the lists and the desired table, not with their
-product. Users and values are compared one element per row, spread over all
-tasks, and only counts meet per policy.
+product. A pass counts the desired rows of each policy: those that fit in a task meet there, and are compared
+by their lists. Larger policies are compared one user or value per row, spread over all
+tasks, and only distinct ones meet per policy.
 
 One column per policy is what policies are expected to have. The changes per
 column (``policy_changes`` and what is built on it) treat a policy with a stored column that is no longer
@@ -43,6 +44,8 @@ from tidemark.operators.relational import (
 
 POLICY = ["dataset_id", "policy_name", "policy_column"]
 DESIRED = [*POLICY, "user_id", "policy_value"]
+# What tells policies apart.
+HEAD_KEYS = ["dataset_id", "policy_name"]
 
 # Column names of a desired-policy dataset, and of ours.
 DESIRED_NAMES = {
@@ -53,10 +56,10 @@ DESIRED_NAMES = {
     "Policy Value": "policy_value",
 }
 
-# Fixed type of a policy record to store.
+# Fixed types of a policy's filters and of a policy record to store.
+FILTERS = "array<struct<column:string,values:array<string>,operator:string,not:boolean>>"
 DEFINITION = (
-    "struct<id:bigint,type:string,name:string,"
-    "filters:array<struct<column:string,values:array<string>,operator:string,not:boolean>>,"
+    f"struct<id:bigint,type:string,name:string,filters:{FILTERS},"
     "users:array<bigint>,virtualUsers:array<string>,groups:array<string>>"
 )
 
@@ -72,6 +75,9 @@ LITERAL_VALUES = 10_000
 LITERAL_TERMS = 100
 # Up to this many dataset names become a literal filter.
 LITERAL_DATASETS = 10_000
+# Desired rows that one task merges, and the buckets in which policies are counted for that.
+TASK_ROWS = 1_000_000
+POLICY_BUCKETS = 1 << 16
 
 
 # -- inputs ------------------------------------------------------------------------
@@ -187,6 +193,44 @@ def policy_desired_long(records: DataFrame, desired: DataFrame) -> DataFrame:
 # -- differences ---------------------------------------------------------------------
 
 
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64(*HEAD_KEYS), F.lit(POLICY_BUCKETS))
+
+
+def _by_size(rows: DataFrame) -> list[tuple[Column, int | None]]:
+    """Which policies to merge in which way: a condition on their rows, and the number of tasks to
+    place them in whole, or None for policies that may outgrow a task.
+
+    One pass counts the desired rows per bucket of policies, exactly. A bucket beyond ``TASK_ROWS`` rows may hold a
+    policy of that size, so its policies are compared item by item, over all tasks.
+    """
+    counts = rows.groupBy(_bucket().alias("bucket")).count()
+    large = F.col("count") > TASK_ROWS
+    found = counts.agg(
+        F.sum("count").alias("rows"), F.sort_array(F.collect_list(F.when(large, F.col("bucket")))).alias("large")
+    ).first()
+    tasks = (found["rows"] or 0) // max(TASK_ROWS, 1) + 1
+    if not found["large"]:
+        return [(F.lit(True), tasks)]
+    outgrown = _bucket().isin(found["large"])
+    return [(~outgrown, tasks), (outgrown, None)]
+
+
+def _placed(rows: DataFrame, tasks: int | None) -> DataFrame:
+    """Rows of a policy in one task: what is grouped by policy later, also with further keys, needs no other
+    shuffle. There are at least ``tasks`` of them, so that a task's memory stays the same however large the input is."""
+    if tasks is None:
+        return rows
+    if tasks > int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return rows.repartition(tasks, *HEAD_KEYS)
+    return rows.repartition(*HEAD_KEYS)
+
+
+def _hashed(keys: list[str]) -> list[Column]:
+    """Grouping keys led by their hash: aggregates of texts and lists sort, and the hash alone tells most rows apart."""
+    return [F.xxhash64(*keys).alias("_hash"), *[F.col(k) for k in keys]]
+
+
 def _in_scope(records: DataFrame, desired: DataFrame) -> DataFrame:
     """Stored policies of the datasets that the desired table names.
 
@@ -367,60 +411,131 @@ def _record(policy_id: Column, name: Column, users: Column, filters: Column) ->
 
 # -- whole policies --------------------------------------------------------------------
 
-# What a policy consists of, one kind per item.
+# What a policy consists of, one kind per item. ``COLUMN`` is a column without values.
 HEAD, COLUMN, MEMBER, ALLOWED = range(4)
-ITEM = "struct<kind:int,policy_column:string,item:string>"
+ITEM = "struct<kind:int,policy_column:string,item:string,first:string>"
 
 
-def _part(kind: int, column: Column, item: Column) -> Column:
-    return F.struct(F.lit(kind).alias("kind"), column.alias("policy_column"), item.alias("item")).cast(ITEM)
+def _part(kind: int, column: Column | None = None, item: Column | None = None, first: Column | None = None) -> Column:
+    named = {"policy_column": column, "item": item, "first": first}
+    fields = [(F.lit(None) if value is None else value).cast("string").alias(name) for name, value in named.items()]
+    return F.struct(F.lit(kind).alias("kind"), *fields).cast(ITEM)
 
 
-def _stored_parts(records: DataFrame) -> DataFrame:
-    """One row per policy, and per column, user and value of it. ``odd``: a filter is not plainly EQUALS."""
-    none = F.lit(None).cast("string")
-    kind = records.schema["filters"].dataType
-    filters = F.coalesce("filters", F.array().cast(kind))
-    names = F.array_distinct(F.transform(filters, lambda f: f["column"]))
-    values = F.transform(filters, lambda f: F.transform(F.coalesce(f["values"], _no_values()), lambda v: _part(ALLOWED, f["column"], v)))
+def _stored_rows(records: DataFrame) -> DataFrame:
+    """dataset_id, policy_name, and the rest of each stored policy that is ours."""
+    own = filter_excluded(records, "name").withColumnsRenamed({"name": "policy_name", "id": "policy_id"})
     users = F.coalesce(F.col("users").cast("array<string>"), _no_values())
-    known = kind.elementType.fieldNames()
-    odd = F.exists(filters, lambda f: F.lit(False) if "operator" not in known else
-                   ~f["not"].eqNullSafe(F.lit(False)) | ~f["operator"].eqNullSafe(F.lit("EQUALS")))
-    return filter_excluded(records, "name").select(
-        "dataset_id", F.col("name").alias("policy_name"), F.col("id").alias("policy_id"), odd.alias("odd"),
-        F.inline(F.concat(
-            F.array(_part(HEAD, none, none)), F.transform(names, lambda n: _part(COLUMN, n, none)),
-            F.transform(users, lambda u: _part(MEMBER, none, u)), F.flatten(values),
-        )),
-    )
+    filters = F.coalesce("filters", F.array().cast(records.schema["filters"].dataType))
+    return own.select(*HEAD_KEYS, "policy_id", users.alias("users"), filters.alias("filters"), F.lit(1).alias("stored"))
 
 
-def _wanted_parts(desired: DataFrame) -> DataFrame:
-    """The same of the desired rows that name a policy which is ours. ``first`` is the user a value is listed under.
+def _wanted_rows(desired: DataFrame) -> DataFrame:
+    """The desired rows that name a policy which is ours."""
+    return filter_excluded(desired_rows(desired), "policy_name")
 
-    An empty user or column stands for none; a user that is no whole number is a missing one.
+
+def _parts(rows: DataFrame) -> DataFrame:
+    """One row per policy, and per user, value and column without values of it. Of stored policies ``odd`` tells that
+    a filter is not plainly EQUALS; of desired rows ``first`` is the user a value is listed under.
+
+    An empty desired user or column stands for none; a user that is no whole number is a missing
+    one. A desired row with neither tells only that its policy is there.
     """
-    none = F.lit(None).cast("string")
-    user = to_text(to_whole_number(F.col("user_id")))
-    column = F.col("policy_column")
-    named = ~column.eqNullSafe(F.lit(""))
-    parts = F.array_compact(F.array(
-        _part(HEAD, none, none),
-        F.when(named, _part(COLUMN, column, none)),
-        F.when(~F.col("user_id").eqNullSafe(F.lit("")), _part(MEMBER, none, user)),
-        F.when(named, _part(ALLOWED, column, F.col("policy_value"))),
-    ))
-    rows = filter_excluded(desired_rows(desired), "policy_name").distinct()
-    return rows.select("dataset_id", "policy_name", F.col("user_id").alias("first"), F.inline(parts))
+    parts, odd = [], F.lit(None).cast("boolean")
+    if "stored" in rows.columns:
+        values = F.transform("filters", lambda f: F.transform(F.coalesce(f["values"], _no_values()), lambda v: _part(ALLOWED, f["column"], v)))
+        valued = F.transform(F.filter("filters", lambda f: F.size(f["values"]) > 0), lambda f: f["column"])
+        bare = F.array_except(F.transform("filters", lambda f: f["column"]), valued)
+        odd = _odd(rows)
+        parts.append(F.when(F.col("stored").isNotNull(), F.concat(
+            F.array(_part(HEAD)), F.transform(bare, lambda n: _part(COLUMN, n)),
+            F.transform("users", lambda u: _part(MEMBER, item=u)), F.flatten(values),
+        )))
+    if "wanted" in rows.columns:
+        user, column = F.col("user_id"), F.col("policy_column")
+        member, named = ~user.eqNullSafe(F.lit("")), ~column.eqNullSafe(F.lit(""))
+        parts.append(F.array(
+            F.when(member, _part(MEMBER, item=to_whole_number(user))),
+            F.when(named, _part(ALLOWED, column, F.col("policy_value"), user)),
+            F.when(~member & ~named, _part(HEAD)),
+        ))
+    sides = [name if name in rows.columns else F.lit(None).cast(kind).alias(name)
+             for name, kind in (("stored", "int"), ("wanted", "int"), ("policy_id", "bigint"))]
+    return rows.select(*HEAD_KEYS, *sides, odd.alias("odd"), F.inline(F.coalesce(*parts))).where("kind IS NOT NULL")
+
+
+def _merged(stored: DataFrame | None, wanted: DataFrame) -> DataFrame:
+    """Stored and desired policies by name, see ``_merged_parts``. A pass counts the desired rows: policies that fit in a
+    task are placed in one, larger ones are merged item by item over all tasks."""
+    merged = []
+    for own, tasks in _by_size(wanted):
+        rows = mark_constant(wanted.where(own), "wanted")
+        if stored is not None:
+            rows = stored.where(own).unionByName(rows, allowMissingColumns=True)
+        merged.append(_merged_parts(_parts(rows)) if tasks is None else _merged_whole(_placed(rows, tasks)))
+    return reduce(DataFrame.unionByName, merged)
+
+
+def _merged_whole(rows: DataFrame) -> DataFrame:
+    """Merges policies that fit in a task, each from the list of its rows."""
+    if "stored" not in rows.columns:
+        rows = rows.withColumn("stored", F.lit(None).cast("int")).withColumn("policy_id", F.lit(None).cast("bigint"))
+        rows = rows.withColumn("users", _no_values()).withColumn("filters", F.array().cast(FILTERS))
+    # In the order of columns and values, so that equal values follow each other.
+    row = F.struct("policy_column", F.col("policy_value").isNull().alias("missing"), F.col("policy_value").alias("item"),
+                   F.col("user_id").isNull().alias("late"), F.col("user_id").alias("first"))
+    policies = rows.groupBy(*_hashed(HEAD_KEYS)).agg(
+        F.count("stored").alias("stored"), F.count("wanted").alias("wanted"),
+        F.min("policy_id").alias("low_id"), F.max("policy_id").alias("policy_id"),
+        F.flatten(F.collect_list(F.when(F.col("stored").isNotNull(), F.col("users")))).alias("old_users"),
+        F.flatten(F.collect_list(F.when(F.col("stored").isNotNull(), F.col("filters")))).alias("filters"),
+        F.sort_array(F.collect_set(F.when(F.col("wanted").isNotNull(), row))).alias("rows"),
+    )
+    old = F.flatten(F.transform("filters", lambda f: F.transform(F.coalesce(f["values"], _no_values()), lambda v: F.struct(
+        f["column"].alias("policy_column"), v.isNull().alias("missing"), v.alias("item")))))
+    asked = F.array_distinct(F.transform(F.filter("rows", lambda r: ~r["first"].eqNullSafe(F.lit(""))), lambda r: r["first"]))
+    listed = policies.select(
+        *HEAD_KEYS, "stored", "wanted", "low_id", "policy_id", "filters",
+        F.array_distinct("old_users").alias("old_users"), F.sort_array(old).alias("old"),
+        F.array_distinct(F.transform(asked, lambda u: to_text(to_whole_number(u)))).alias("asked"),
+        F.filter("rows", lambda r: ~r["policy_column"].eqNullSafe(F.lit(""))).alias("rows"),
+    ).withColumn("old", _each_once("old")).withColumn("rows", _each_once("rows"))
+    bare = F.array_except(F.transform("filters", lambda f: f["column"]), F.transform("old", lambda v: v["policy_column"]))
+    new = F.transform("rows", lambda r: F.struct(r["policy_column"].alias("policy_column"), r["missing"].alias("missing"), r["item"].alias("item")))
+    value = lambda r: F.struct(*[r[f].alias(f) for f in ("policy_column", "late", "first", "missing", "item")])
+    return listed.select(
+        *HEAD_KEYS, (F.col("stored") > 0).alias("stored"), (F.col("wanted") > 0).alias("wanted"),
+        (~_same_items("old_users", "asked") | ~F.col("old").eqNullSafe(new) | (F.size(bare) > 0) | _odd(rows)).alias("differs"),
+        F.when(F.col("low_id") != F.col("policy_id"), _two_ids(F.col("policy_name"))).otherwise(F.col("policy_id")).alias("policy_id"),
+        F.sort_array(F.transform(F.array_distinct(F.transform("filters", lambda f: f["column"])), lambda n: F.struct(n.alias("policy_column")))).alias("stored_columns"),
+        F.sort_array(F.transform("asked", lambda u: F.struct(u.isNull().alias("missing"), u.alias("item")))).alias("users"),
+        F.sort_array(F.transform("rows", value)).alias("values"),
+    )
+
 
+def _each_once(name: str) -> Column:
+    """Of a list sorted by column and value, the first entry of each."""
+    def repeats(entry: Column, place: Column) -> Column:
+        before = F.get(F.col(name), place - 1)
+        return (place > 0) & before["policy_column"].eqNullSafe(entry["policy_column"]) & before["item"].eqNullSafe(entry["item"])
 
-def _merged(parts: DataFrame) -> DataFrame:
+    return F.filter(name, lambda entry, place: ~repeats(entry, place))
+
+
+def _odd(rows: DataFrame) -> Column:
+    """A filter is not plainly EQUALS."""
+    known = rows.schema["filters"].dataType.elementType.fieldNames()
+    return F.exists("filters", lambda f: F.lit(False) if "operator" not in known else
+                    ~f["not"].eqNullSafe(F.lit(False)) | ~f["operator"].eqNullSafe(F.lit("EQUALS")))
+
+
+def _merged_parts(parts: DataFrame) -> DataFrame:
     """Per policy: on which sides it is, whether they differ, its columns on each side, and the desired users and values in order.
 
     Equal parts meet first, which spreads a large policy over all tasks; only distinct ones then meet per policy.
     """
-    items = parts.groupBy("item", "kind", "policy_name", "dataset_id", "policy_column").agg(
+    items = parts.groupBy(*_hashed(["item", "kind", "policy_name", "dataset_id", "policy_column"])).agg(
         F.count("stored").alias("stored"), F.count("wanted").alias("wanted"), F.min("first").alias("first"),
         F.bool_or("odd").alias("odd"), F.min("policy_id").alias("low_id"), F.max("policy_id").alias("policy_id"),
     )
@@ -428,24 +543,27 @@ def _merged(parts: DataFrame) -> DataFrame:
     text = F.struct(F.col("item").isNull().alias("missing"), "item")
     value = F.struct("policy_column", F.col("first").isNull().alias("late"), "first", F.col("item").isNull().alias("missing"), "item")
 
-    def listed(of: int, there: Column, entry: Column) -> Column:
-        return F.sort_array(F.collect_list(F.when((kind == of) & there, entry)))
+    def listed(of: int, entry: Column) -> Column:
+        return F.sort_array(F.collect_list(F.when((kind == of) & wanted, entry)))
 
-    return items.groupBy("dataset_id", "policy_name").agg(
-        F.bool_or(stored & (kind == HEAD)).alias("stored"), F.bool_or(wanted & (kind == HEAD)).alias("wanted"),
-        (F.bool_or(stored != wanted) | F.coalesce(F.bool_or("odd"), F.lit(False))).alias("differs"),
+    column = F.when(stored & kind.isin(COLUMN, ALLOWED), F.struct("policy_column"))
+    # Items of large policies come from all over, so nothing could be combined on the way.
+    return items.repartition(*HEAD_KEYS).groupBy(*_hashed(HEAD_KEYS)).agg(
+        F.bool_or(stored).alias("stored"), F.bool_or(wanted).alias("wanted"),
+        (F.coalesce(F.bool_or(F.when(kind != HEAD, stored != wanted)), F.lit(False))
+         | F.coalesce(F.bool_or("odd"), F.lit(False))).alias("differs"),
         F.when(F.min("low_id") != F.max("policy_id"), _two_ids(F.col("policy_name"))).otherwise(F.max("policy_id")).alias("policy_id"),
-        listed(COLUMN, wanted, F.struct("policy_column")).alias("wanted_columns"),
-        listed(COLUMN, stored, F.struct("policy_column")).alias("stored_columns"),
-        listed(MEMBER, wanted, text).alias("users"), listed(ALLOWED, wanted, value).alias("values"),
-    )
+        F.sort_array(F.collect_set(column)).alias("stored_columns"),
+        listed(MEMBER, text).alias("users"), listed(ALLOWED, value).alias("values"),
+    ).drop("_hash")
 
 
 def _rows_of(merged: DataFrame, action: Column) -> DataFrame:
     """A row per column of each policy whose ``action`` is not null: its texts, and the record of the whole policy."""
     gone = F.col("action") == "delete"
-    columns = F.when(gone, F.col("stored_columns")).otherwise(F.col("wanted_columns"))
-    names = F.transform(columns, lambda c: c["policy_column"])
+    # Values are in order of their columns.
+    wanted_columns = F.array_distinct(F.transform("values", lambda v: v["policy_column"]))
+    names = F.when(gone, F.transform("stored_columns", lambda c: c["policy_column"])).otherwise(wanted_columns)
     users = F.transform("users", lambda u: u["item"])
     filters = F.transform("values", lambda v: _equals(v["policy_column"], v["item"]))
     definition = _record(F.col("policy_id"), F.col("policy_name"), F.transform(users, to_whole_number), filters)
@@ -469,10 +587,7 @@ def policy_records(desired: DataFrame) -> DataFrame:
     A record holds the policy's users and a filter per value of every column, so it stands for
     their product.
     """
-    wanted = mark_constant(_wanted_parts(desired), "wanted")
-    for name, kind in (("stored", "int"), ("odd", "boolean"), ("policy_id", "bigint")):
-        wanted = wanted.withColumn(name, F.lit(None).cast(kind))
-    return _rows_of(_merged(wanted), F.lit("add")).select(*POLICY, "definition")
+    return _rows_of(_merged(None, _wanted_rows(desired)), F.lit("add")).select(*POLICY, "definition")
 
 
 def policy_plan(records: DataFrame, desired: DataFrame) -> DataFrame:
@@ -485,9 +600,7 @@ def policy_plan(records: DataFrame, desired: DataFrame) -> DataFrame:
     the product that a record stands for, so an applied plan leaves nothing to do. Reserved names and rows that
     name no policy are left alone. A desired table that names no dataset at all is an error.
     """
-    stored = mark_constant(_stored_parts(_in_scope(records, desired)), "stored")
-    wanted = mark_constant(_wanted_parts(desired), "wanted")
-    merged = _merged(stored.unionByName(wanted, allowMissingColumns=True))
+    merged = _merged(_stored_rows(_in_scope(records, desired)), _wanted_rows(desired))
     action = (
         F.when(~F.col("stored"), F.lit("add")).when(~F.col("wanted"), F.lit("delete")).when(F.col("differs"), F.lit("update"))
     )
