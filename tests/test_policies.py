@@ -371,7 +371,7 @@ def test_policies_of_a_task_are_not_written_out_per_item(spark):
     """The desired rows are moved once, as they are, and merged where they land without sorting texts per item."""
     r = spark.createDataFrame([("x", 1, "a", [1, 2], [flt("c", "u", "v")])], RECORD)
     d = spark.createDataFrame([("x", "a", "c", str(u), v) for u in range(3) for v in "uvw"], DESIRED)
-    for made in (p.policy_plan(r, d), p.policy_records(d)):
+    for made in (p.policy_plan(r, d), p.policy_records(d), p.policy_updates(r, d)):
         plan = made._jdf.queryExecution().executedPlan().toString()
         assert plan.count("Exchange hashpartitioning") == 1 and "SortAggregate" not in plan
 

@@ -280,48 +280,102 @@ def _stored_items(records: DataFrame) -> DataFrame:
     )
 
 
-def _wanted_items(desired: DataFrame) -> DataFrame:
-    """Two rows, user and value, per distinct desired row. ``pairs`` counts the
+def _item_of_each() -> Column:
+    """An item as it is, and two, user and value, of a distinct desired row. ``pairs`` counts the
     rows once; ``first`` is the user that a value is listed under."""
-    items = [
-        F.struct(
-            F.lit(part).alias("part"), F.col(name).alias("item"),
-            F.lit(pairs).cast("bigint").alias("pairs"), first.alias("first"),
+    def entry(part: Column, item: str, pairs: int | None, first: str | None) -> Column:
+        first = F.lit(None) if first is None else F.col(first)
+        return F.struct(
+            part.alias("part"), F.col(item).alias("item"),
+            F.lit(pairs).cast("bigint").alias("pairs"), first.cast("string").alias("first"),
         )
-        for part, name, pairs, first in (
-            (USER, "user_id", 1, F.lit(None).cast("string")), (VALUE, "policy_value", 0, F.col("user_id")),
-        )
-    ]
-    return desired_rows(desired).distinct().select(*POLICY, F.inline(F.array(*items)))
+
+    row = F.array(entry(F.lit(USER), "item", 1, None), entry(F.lit(VALUE), "value", 0, "item"))
+    return F.inline(F.when(F.col("part").isNull(), row).otherwise(F.array(entry(F.col("part"), "item", None, None))))
 
 
 def _compare(records: DataFrame, desired: DataFrame, lists: bool) -> DataFrame:
     """Per policy and column: stored id, on which sides it is, whether the sides
     differ, and with ``lists`` the desired users and values joined by ``|``.
 
-    One pass over both inputs. Rows meet per item first, which spreads one
-    large policy over all tasks; only distinct items then meet per policy.
+    A pass counts the desired rows, another compares. Policies that fit in a task are placed
+    in one; of larger ones rows meet per item first, which spreads one policy over all tasks, and
+    only distinct items then meet per policy.
     """
-    head = ["dataset_id", "policy_name"]
-    stored = mark_constant(_stored_items(_in_scope(records, desired)), "stored")
-    wanted = mark_constant(_wanted_items(desired), "wanted")
-    if not lists:
-        wanted = wanted.drop("first")
+    stored, wanted = _in_scope(records, desired), desired_rows(desired)
+    compared = []
+    for own, tasks in _by_size(wanted):
+        way = _compared_items if tasks is None else _compared_whole
+        compared.append(way(stored, wanted.where(own), own, lists, tasks))
+    # A policy has few columns, so its rows are few here however large it is.
+    policy = Window.partitionBy(F.xxhash64(*HEAD_KEYS), *HEAD_KEYS)
+    low, high = F.min("low_id").over(policy), F.max("policy_id").over(policy)
+    columns = [c.select(
+        *POLICY, "stored", "wanted",
+        F.when(low != high, _two_ids(F.col("policy_name"))).otherwise(high).alias("policy_id"), "differs",
+        F.bool_or(F.col("stored") & ~F.col("wanted")).over(policy).alias("doomed"),
+        *(["user_id", "policy_value"] if lists else []),
+    ) for c in compared]
+    return reduce(DataFrame.unionByName, columns)
+
+
+def _compared_whole(stored: DataFrame, wanted: DataFrame, own: Column, lists: bool, tasks: int) -> DataFrame:
+    """Compares policies that fit in a task, each by the lists of its columns."""
+    kept = current_records(stored).where(own).select(*HEAD_KEYS, "policy_id", "users", F.inline("filters")).select(
+        *HEAD_KEYS, F.col("column").alias("policy_column"), "policy_id", F.struct("users", "values").alias("stored")
+    )
+    rows = _placed(kept.unionByName(wanted.withColumn("wanted", F.lit(True)), allowMissingColumns=True), tasks)
+    # In the order in which values are listed.
+    row = F.struct(F.col("user_id").isNull(), "user_id", F.col("policy_value").isNull(), "policy_value")
+    columns = rows.groupBy(*_hashed(POLICY)).agg(
+        F.min("policy_id").alias("low_id"), F.max("policy_id").alias("policy_id"),
+        F.collect_list("stored").alias("kept"), F.sort_array(F.collect_set(F.when(F.col("wanted"), row))).alias("rows"),
+    )
+    sets = columns.select(
+        *POLICY, "low_id", "policy_id", F.size("rows").alias("pairs"),
+        F.array_distinct(F.flatten(F.transform("kept", lambda k: k["users"]))).alias("old_users"),
+        F.array_distinct(F.flatten(F.transform("kept", lambda k: k["values"]))).alias("old_values"),
+        F.array_distinct(F.transform("rows", lambda r: r["user_id"])).alias("users"),
+        F.array_distinct(F.transform("rows", lambda r: r["policy_value"])).alias("values"),
+    )
+    product = F.size("old_users").cast("bigint") * F.size("old_values")
+    return sets.select(
+        *POLICY, (F.size("old_users") > 0).alias("stored"), (F.col("pairs") > 0).alias("wanted"), "low_id", "policy_id",
+        (~_same_items("old_users", "users") | ~_same_items("old_values", "values") | (F.col("pairs") != product)).alias("differs"),
+        *([F.array_join("users", "|", "NA").alias("user_id"), F.array_join("values", "|", "NA").alias("policy_value")] if lists else []),
+    )
+
+
+def _same_items(first: str, second: str) -> Column:
+    """Two lists of distinct texts hold the same ones."""
+    return F.sort_array(first).eqNullSafe(F.sort_array(second))
+
+
+def _compared_items(stored: DataFrame, wanted: DataFrame, own: Column, lists: bool, tasks: None) -> DataFrame:
+    """Compares policies that may outgrow a task: rows meet per item, then distinct items per policy."""
+    kept = mark_constant(_stored_items(stored).where(own), "stored")
+    asked = wanted.select(
+        *POLICY, F.lit(None).cast("boolean").alias("part"), F.col("user_id").alias("item"), F.col("policy_value").alias("value"), F.lit(1).alias("wanted")
+    )
+    rows = kept.unionByName(asked, allowMissingColumns=True)
+    distinct = rows.groupBy(*_hashed(["item", "value", "part", "policy_name", "dataset_id", "policy_column"])).agg(
+        F.count("stored").alias("stored"), F.count("wanted").alias("wanted"),
+        F.min("policy_id").alias("low_id"), F.max("policy_id").alias("policy_id"),
+    )
     items = (
-        stored.unionByName(wanted, allowMissingColumns=True)
-        # The item leads because these rows are sorted, and it tells most of them apart.
-        .groupBy("item", "part", "policy_name", "dataset_id", "policy_column")
+        distinct.select(*POLICY, "stored", "wanted", "low_id", "policy_id", _item_of_each())
+        .groupBy(*_hashed(["item", "part", "policy_name", "dataset_id", "policy_column"]))
         .agg(
-            F.count("stored").alias("stored"), F.count("wanted").alias("wanted"), F.sum("pairs").alias("pairs"),
-            F.min("policy_id").alias("low_id"), F.max("policy_id").alias("policy_id"),
+            F.sum("stored").alias("stored"), F.sum("wanted").alias("wanted"), F.sum("pairs").alias("pairs"),
+            F.min("low_id").alias("low_id"), F.max("policy_id").alias("policy_id"),
             *([F.min("first").alias("first")] if lists else []),
         )
     )
     in_stored, in_wanted = F.col("stored") > 0, F.col("wanted") > 0
     listed = []
     if lists:
-        # Placed once for both the grouping and the window below.
-        items = items.repartition(*head)
+        # Placed once for both the grouping and the window that follows.
+        items = items.repartition(*HEAD_KEYS)
         place = F.struct(
             F.col("first").isNull(), "first", F.col("item").isNull(), F.coalesce("item", F.lit("NA")).alias("text")
         )
@@ -329,7 +383,7 @@ def _compare(records: DataFrame, desired: DataFrame, lists: bool) -> DataFrame:
             some = F.collect_list(F.when((F.col("part") == part) & in_wanted, place))
             listed.append(F.array_join(F.transform(F.sort_array(some), lambda p: p["text"]), "|").alias(name))
     stored_count = [F.count_if((F.col("part") == part) & in_stored) for part in (USER, VALUE)]
-    columns = items.groupBy(*POLICY).agg(
+    columns = items.groupBy(*_hashed(POLICY)).agg(
         F.bool_or(in_stored).alias("stored"),
         F.bool_or(in_wanted).alias("wanted"),
         F.bool_or(in_stored != in_wanted).alias("one_sided"),
@@ -339,14 +393,9 @@ def _compare(records: DataFrame, desired: DataFrame, lists: bool) -> DataFrame:
         F.max("policy_id").alias("policy_id"),
         *listed,
     )
-    # A policy has few columns, so its rows are few here however large it is.
-    policy = Window.partitionBy(*head)
-    low, high = F.min("low_id").over(policy), F.max("policy_id").over(policy)
     return columns.select(
-        *POLICY, "stored", "wanted",
-        F.when(low != high, _two_ids(F.col("policy_name"))).otherwise(high).alias("policy_id"),
+        *POLICY, "stored", "wanted", "low_id", "policy_id",
         (F.col("one_sided") | (F.col("pairs") != F.col("product"))).alias("differs"),
-        F.bool_or(F.col("stored") & ~F.col("wanted")).over(policy).alias("doomed"),
         *(["user_id", "policy_value"] if lists else []),
     )
 
