@@ -406,7 +406,7 @@ def policy_changes(records: DataFrame, desired: DataFrame, lists: bool = False)
 
     An existing policy with a column that only the desired table has gives an
     add and an update, and one that is deleted but still has a desired column
-    an update too; neither happens while policies have one column.
+    an update too; neither happens while policies have one column. The desired table is read three times.
     """
     stored, wanted = F.col("stored"), F.col("wanted")
     changed = ~stored | F.col("doomed") | F.col("differs")
@@ -634,7 +634,7 @@ def policy_records(desired: DataFrame) -> DataFrame:
     """dataset_id, policy_name, policy_column, definition: the record of each desired policy, on a row per column of it.
 
     A record holds the policy's users and a filter per value of every column, so it stands for
-    their product.
+    their product. The desired rows are read twice: pass a written table, not a costly plan.
     """
     return _rows_of(_merged(None, _wanted_rows(desired)), F.lit("add")).select(*POLICY, "definition")
 
@@ -647,7 +647,8 @@ def policy_plan(records: DataFrame, desired: DataFrame) -> DataFrame:
     one record of the policy. It is updated when its users, its columns, a column's values or a filter's kind are
     not the desired ones. Desired rows that list different users or values in turn come down to
     the product that a record stands for, so an applied plan leaves nothing to do. Reserved names and rows that
-    name no policy are left alone. A desired table that names no dataset at all is an error.
+    name no policy are left alone. A desired table that names no dataset at all is an error. It is read three times: for its
+    datasets, for the sizes of its policies, and for the plan.
     """
     merged = _merged(_stored_rows(_in_scope(records, desired)), _wanted_rows(desired))
     action = (
