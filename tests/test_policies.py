@@ -1,11 +1,14 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.plans import policies as p
+from tidemark.workloads import fixtures as fx
+from tidemark.workloads.queries import QUERIES
 
 RECORD = (
     "dataset_id string, id bigint, name string, users array<bigint>, "
@@ -385,3 +388,27 @@ def test_a_task_merges_so_many_rows(spark, monkeypatch):
     monkeypatch.setattr(p, "TASK_ROWS", 50)
     assert ", 19)" in p.policy_records(d)._jdf.queryExecution().executedPlan().toString().replace(", REPARTITION", ") REPARTITION")
     assert p.policy_records(d).count() == 900
+
+
+@pytest.fixture
+def orders_of_lines(spark, tmp_path):
+    """Tables of 40 orders with 1 to 5 lines, an order twice and one without lines, and missing keys."""
+    orders = [(i % 39, i % 7, "FOP"[i % 3], 30000.0 + i, f"{1 + i % 3}-X") for i in range(40)] + [(None, 1, "F", 30000.0, "1-X"), (99, 1, "O", 30000.0, "2-X")]
+    schema = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderpriority string"
+    spark.createDataFrame(orders, schema).withColumn("o_orderdate", F.to_timestamp(F.lit("1995-03-01"))).write.parquet(str(tmp_path / "orders.parquet"))
+    lines = [(i, (i + j) % 6) for i in range(39) for j in range(1 + i % 5)] + [(None, 1), (3, None)]
+    spark.createDataFrame(lines, "l_orderkey bigint, l_suppkey bigint").write.parquet(str(tmp_path / "lineitem.parquet"))
+    spark.createDataFrame([(i, 10.0 * i - 5) for i in range(6)], "s_suppkey bigint, s_acctbal double").write.parquet(str(tmp_path / "supplier.parquet"))
+    spark.createDataFrame([(i, 10.0 * i - 5) for i in range(7)], "c_custkey bigint, c_acctbal double").write.parquet(str(tmp_path / "customer.parquet"))
+    return str(tmp_path)
+
+
+def test_lines_are_joined_in_as_many_tasks_as_they_take(spark, rows, monkeypatch, orders_of_lines):
+    """A join left to itself is merged into few tasks, which sort more the more lines there are."""
+    listed = lambda: fx.stored_policies(spark, orders_of_lines).withColumn("users", F.sort_array("users"))
+    few = rows(fx.desired_policies(spark, orders_of_lines)), rows(listed())
+    monkeypatch.setattr(fx, "TASK_LINES", 9)
+    lines = fx.table(spark, orders_of_lines, "lineitem").count()
+    for made in (fx.desired_policies(spark, orders_of_lines), listed()):
+        assert f"l_orderkey, {lines // 9 + 1})" in re.sub(r"#\d+L?", "", made._jdf.queryExecution().executedPlan().toString())
+    assert (rows(fx.desired_policies(spark, orders_of_lines)), rows(listed())) == few

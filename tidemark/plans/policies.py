@@ -76,7 +76,7 @@ LITERAL_TERMS = 100
 # Up to this many dataset names become a literal filter.
 LITERAL_DATASETS = 10_000
 # Desired rows that one task merges, and the buckets in which policies are counted for that.
-TASK_ROWS = 1_000_000
+TASK_ROWS = 500_000
 POLICY_BUCKETS = 1 << 16
 
 

@@ -13,6 +13,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+# Lines of orders that one task sorts or groups.
+TASK_LINES = 500_000
+
+
+def _lines_by_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order and supplier of each line. Of more lines than a task should sort, those of an order are placed in one of as
+    many tasks as that takes: left to itself, a join by order merges them into few tasks however many lines there are."""
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
+    tasks = lines.count() // TASK_LINES + 1
+    if tasks == 1:
+        return lines
+    return lines.repartition(max(tasks, int(spark.conf.get("spark.sql.shuffle.partitions"))), "l_orderkey")
+
+
 def _order_name() -> Column:
     return F.concat(F.lit("order "), F.col("o_orderkey").cast("string"))
 
@@ -21,7 +35,7 @@ def stored_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A policy per finished or partly shipped order: its suppliers see the
     order's year and the next, or only its year when the customer owes money."""
     orders = table(spark, sf_dir, "orders").where("o_orderstatus <> 'O'")
-    users = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.collect_set("l_suppkey").alias("users"))
+    users = _lines_by_order(spark, sf_dir).groupBy("l_orderkey").agg(F.collect_set("l_suppkey").alias("users"))
     customers = table(spark, sf_dir, "customer").select("c_custkey", "c_acctbal")
     year = F.year("o_orderdate")
     name = (
@@ -66,7 +80,7 @@ def desired_policies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A policy per finished or open order: its suppliers who do not owe money
     see the order's year and the next."""
     orders = table(spark, sf_dir, "orders").where("o_orderstatus <> 'P'")
-    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
+    lines = _lines_by_order(spark, sf_dir)
     suppliers = table(spark, sf_dir, "supplier").where("s_acctbal >= 0").select("s_suppkey")
     year = F.year("o_orderdate")
     return (
