@@ -412,3 +412,18 @@ def test_lines_are_joined_in_as_many_tasks_as_they_take(spark, rows, monkeypatch
     for made in (fx.desired_policies(spark, orders_of_lines), listed()):
         assert f"l_orderkey, {lines // 9 + 1})" in re.sub(r"#\d+L?", "", made._jdf.queryExecution().executedPlan().toString())
     assert (rows(fx.desired_policies(spark, orders_of_lines)), rows(listed())) == few
+
+
+@pytest.mark.parametrize("name", ["policy_definitions", "policy_plan", "policy_updates"])
+def test_desired_rows_are_joined_once(spark, orders_of_lines, name):
+    """They are read several times, so they are written first: no line of an order is read again with them."""
+    plan = QUERIES[name](spark, orders_of_lines)._jdf.queryExecution().optimizedPlan().toString()
+    assert "s_acctbal" not in plan
+
+
+def test_policies_are_compared_once(spark):
+    """The choice of the changed ones is not written out a second time below the comparison."""
+    r = spark.createDataFrame([("x", 1, "a", [1, 2], [flt("c", "u", "v")])], RECORD)
+    d = spark.createDataFrame([("x", "a", "c", str(u), v) for u in range(3) for v in "uvw"], DESIRED)
+    plan = p.policy_plan(r, d)._jdf.queryExecution().optimizedPlan().toString()
+    assert not [line for line in plan.splitlines() if "Filter" in line and "collect_" in line or "Filter" in line and "sort_array" in line]

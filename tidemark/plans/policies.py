@@ -537,10 +537,11 @@ def _merged_whole(rows: DataFrame) -> DataFrame:
     policies = rows.groupBy(*_hashed(HEAD_KEYS)).agg(
         F.count("stored").alias("stored"), F.count("wanted").alias("wanted"),
         F.min("policy_id").alias("low_id"), F.max("policy_id").alias("policy_id"),
-        F.flatten(F.collect_list(F.when(F.col("stored").isNotNull(), F.col("users")))).alias("old_users"),
-        F.flatten(F.collect_list(F.when(F.col("stored").isNotNull(), F.col("filters")))).alias("filters"),
+        F.collect_list(F.when(F.col("stored").isNotNull(), F.struct("users", "filters"))).alias("kept"),
         F.sort_array(F.collect_set(F.when(F.col("wanted").isNotNull(), row))).alias("rows"),
     )
+    policies = policies.withColumn("old_users", F.flatten(F.transform("kept", lambda k: k["users"])))
+    policies = policies.withColumn("filters", F.flatten(F.transform("kept", lambda k: k["filters"])))
     old = F.flatten(F.transform("filters", lambda f: F.transform(F.coalesce(f["values"], _no_values()), lambda v: F.struct(
         f["column"].alias("policy_column"), v.isNull().alias("missing"), v.alias("item")))))
     asked = F.array_distinct(F.transform(F.filter("rows", lambda r: ~r["first"].eqNullSafe(F.lit(""))), lambda r: r["first"]))
@@ -553,9 +554,12 @@ def _merged_whole(rows: DataFrame) -> DataFrame:
     bare = F.array_except(F.transform("filters", lambda f: f["column"]), F.transform("old", lambda v: v["policy_column"]))
     new = F.transform("rows", lambda r: F.struct(r["policy_column"].alias("policy_column"), r["missing"].alias("missing"), r["item"].alias("item")))
     value = lambda r: F.struct(*[r[f].alias(f) for f in ("policy_column", "late", "first", "missing", "item")])
+    # Only what is on both sides needs to be compared.
+    both = (F.col("stored") > 0) & (F.col("wanted") > 0)
+    differs = ~_same_items("old_users", "asked") | ~F.col("old").eqNullSafe(new) | (F.size(bare) > 0) | _odd(rows)
     return listed.select(
         *HEAD_KEYS, (F.col("stored") > 0).alias("stored"), (F.col("wanted") > 0).alias("wanted"),
-        (~_same_items("old_users", "asked") | ~F.col("old").eqNullSafe(new) | (F.size(bare) > 0) | _odd(rows)).alias("differs"),
+        F.when(both, differs).otherwise(True).alias("differs"),
         F.when(F.col("low_id") != F.col("policy_id"), _two_ids(F.col("policy_name"))).otherwise(F.col("policy_id")).alias("policy_id"),
         F.sort_array(F.transform(F.array_distinct(F.transform("filters", lambda f: f["column"])), lambda n: F.struct(n.alias("policy_column")))).alias("stored_columns"),
         F.sort_array(F.transform("asked", lambda u: F.struct(u.isNull().alias("missing"), u.alias("item")))).alias("users"),
@@ -617,10 +621,11 @@ def _rows_of(merged: DataFrame, action: Column) -> DataFrame:
     filters = F.transform("values", lambda v: _equals(v["policy_column"], v["item"]))
     definition = _record(F.col("policy_id"), F.col("policy_name"), F.transform(users, to_whole_number), filters)
     kept = ["action", "dataset_id", "policy_id", "policy_name", "users", "values", "definition"]
-    changed = merged.withColumn("action", action).where("action IS NOT NULL").withColumn("definition", definition)
-    each = changed.select(
-        *kept, F.explode(F.when(F.size(names) > 0, names).otherwise(F.array(F.lit("")))).alias("policy_column")
-    )
+    changed = merged.withColumn("action", action).withColumn("definition", F.when(F.col("action").isNotNull(), definition))
+    # No list gives no row. A filter on the action would move below the comparison, write it out as one expression,
+    # and so compare every policy twice, its lists made anew for each of their entries.
+    listed = F.when(F.col("action").isNotNull(), F.when(F.size(names) > 0, names).otherwise(F.array(F.lit(""))))
+    each = changed.select(*kept, F.explode(listed).alias("policy_column"))
     own = F.filter("values", lambda v: v["policy_column"].eqNullSafe(F.col("policy_column")))
     return each.select(
         "action", "dataset_id", "policy_id", "policy_name", "policy_column",

@@ -12,7 +12,7 @@ from tidemark.functions.servicetypes import parse_user_time
 from tidemark.operators import changes, nested, relational, schema
 from tidemark.operators.numbering import number_rows
 from tidemark.plans import policies, projects
-from tidemark.session import scratch_dir
+from tidemark.session import scratch_dir, written
 from tidemark.sources import datasets, publish
 from tidemark.streaming.upserts import stream_upsert
 from tidemark.workloads import fixtures as fx
@@ -433,18 +433,20 @@ def policy_deletes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @registered
 def policy_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return policies.policy_updates(*_both(spark, sf_dir))
+    stored, desired = _both(spark, sf_dir)
+    return policies.policy_updates(stored, written(desired, "desired"))
 
 
 @registered
 def policy_definitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    records = policies.policy_records(fx.desired_policies(spark, sf_dir))
+    records = policies.policy_records(written(fx.desired_policies(spark, sf_dir), "desired"))
     return records.withColumn("definition", F.to_json("definition"))
 
 
 @registered
 def policy_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    plan = policies.policy_plan(*_both(spark, sf_dir))
+    stored, desired = _both(spark, sf_dir)
+    plan = policies.policy_plan(stored, written(desired, "desired"))
     return plan.withColumn("definition", F.to_json("definition"))
 
 
@@ -453,7 +455,9 @@ def policy_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_dir(spark, "apply")
     fx.stored_policies(spark, sf_dir).write.parquet(f"{path}/stored")
     stored = spark.read.parquet(f"{path}/stored")
-    policies.policy_plan(stored, fx.desired_policies(spark, sf_dir)).write.parquet(f"{path}/plan")
+    fx.desired_policies(spark, sf_dir).write.parquet(f"{path}/desired")
+    desired = spark.read.parquet(f"{path}/desired")
+    policies.policy_plan(stored, desired).write.parquet(f"{path}/plan")
     applied = policies.policy_apply(stored, spark.read.parquet(f"{path}/plan"))
     return policies.policy_extract(applied)
 
