@@ -51,6 +51,50 @@ def test_top_k_stops_early_and_stays_exact():
         assert ids.tolist() == best.tolist() and scores.tolist() == exact[best].tolist()
 
 
+def below_broadcasts(df):
+    """The lines of the plan that ran which stand below a broadcast."""
+    found, at = [], None
+    for line in df._jdf.queryExecution().executedPlan().toString().partition("Initial Plan")[0].splitlines():
+        depth = len(line) - len(line.lstrip(" :+-*"))
+        if at is not None and depth <= at:
+            at = None
+        if at is not None:
+            found.append(line)
+        elif "BroadcastExchange" in line:
+            at = depth
+    return found
+
+
+def test_top_k_of_many_blocks_broadcasts_no_queries(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in np.round(rng.normal(0, 0.3, 4), 1)]) for i in range(300)] + [(7, [0.5] * 4), (8, [0.25] * 4), (8, [0.25] * 4)]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>")
+    plain = [(r["vec_id"], r["embedding"]) for r in df.collect()]
+    queries = list(range(0, 300, 7))
+    monkeypatch.setattr(topk_search, "BLOCK", 8)
+    monkeypatch.setattr(topk_search, "QUERY_BLOCK", 16)
+    for held in (1 << 26, 1):  # as many tasks as shuffle partitions, a task for each block
+        monkeypatch.setattr(topk_search, "HELD_BYTES", held, raising=False)
+        found = topk_search.top_k(df.repartition(5), df.where(F.col("vec_id").isin(queries)), k=10)
+        assert {tuple(r) for r in found.collect()} == brute_top(plain, queries, 10)
+        assert not [line for line in below_broadcasts(found) if "Generate" in line or "data#" in line]
+
+
+def test_top_k_finds_all_that_reach_a_floor():
+    rng = np.random.default_rng(5)
+    vectors = rng.integers(-6, 7, (2000, 8))
+    index = topk_search.ImpactIndex.build(np.arange(2000), vectors)
+    for q in range(0, 2000, 100):
+        exact = vectors @ vectors[q]
+        order = np.lexsort((np.arange(2000), -exact))
+        order = order[order != q][:10]
+        for rank in (0, 4, 9):  # equal scores count, as their id may be the smaller
+            floor = int(exact[order[rank]])
+            ids, scores = index.top(vectors[q], q, 10, floor)
+            want = [i for i in order.tolist() if exact[i] >= floor]
+            assert ids[scores >= floor].tolist() == want
+
+
 def test_decontamination_finds_planted_items(spark, texts):
     items = {r["item_id"]: r for r in benchmark_items(spark, DATA).collect()}
     got = {(r["doc_id"], r["item_id"]) for r in QUERIES["op1_decontamination"](spark, DATA).collect()}

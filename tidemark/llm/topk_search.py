@@ -7,11 +7,16 @@ segments are processed by falling impact into accumulators. What is unprocessed
 bounds what any vector may still gain, so processing stops once few vectors can
 be among the k best; those are rescored exactly. Quantisation is part of the
 bound, so no vector is lost.
+
+A task holds some blocks and lets all queries pass by them, so queries are
+copied once per task, not once per block, and what a query has found in one
+block bounds what it looks for in the next.
 """
 
 from __future__ import annotations
 
 import io
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -29,10 +34,10 @@ QUERY_BLOCK = 256
 # Processing may stop when this share of a block is left to rescore.
 RESCORED = 1 / 16
 ROUNDS = 8
-# Index blocks are dealt to at most so many places that queries are sent to.
-MOST_PLACES = 4096
+# Bytes of index blocks that a task holds, or one block.
+HELD_BYTES = 64 << 20
 
-BLOCKS = pa.schema([("number", pa.int64()), ("data", pa.binary())])
+BLOCKS = pa.schema([("number", pa.int64()), ("size", pa.int64()), ("data", pa.binary())])
 HITS = pa.schema([("query_id", pa.int64()), ("mark", pa.int64()), ("vec_id", pa.int64()), ("score", pa.int64())])
 
 
@@ -67,6 +72,7 @@ class ImpactIndex:
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray, low: np.ndarray, step: np.ndarray, postings: np.ndarray, starts: np.ndarray):
         self.ids, self.vectors, self.low, self.step, self.postings, self.starts = ids, vectors, low, step, postings, starts
+        self.most = float(np.abs(vectors.astype(float)).max(initial=0))
 
     @classmethod
     def build(cls, ids: np.ndarray, vectors: np.ndarray) -> ImpactIndex:
@@ -75,18 +81,25 @@ class ImpactIndex:
         low = vectors.min(axis=0)
         step = np.maximum(1, -(-(vectors.max(axis=0) - low + 1) // LEVELS))
         level = (vectors - low) // step
-        postings = np.argsort(level, axis=0, kind="stable").T.astype(np.uint16 if len(ids) <= 65536 else np.uint32)
+        postings = np.argsort(level, axis=0, kind="stable").T.astype(np.uint16 if len(ids) <= 65536 else np.uint32, order="C")
         starts = np.stack([np.searchsorted(np.sort(column), np.arange(LEVELS + 1)) for column in level.T])
-        return cls(ids, vectors, low, step, postings, starts)
+        return cls(ids, narrow(vectors), low, step, postings, starts)
+
+    @property
+    def size(self) -> int:
+        return sum(getattr(self, f).nbytes for f in self.FIELDS)
+
+    def top(self, query: np.ndarray, own: int, k: int, floor: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, scores) of the k best, ties to the smaller id, rows of id ``own`` left out.
 
-    def top(self, query: np.ndarray, own: int, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, scores) of the k best, ties to the smaller id, rows of id ``own`` left out."""
+        Vectors that score less than ``floor`` may be missing.
+        """
         n, dims = self.vectors.shape
         size = max(dims, len(query))
         query = np.pad(query, (0, size - len(query)))[:dims]
         others = self.ids != own
-        if largest(self.vectors, query) >= 2**56:
-            return self._best(others, query, k)  # bounds would not fit 64 bits
+        if (self.most + LEVELS) * float(np.abs(query.astype(float)).sum()) >= 2**48:
+            return self._best(others, query, k)  # sums of bounds would not be exact
         weight = np.abs(query) * self.step
         # The level counted from the side where the component's product is lowest.
         height = np.where(query[:, None] > 0, np.arange(LEVELS), np.arange(LEVELS - 1, -1, -1))
@@ -95,22 +108,25 @@ class ImpactIndex:
         dim, level = np.nonzero(filled)
         order = np.argsort(-impact[dim, level], kind="stable")
         dim, level = dim[order], level[order]
+        gain = impact[dim, level].astype(float)
+        starts, stops = self.starts[dim, level], self.starts[dim, level + 1]
+        lengths, spans = stops - starts, list(zip((dim * n + starts).tolist(), (dim * n + stops).tolist()))
+        postings = self.postings.reshape(-1)
         error = int((np.abs(query) * (self.step - 1)).sum())
+        lowest = int((query * np.where(query > 0, self.low, self.low + LEVELS * self.step - 1)).sum())
+        wanted = -math.inf if floor is None else floor - lowest
         gained = np.zeros(n)
         left = others
-        for part in np.array_split(np.arange(len(dim)), ROUNDS):
-            if len(part):
-                spans = [self.postings[d, self.starts[d, v] : self.starts[d, v + 1]] for d, v in zip(dim[part], level[part])]
-                gains = np.repeat(impact[dim[part], level[part]], [len(s) for s in spans]).astype(float)
-                gained += np.bincount(np.concatenate(spans), weights=gains, minlength=n)
-            rest = slice(part[-1] + 1, None) if len(part) else slice(len(dim), None)
-            still = np.zeros(dims)  # what each component may still add
-            np.maximum.at(still, dim[rest], impact[dim[rest], level[rest]])
+        for r in range(ROUNDS):
+            at, stop = len(dim) * r // ROUNDS, len(dim) * (r + 1) // ROUNDS
+            if at < stop:
+                found = np.concatenate([postings[a:b] for a, b in spans[at:stop]], dtype=np.intp)
+                gained += np.bincount(found, weights=np.repeat(gain[at:stop], lengths[at:stop]), minlength=n)
+            still = np.zeros(dims)  # what each component may still add: the first that is left, as the last to be set
+            still[dim[stop:][::-1]] = gain[stop:][::-1]
             reach = still.sum() + error
             scores = gained[others]
-            if len(scores) <= k:
-                break
-            least = np.partition(scores, len(scores) - k)[len(scores) - k]
+            least = wanted if len(scores) <= k else max(wanted, np.partition(scores, len(scores) - k)[len(scores) - k])
             left = others & (gained + reach >= least)
             if left.sum() <= max(4 * k, RESCORED * n):
                 break
@@ -118,14 +134,17 @@ class ImpactIndex:
 
     def _best(self, left: np.ndarray, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
         rows = np.flatnonzero(left)
-        exact = inner(self.vectors[rows], query)
-        best = np.lexsort((self.ids[rows], -exact))[:k]
-        return self.ids[rows][best], exact[best]
+        exact = inner(self.vectors[rows], query, self.most * float(np.abs(query.astype(float)).sum()))
+        return best_of(self.ids[rows], exact, k)
+
+
+def best_of(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    best = np.lexsort((ids, -scores))[:k]
+    return ids[best], scores[best]
 
 
-def inner(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
-    """Integer inner products; floating multiplication where it is exact. A product beyond 64 bits is an error."""
-    most = largest(vectors, query)
+def inner(vectors: np.ndarray, query: np.ndarray, most: float) -> np.ndarray:
+    """Integer inner products, none larger than ``most``; floating multiplication where it is exact. A product beyond 64 bits is an error."""
     if most < 2**52:
         return (vectors.astype(float) @ query.astype(float)).astype(np.int64)
     if most < 2**62:
@@ -136,9 +155,10 @@ def inner(vectors: np.ndarray, query: np.ndarray) -> np.ndarray:
     return np.array(exact, np.int64)
 
 
-def largest(vectors: np.ndarray, query: np.ndarray) -> float:
-    """No inner product is larger."""
-    return float(np.abs(vectors.astype(float)).max(initial=0) * np.abs(query.astype(float)).sum())
+def narrow(values: np.ndarray) -> np.ndarray:
+    """The same whole numbers in as few bytes each as hold them all."""
+    least, most = values.min(initial=0), values.max(initial=0)
+    return values.astype(next(t for t in (np.int16, np.int32, np.int64) if np.iinfo(t).min <= least and most <= np.iinfo(t).max))
 
 
 def _to_bytes(**arrays: np.ndarray) -> bytes:
@@ -162,10 +182,10 @@ def _packed(rows: DataFrame, size: int, index: bool) -> DataFrame:
             own = np.concatenate(ids)
             if index:
                 built = ImpactIndex.build(own, block)
-                data = _to_bytes(**{f: getattr(built, f) for f in ImpactIndex.FIELDS})
+                taken, data = built.size, _to_bytes(**{f: getattr(built, f) for f in ImpactIndex.FIELDS})
             else:
-                data = _to_bytes(ids=own, vectors=block)
-            return batch_of(BLOCKS, [task + 7919 * made], [data])
+                taken, data = block.nbytes, _to_bytes(ids=own, vectors=narrow(block))
+            return batch_of(BLOCKS, [(task << 32) + made], [taken], [data])
 
         for batch in batches:
             for at in range(0, batch.num_rows, size):
@@ -182,7 +202,7 @@ def _packed(rows: DataFrame, size: int, index: bool) -> DataFrame:
         if held:
             yield flush()
 
-    return rows.mapInArrow(pack, "number bigint, data binary")
+    return rows.mapInArrow(pack, "number bigint, size bigint, data binary")
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
@@ -192,8 +212,8 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "ve
     hold a null or non-finite component take no part, nor do rows without an
     id; missing trailing components count as 0. A query's own are the rows of
     its id. Repeated rows are candidates each; a repeated query is answered
-    once. Every query block meets every index block once, and a block returns
-    k rows per query.
+    once. Every query block meets every index block once, and a task returns
+    k rows per query, of all its index blocks.
     """
     spark = vectors.sparkSession
     ship(spark)
@@ -203,24 +223,36 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "ve
 
     index = saved(_packed(base(vectors), BLOCK, True), "impact-index")
     asked = saved(_packed(base(queries).dropDuplicates(["vec_id", "embedding"]).coalesce(8), QUERY_BLOCK, False), "impact-queries")
-    places = max(1, min(index.count(), MOST_PLACES))
-    dealt = index.select(F.pmod("number", F.lit(places)).alias("place"), F.col("data").alias("block"))
-    every = F.sequence(F.lit(0).cast("bigint"), F.lit(places - 1).cast("bigint"))
-    sent = asked.select(F.explode(every).alias("place"), F.col("data").alias("asked"))
+    blocks, size = index.agg(F.count("number"), F.sum("size")).first()
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    places = max(1, min(blocks, max(tasks, -(-(size or 0) // HELD_BYTES))))
+    # Blocks are dealt evenly: place by place, a number per block.
+    dealt = index.select("number", F.floor((F.row_number().over(Window.orderBy("number")) - 1) * places / max(1, blocks)).cast("int").alias("place"))
+    placed = index.join(F.broadcast(dealt), "number").select("place", F.lit(False).alias("asked"), "data")
+    # Queries are moved by a shuffle: Spark takes them for no more than their file, however often they are copied, and would broadcast that.
+    sent = asked.select(F.explode(F.sequence(F.lit(0), F.lit(places - 1))).alias("place"), F.lit(True).alias("asked"), "data")
+    met = placed.unionByName(sent).repartitionById(places, "place").sortWithinPartitions("asked").select("asked", "data")
 
     def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[ImpactIndex] = []
         for batch in batches:
             for i in range(batch.num_rows):
-                with np.load(io.BytesIO(batch.column("block")[i].as_py())) as data:
-                    block = ImpactIndex(*[data[f] for f in ImpactIndex.FIELDS])
-                with np.load(io.BytesIO(batch.column("asked")[i].as_py())) as data:
-                    queries = list(zip(data["ids"].tolist(), data["vectors"]))
-                for own, query in queries:
-                    found, scores = block.top(query, own, k)
-                    mark = zlib.crc32(query.tobytes())  # tells apart different vectors of one id
-                    yield batch_of(HITS, np.full(len(found), own), np.full(len(found), mark), found, scores)
-
-    hits = dealt.join(sent, "place").select("block", "asked").mapInArrow(search, "query_id bigint, mark bigint, vec_id bigint, score bigint")
+                with np.load(io.BytesIO(batch.column("data")[i].as_py())) as data:
+                    if not batch.column("asked")[i].as_py():
+                        held.append(ImpactIndex(*[data[f] for f in ImpactIndex.FIELDS]))
+                        continue
+                    owns, queries = data["ids"].tolist(), data["vectors"].astype(np.int64)
+                best = [(np.zeros(0, np.int64), np.zeros(0, np.int64))] * len(owns)
+                for block in held:
+                    for q, (own, query) in enumerate(zip(owns, queries)):
+                        ids, scores = best[q]
+                        found = block.top(query, own, k, int(scores[-1]) if 0 < k == len(scores) else None)
+                        best[q] = best_of(np.concatenate([ids, found[0]]), np.concatenate([scores, found[1]]), k)
+                counts = [len(ids) for ids, _ in best]
+                marks = [zlib.crc32(query.tobytes()) for query in queries]  # tell apart different vectors of one id
+                yield batch_of(HITS, np.repeat(owns, counts), np.repeat(marks, counts), *(np.concatenate(x) for x in zip(*best)))
+
+    hits = met.mapInArrow(search, "query_id bigint, mark bigint, vec_id bigint, score bigint")
     best = Window.partitionBy("query_id", "mark").orderBy(F.desc("score"), "vec_id")
     return hits.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
